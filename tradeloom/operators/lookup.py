@@ -44,6 +44,11 @@ def new_offers(rows: DataFrame, offers: DataFrame, name: str = "offer_name") ->
     return missing(seen, offers, ["name"]).select(name_id("name").alias("id"), "name")
 
 
+def insert_offers(offers: DataFrame, rows: DataFrame, name: str = "offer_name") -> DataFrame:
+    """Offer dimension with the new offers of `rows`."""
+    return offers.select("id", "name").unionByName(new_offers(rows, offers, name))
+
+
 def offer_ids(rows: DataFrame, offers: DataFrame, name: str = "offer_name") -> DataFrame:
     """Add `offer_id` by trimmed offer name; a blank name has none.
 
@@ -60,6 +65,11 @@ def new_warehouses(rows: DataFrame, dim: DataFrame, source: str, code: str = "wa
     return missing(seen, dim, ["code", "source"]).withColumn("cluster", F.lit("NONE"))
 
 
+def insert_warehouses(dim: DataFrame, rows: DataFrame, source: str, code: str = "warehouse_name") -> DataFrame:
+    """Warehouse dimension with the new warehouses of `rows`."""
+    return dim.select("code", "source", "cluster").unionByName(new_warehouses(rows, dim, source, code))
+
+
 def connections(links: DataFrame) -> DataFrame:
     """One row per (source, owner) with its order and stock connection, by owner.
 

@@ -9,6 +9,7 @@ from tradeloom.functions.common import as_value
 from tradeloom.functions.numbers import available, price_before_discount
 from tradeloom.functions.times import epoch_local
 from tradeloom.operators.lookup import offer_ids
+from tradeloom.sources.schemas import PRICE_OFFER
 
 # Columns of the staged price rows, in order.
 COLUMNS = [
@@ -16,10 +17,6 @@ COLUMNS = [
     "company_id", "company_name", "region_name", "price", "in_stock", "discount_type", "discount", "offer_name",
     "offer_id", "date", "last_check_date", "original_price", "date_create", "card_price",
 ]
-_OFFER = (
-    "struct<price:double,in_stock:int,discount_type:int,discount:double,offer:string,date:bigint,"
-    "last_check_date:bigint,data:array<struct<key:string,value:string>>>"
-)
 
 
 def price_offers(pages: DataFrame, run_id, run_ts, tz: str = "Europe/Moscow") -> DataFrame:
@@ -36,7 +33,7 @@ def price_offers(pages: DataFrame, run_id, run_ts, tz: str = "Europe/Moscow") ->
         s["price"].alias("price"), s["in_stock"].alias("in_stock"), s["discount_type"].alias("discount_type"),
         s["discount"].alias("discount"), s["company_name"].alias("offer"), F.lit(None).alias("date"),
         F.lit(None).alias("last_check_date"), F.lit(None).alias("data"),
-    ).cast(_OFFER)
+    ).cast(PRICE_OFFER)
     offers = F.when(F.size("s.offers") > 0, F.col("s.offers")) \
         .when(s["price"].isNotNull(), F.array(stand_in))
     rows = sources.select("o", "s", F.explode(offers).alias("f"))

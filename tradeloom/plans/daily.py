@@ -168,12 +168,23 @@ def product_report(orders: DataFrame, stock: DataFrame, items: DataFrame, on, da
     return rolled.select("owner", "brand", "level", "quantity", "amount", "stock", _shortage(days, cover))
 
 
-def orders_by_day(orders: DataFrame, transactions: DataFrame, tx) -> DataFrame:
-    """Orders of the day before a completed transaction started, per owner, source and SKU."""
-    day = transactions.filter((F.col("id") == as_value(tx)) & (F.col("status") == "COMPLETED")) \
-        .select(F.date_sub(F.col("start_date").cast("date"), 1).alias("day"))
+def _orders_of(orders: DataFrame, started: DataFrame) -> DataFrame:
+    """Orders of the day before the given start, which is at most one row."""
+    day = started.select(F.date_sub(F.col("start_date").cast("date"), 1).alias("day"))
     return orders.join(day, ["day"], "left_semi").groupBy("day", "owner", "source", "sku").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("quantity").cast(MONEY).alias("quantity"),
         F.sum("amount").cast(MONEY).alias("amount"),
         F.count(F.when(F.col("is_cancelled"), 1)).alias("cancelled"),
     ).withColumnRenamed("day", "report_date")
+
+
+def orders_by_day(orders: DataFrame, transactions: DataFrame, tx) -> DataFrame:
+    """Orders of the day before a completed transaction started, per owner, source and SKU."""
+    done = (F.col("id") == as_value(tx)) & (F.col("status") == "COMPLETED")
+    return _orders_of(orders, transactions.filter(done))
+
+
+def orders_by_last_completed(orders: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The same for the completed transaction of the highest id."""
+    last = transactions.filter(F.col("status") == "COMPLETED").agg(F.max_by("start_date", "id").alias("start_date"))
+    return _orders_of(orders, last)

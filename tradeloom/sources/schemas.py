@@ -71,13 +71,15 @@ WB_STOCK = (
     " Price double, Discount double, isSupply boolean, isRealization boolean, nmId bigint"
 )
 
+PRICE_OFFER = (
+    "struct<price:double, in_stock:int, discount_type:int, discount:double, offer:string, date:bigint,"
+    " last_check_date:bigint, data:array<struct<key:string, value:string>>>"
+)
 PRICE_PAGE = (
     "result struct<pagination:struct<pages_cnt:int, page:int>, objects:array<struct<client_code:string,"
     " name:string, articul:string, category_name:string, brand_name:string, default_price:double,"
     " sources:array<struct<company_id:string, company_name:string, region_name:string, price:double,"
-    " in_stock:int, discount_type:int, discount:double, offers:array<struct<price:double, in_stock:int,"
-    " discount_type:int, discount:double, offer:string, date:bigint, last_check_date:bigint,"
-    " data:array<struct<key:string, value:string>>>>>>>>>"
+    f" in_stock:int, discount_type:int, discount:double, offers:array<{PRICE_OFFER}>>>>>>"
 )
 
 ERP_ITEM_PAGE = "items array<struct<id:string, name:string, updateAt:string>>"
