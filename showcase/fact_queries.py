@@ -115,7 +115,7 @@ def _old_stock(spark, sf):
     UNION ALL SELECT '2001-11-30', source, owner, warehouse, sku, barcode,
         CAST(sum(CAST(q AS DECIMAL(18,2))) AS DOUBLE) FROM new GROUP BY source, owner, warehouse, sku, barcode""")
 def fact_stock(spark, sf):
-    line = table(spark, sf, "lineitem")
+    line = feeds.line_items(spark, sf)
     barcodes = table(spark, sf, "part").selectExpr("p_partkey as sku", "concat('bc-', p_partkey) as barcode")
     from_wb = wb.stock_lines(feeds.wb_stock(line.filter("l_linestatus = 'O'")), OWNER, RUN, STOCK_DAY)
     pages = feeds.analytics_stock(line.filter("l_linestatus = 'F'"))
@@ -134,7 +134,7 @@ def fact_stock(spark, sf):
         lpad(CAST(l_partkey AS VARCHAR), 13, '0'), CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)
         FROM lineitem GROUP BY ALL""")
 def fact_stock_kz(spark, sf):
-    staged = stock.kz_stock_lines(feeds.kz_stock(table(spark, sf, "lineitem")), OWNER, RUN, STOCK_DAY)
+    staged = stock.kz_stock_lines(feeds.kz_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY)
     return facts.apply_stock_of(_old_stock(spark, sf), facts.kz_stock(staged), STOCK_DAY, "KZ")
 
 
@@ -168,7 +168,7 @@ def dictionary_upsert(spark, sf):
         WHERE o_orderdate < TIMESTAMP '2001-09-01'""")
 def ad_fact(spark, sf):
     """60 days before 31 October 2001 are replaced."""
-    staged = advertising.order_rows(feeds.ad_orders(table(spark, sf, "lineitem")), OWNER, "doc") \
+    staged = advertising.order_rows(feeds.ad_orders(feeds.line_items(spark, sf)), OWNER, "doc") \
         .select("report_date", "sku", "ordered_qnt", "sum_price")
     old = table(spark, sf, "orders").selectExpr(
         "cast(o_orderdate as date) as report_date", "'old' as sku", "1 as ordered_qnt", "o_totalprice as sum_price")
@@ -192,7 +192,7 @@ def stock_items(spark, sf):
 # Facts as they are stored: typed, one row per order line.
 
 def orders_fact(spark, sf):
-    return feeds.owned_lines(spark, sf).selectExpr(
+    return feeds.owned_lines(spark, sf, documents=False).selectExpr(
         "cast(o_orderdate as date) as day", "if(l_linestatus = 'O', 'WB', 'OZON') as source", "owner",
         "concat('WH ', l_suppkey) as warehouse", "concat('P', l_partkey) as item",
         "cast(l_partkey as string) as sku", "cast(l_quantity as decimal(18,2)) as quantity",
@@ -200,7 +200,7 @@ def orders_fact(spark, sf):
 
 
 def stock_fact(spark, sf):
-    return feeds.owned_lines(spark, sf).selectExpr(
+    return feeds.owned_lines(spark, sf, documents=False).selectExpr(
         "cast(l_shipdate as date) as stock_date", "if(l_linestatus = 'O', 'WB', 'OZON') as source", "owner",
         "concat('WH ', l_suppkey) as warehouse", "concat('P', l_partkey) as item",
         "cast(l_quantity as decimal(18,2)) as quantity")

@@ -99,17 +99,17 @@ def _wb_sql(columns, where: str) -> str:
 
 @query("wb_order_lines", _wb_sql(wb.ORDER_COLUMNS, "l_shipdate >= TIMESTAMP '1995-05-15'"))
 def wb_order_lines(spark, sf):
-    return wb.order_lines(feeds.wb_orders(table(spark, sf, "lineitem")), OWNER, RUN, SINCE)
+    return wb.order_lines(feeds.wb_orders(feeds.line_items(spark, sf)), OWNER, RUN, SINCE)
 
 
 @query("wb_sale_lines", _wb_sql(wb.SALE_COLUMNS, "l_shipdate >= TIMESTAMP '1995-05-15' AND l_linenumber <> 7"))
 def wb_sale_lines(spark, sf):
-    return wb.sale_lines(feeds.wb_sales(table(spark, sf, "lineitem")), OWNER, RUN, SINCE)
+    return wb.sale_lines(feeds.wb_sales(feeds.line_items(spark, sf)), OWNER, RUN, SINCE)
 
 
 @query("wb_stock_lines", _wb_sql(wb.STOCK_COLUMNS, "true"))
 def wb_stock_lines(spark, sf):
-    return wb.stock_lines(feeds.wb_stock(table(spark, sf, "lineitem")), OWNER, RUN, STOCK_DAY)
+    return wb.stock_lines(feeds.wb_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY)
 
 
 @query("ozon_stock_lines", f"""
@@ -126,7 +126,7 @@ def wb_stock_lines(spark, sf):
 def ozon_stock_lines(spark, sf):
     barcodes = table(spark, sf, "part").selectExpr("cast(p_partkey as string) as sku",
                                                    "concat('bc-', p_partkey) as barcode")
-    return stock.seller_stock_lines(feeds.seller_stock(table(spark, sf, "lineitem")), barcodes, OWNER, RUN, STOCK_DAY)
+    return stock.seller_stock_lines(feeds.seller_stock(feeds.line_items(spark, sf)), barcodes, OWNER, RUN, STOCK_DAY)
 
 
 @query("ozon_stock_flat", f"""
@@ -141,7 +141,7 @@ def ozon_stock_lines(spark, sf):
 def ozon_stock_flat(spark, sf):
     barcodes = table(spark, sf, "part").filter("p_size > 10").selectExpr(
         "p_partkey as sku", "concat('bc-', p_partkey) as barcode")
-    return stock.analytics_stock_lines(feeds.analytics_stock(table(spark, sf, "lineitem")), barcodes, OWNER, RUN,
+    return stock.analytics_stock_lines(feeds.analytics_stock(feeds.line_items(spark, sf)), barcodes, OWNER, RUN,
                                        STOCK_DAY)
 
 
@@ -150,7 +150,7 @@ def ozon_stock_flat(spark, sf):
         CAST(l_quantity AS INT) AS free_to_sell, l_linenumber AS promised, 0 AS reserved, {WH} AS warehouse,
         'SELLER' AS owner, '2001-11-30' AS create_at FROM lineitem""")
 def ozon_stock_older(spark, sf):
-    return stock.older_stock_lines(feeds.analytics_stock(table(spark, sf, "lineitem")), OWNER, STOCK_DAY)
+    return stock.older_stock_lines(feeds.analytics_stock(feeds.line_items(spark, sf)), OWNER, STOCK_DAY)
 
 
 # One row per SKU of the product pages: the part's own, or its FBO and FBS SKU.
@@ -216,7 +216,7 @@ def sku_union(spark, sf):
 @query("sale_warehouses", f"SELECT DISTINCT {WH} AS warehouse_name FROM lineitem WHERE l_linenumber <> 7"
                           " AND l_shipdate >= TIMESTAMP '1995-05-15'")
 def sale_warehouses(spark, sf):
-    rows = wb.sale_lines(feeds.wb_sales(table(spark, sf, "lineitem")), OWNER, RUN, SINCE)
+    rows = wb.sale_lines(feeds.wb_sales(feeds.line_items(spark, sf)), OWNER, RUN, SINCE)
     return distinct_keys(rows, key="warehouse_name")
 
 
@@ -264,7 +264,7 @@ def erp_marketplaces(spark, sf):
 def erp_stock(spark, sf):
     item = """named_struct('id', case l_returnflag when 'A' then cast(l_partkey as string) when 'N' then ' ' end,
         'quantity', l_quantity)"""
-    return erp.stock_rows(feeds.erp_pages(table(spark, sf, "lineitem"), item, schemas.ERP_STOCK_PAGE), RUN, STOCK_DAY)
+    return erp.stock_rows(feeds.erp_pages(feeds.line_items(spark, sf), item, schemas.ERP_STOCK_PAGE), RUN, STOCK_DAY)
 
 
 @query("barcode_prices", """
@@ -296,12 +296,12 @@ _SUM_COST = f"CAST({CENTS.format('l_extendedprice + 2')} AS DOUBLE)"
 
 @query("kz_stock", _kz_sql(_SUM_STOCK, _SUM_COST))
 def kz_stock(spark, sf):
-    return stock.kz_stock_lines(feeds.kz_stock(table(spark, sf, "lineitem")), OWNER, RUN, STOCK_DAY)
+    return stock.kz_stock_lines(feeds.kz_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY)
 
 
 @query("kz_stock_by_meaning", _kz_sql(_SUM_COST, _SUM_STOCK))
 def kz_stock_by_meaning(spark, sf):
-    rows = feeds.kz_stock(table(spark, sf, "lineitem"))
+    rows = feeds.kz_stock(feeds.line_items(spark, sf))
     return stock.kz_stock_lines(rows, OWNER, RUN, STOCK_DAY, fix_names=True)
 
 
@@ -333,7 +333,7 @@ _AD_ORDERS = f"""
 
 @query("ad_orders", _AD_ORDERS)
 def ad_orders(spark, sf):
-    return advertising.order_rows(feeds.ad_orders(table(spark, sf, "lineitem")), OWNER, "doc")
+    return advertising.order_rows(feeds.ad_orders(feeds.line_items(spark, sf)), OWNER, "doc")
 
 
 _SHOP_ID = """CASE WHEN trim(offer_name) = '' THEN NULL ELSE
@@ -362,7 +362,7 @@ _OFFERS = f"""src AS (
 
 
 def _price_rows(spark, sf):
-    pages = feeds.prices(table(spark, sf, "lineitem"))
+    pages = feeds.prices(feeds.line_items(spark, sf))
     return prices.price_offers(pages, RUN, datetime(2024, 2, 1, 6), tz="Etc/GMT-3")
 
 
@@ -407,7 +407,7 @@ def warehouse_dimension(spark, sf):
         .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")) \
         .selectExpr("concat('WH ', s_suppkey) as code", "'WB' as source", "r_name as cluster")
-    rows = wb.stock_lines(feeds.wb_stock(table(spark, sf, "lineitem")), OWNER, RUN, STOCK_DAY)
+    rows = wb.stock_lines(feeds.wb_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY)
     return insert_warehouses(dim, rows, "WB")
 
 
@@ -431,7 +431,7 @@ _DOTLESS = {k: _dotless(k, v) for k, v in realization.DETAIL_LABELS.items()}
 @query("report_labels", "SELECT " + ", ".join(
     f"{_DETAIL.get(k, 'CAST(NULL AS VARCHAR)')} AS \"{v}\"" for k, v in _DOTLESS.items()) + " FROM lineitem")
 def report_labels(spark, sf):
-    return realization.labelled(feeds.realization_detail(table(spark, sf, "lineitem")), _DOTLESS)
+    return realization.labelled(feeds.realization_detail(feeds.line_items(spark, sf)), _DOTLESS)
 
 
 @query("realization_header", """

@@ -9,27 +9,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from showcase.registry import table
+from showcase.registry import spread, table
 from tradeloom.sources import schemas
 
 CENTS = "cast(cast({} as decimal(18,2)) as string)"
 
 
 def shaped(df: DataFrame, schema: str) -> DataFrame:
-    """Cast the one landed column to its declared type; other columns stay."""
+    """The one landed column in its declared type; other columns stay.
+
+    A cast that only changes nullability would rebuild every document, so it is left out.
+    """
     name, kind = schema.split(" ", 1)
-    return df.withColumn(name.strip("`"), F.col(name).cast(kind))
+    name, declared = name.strip("`"), T.DataType.fromDDL(kind)
+    if df.schema[name].dataType.simpleString() == declared.simpleString():
+        return df
+    return df.withColumn(name, F.col(name).cast(declared))
+
+
+def line_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines, over all cores: a document is costly to build."""
+    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines with their order."""
-    return table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+def lines(spark: SparkSession, sf: str, documents: bool = True) -> DataFrame:
+    """Order lines with their order; spread where documents are built from them."""
+    rows = line_items(spark, sf) if documents else table(spark, sf, "lineitem")
+    return rows.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def owned_lines(spark: SparkSession, sf: str) -> DataFrame:
+def owned_lines(spark: SparkSession, sf: str, documents: bool = True) -> DataFrame:
     """Order lines with order and owner."""
-    return lines(spark, sf).join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")) \
+    return lines(spark, sf, documents) \
+        .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")) \
         .withColumn("owner", F.col("c_mktsegment"))
 
 

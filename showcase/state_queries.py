@@ -95,7 +95,7 @@ _COUNTS = """counts AS (SELECT c_mktsegment AS owner, CASE l_linestatus WHEN 'O'
 
 
 def _counts(spark, sf):
-    rows = feeds.owned_lines(spark, sf).select(
+    rows = feeds.owned_lines(spark, sf, documents=False).select(
         "owner", F.expr("if(l_linestatus = 'O', 'WB', 'OZON')").alias("source"), F.lit("order").alias("type"))
     return incremental.feed_counts(rows, ["owner", "source", "type"])
 
@@ -134,7 +134,7 @@ def last_transaction(spark, sf):
     n AS (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY sku % 64, sku) - 1 AS place FROM k)
     SELECT owner, sku, place // 999 AS batch, CAST(place % 999 AS INT) AS position FROM n""")
 def key_batches(spark, sf):
-    keys = feeds.owned_lines(spark, sf).select("owner", F.col("l_partkey").alias("sku"))
+    keys = feeds.owned_lines(spark, sf, documents=False).select("owner", F.col("l_partkey").alias("sku"))
     return incremental.key_batches(keys, "owner", "sku", 999, spread=F.col("sku"), buckets=64)
 
 

@@ -19,26 +19,21 @@ COLUMNS = [
 ]
 
 
-def _finance_of(sku: Column) -> Column:
-    """Last financial row of the posting with this product id, or null.
+def _lines(postings: DataFrame, keep: Column, strict: bool) -> DataFrame:
+    """Explode the kept postings; `posting`, `line` and `fin` per product.
 
-    The position is searched in the reversed ids and counted from the end. Unlike
-    a map this needs no key policy, and unlike a lambda it stays in generated code.
+    `fin` is the last financial row of the posting with the product's id. Its
+    place is searched in the reversed ids and counted from the end: unlike a map
+    this needs no key policy, and unlike a lambda it stays in generated code.
     """
     rows = F.col("posting.financial_data.products")
-    back = F.array_position(F.reverse(rows.getField("product_id")), sku)
-    return F.try_element_at(rows, -F.nullif(back, F.lit(0)).cast("int"))
-
-
-def _lines(postings: DataFrame, keep: Column, strict: bool) -> DataFrame:
-    """Explode the kept postings; `posting`, `line_no`, `line` and `fin` per product."""
-    lines = postings.filter(keep).select("*", F.posexplode("posting.products").alias("line_no", "line"))
-    lines = lines.withColumn("fin", _finance_of(F.col("line.sku")))
+    lines = postings.filter(keep).select("*", F.explode("posting.products").alias("line"))
+    lines = lines.withColumn("back", F.array_position(F.reverse(rows.getField("product_id")), F.col("line.sku")))
     if strict:
         what = F.concat(F.lit("no financial row for sku "), F.col("line.sku").cast("string"),
                         F.lit(" of posting "), F.col("posting.posting_number"))
-        lines = lines.filter(F.when(F.col("fin").isNotNull(), True).otherwise(F.raise_error(what).cast("boolean")))
-    return lines
+        lines = lines.filter(F.when(F.col("back") > 0, True).otherwise(F.raise_error(what).cast("boolean")))
+    return lines.withColumn("fin", F.try_element_at(rows, -F.nullif(F.col("back"), F.lit(0)).cast("int")))
 
 
 def _row(lines: DataFrame, scheme: str, owner, run_id, created: Column, warehouse: Column) -> DataFrame:
@@ -60,8 +55,11 @@ def _row(lines: DataFrame, scheme: str, owner, run_id, created: Column, warehous
 
 
 def flatten_fbo(pages: DataFrame, owner, run_id, since, strict: bool = True) -> DataFrame:
-    """FBO postings created on or after `since`; time texts are passed on unchanged."""
-    postings = pages.select("*", F.explode("result").alias("posting"))
+    """FBO postings created on or after `since`; time texts are passed on unchanged.
+
+    An empty page gives a null posting, which the date filter drops.
+    """
+    postings = pages.select("*", F.explode_outer("result").alias("posting")).drop("result")
     keep = iso_ts("posting.created_at", zulu=True, fraction=True) >= day_start(since)
     lines = _lines(postings, keep, strict)
     return _row(lines, "FBO", owner, run_id, F.col("posting.created_at"),
@@ -70,7 +68,7 @@ def flatten_fbo(pages: DataFrame, owner, run_id, since, strict: bool = True) ->
 
 def flatten_fbs(pages: DataFrame, owner, run_id, since, strict: bool = True) -> DataFrame:
     """FBS postings in process on or after `since`; a fraction in the time is an error."""
-    postings = pages.select("*", F.explode("result.postings").alias("posting"))
+    postings = pages.select("*", F.explode("result.postings").alias("posting")).drop("result")
     keep = iso_ts("posting.in_process_at", zulu=True).cast("date") >= as_value(since).cast("date")
     lines = _lines(postings, keep, strict)
     return _row(lines, "FBS", owner, run_id, F.col("posting.in_process_at"), F.lit("FBS"))

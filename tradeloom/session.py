@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot leaves methods above 8000 bytes uncompiled. Wide nested projections exceed
+    # that as one generated method; without the fusion they are split into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keyed state outgrows executor heaps long before it outgrows local disks.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
