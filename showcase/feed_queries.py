@@ -392,8 +392,7 @@ def offer_dimension(spark, sf):
     SELECT offers.*, full_dim.id AS offer_id FROM offers LEFT JOIN full_dim ON full_dim.name = trim(offer_name)
         AND trim(offer_name) <> ''""")
 def priced_rows(spark, sf):
-    rows = _price_rows(spark, sf)
-    return prices.priced_rows(rows, insert_offers(_known_offers(spark, sf), rows))
+    return prices.priced_rows(_price_rows(spark, sf), _known_offers(spark, sf))
 
 
 @query("warehouse_dimension", f"""

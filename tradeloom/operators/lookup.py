@@ -52,11 +52,16 @@ def insert_offers(offers: DataFrame, rows: DataFrame, name: str = "offer_name")
 def offer_ids(rows: DataFrame, offers: DataFrame, name: str = "offer_name") -> DataFrame:
     """Add `offer_id` by trimmed offer name; a blank name has none.
 
-    Blank names join on nothing, so they are given no key that could pile them up.
+    An offer the dimension does not hold yet gets the id it will be inserted
+    with. That id follows from the name, so the rows need not wait for the insert
+    nor be read twice. Blank names, which may be many, are spread over keys that
+    match nothing.
     """
-    key = F.when(~is_blank(name), F.trim(F.col(name)))
-    dim = offers.select(F.col("id").alias("offer_id"), F.col("name").alias("_name"))
-    return rows.withColumn("_key", key).join(dim, F.col("_key") == F.col("_name"), "left").drop("_key", "_name")
+    blank = is_blank(name)
+    nowhere = F.concat(F.lit(" "), F.xxhash64(*rows.columns).cast("string"))
+    dim = offers.select(F.col("id").alias("_id"), F.col("name").alias("_key"))
+    found = rows.withColumn("_key", F.when(blank, nowhere).otherwise(F.trim(F.col(name)))).join(dim, ["_key"], "left")
+    return found.withColumn("offer_id", F.when(~blank, F.coalesce("_id", name_id(name)))).drop("_key", "_id")
 
 
 def new_warehouses(rows: DataFrame, dim: DataFrame, source: str, code: str = "warehouse_name") -> DataFrame:

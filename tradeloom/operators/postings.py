@@ -68,7 +68,7 @@ def flatten_fbo(pages: DataFrame, owner, run_id, since, strict: bool = True) ->
 
 def flatten_fbs(pages: DataFrame, owner, run_id, since, strict: bool = True) -> DataFrame:
     """FBS postings in process on or after `since`; a fraction in the time is an error."""
-    postings = pages.select("*", F.explode("result.postings").alias("posting")).drop("result")
+    postings = pages.select("*", F.explode_outer("result.postings").alias("posting")).drop("result")
     keep = iso_ts("posting.in_process_at", zulu=True).cast("date") >= as_value(since).cast("date")
     lines = _lines(postings, keep, strict)
     return _row(lines, "FBS", owner, run_id, F.col("posting.in_process_at"), F.lit("FBS"))

@@ -23,10 +23,11 @@ def price_offers(pages: DataFrame, run_id, run_ts, tz: str = "Europe/Moscow") ->
     """One row per offer; a source without offers stands in for itself if it has a price.
 
     Sources without a company (false or zero) are dropped. Such a stand-in has
-    no dates and no card price. `tz` is the zone the dates are shown in.
+    no dates and no card price. `tz` is the zone the dates are shown in. Only the
+    last explode drops rows: a missing product or source has no offers either.
     """
-    objects = pages.select(F.explode("result.objects").alias("o"))
-    sources = objects.select("o", F.explode("o.sources").alias("s")) \
+    objects = pages.select(F.explode_outer("result.objects").alias("o"))
+    sources = objects.select("o", F.explode_outer("o.sources").alias("s")) \
         .filter(~F.coalesce(F.lower("s.company_id"), F.lit("")).isin("false", "0"))
     s = F.col("s")
     stand_in = F.struct(
