@@ -1,0 +1,338 @@
+"""Golden tests of the feeds: landed files in, staged rows out."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradeloom.operators import advertising, erp, postings, prices, products, realization, stock, wb
+from tradeloom.sources import landing
+
+
+def fin(product_id, amount):
+    return {"product_id": product_id, "commission_amount": amount, "commission_percent": 5.0, "payout": 1.0,
+            "old_price": 2.0, "total_discount_value": 0.0, "total_discount_percent": 0.0, "client_price": "9.00"}
+
+
+def line(sku, quantity=1, price="10.00"):
+    return {"sku": sku, "name": f"n{sku}", "quantity": quantity, "offer_id": f"o{sku}", "price": price}
+
+
+def posting(number, created, lines, finance, warehouse="wh", process="2024-02-02T00:00:00Z"):
+    return {"order_id": 1, "order_number": "1-1", "posting_number": number, "status": "delivered",
+            "created_at": created, "in_process_at": process, "products": lines,
+            "analytics_data": {"region": "R", "city": "C", "warehouse_name": warehouse, "warehouse_id": 5},
+            "financial_data": finance}
+
+
+SINCE = date(2024, 2, 1)
+
+
+def fbo(spark, folder, **kw):
+    return postings.flatten_fbo(landing.strict(landing.pages(spark, folder, "fbo")), "OWN", 3, SINCE, **kw)
+
+
+def test_fbo(spark, land, rows):
+    folder = land("fbo", {"result": [
+        posting("a", "2024-02-01T00:00:00Z", [line(1), line(2), line(1, 4)],
+                {"products": [fin(1, 1.0), fin(2, 2.0), fin(1, 3.0)]}),
+        posting("old", "2024-01-31T23:59:59.999Z", [line(9)], None),  # too old: its lookup would fail
+        posting("empty", "2024-02-03T00:00:00Z", [], None),
+        posting("frac", "2024-02-03T00:00:00.5Z", [line(2)], {"products": [fin(2, 7.0)]}, warehouse=None),
+    ]}, {"result": []})
+    out = fbo(spark, folder)
+    assert out.columns == postings.COLUMNS and len(out.columns) == 26
+    got = rows(out, "posting_number", "sku", "quantity", "commission_amount", "created_at", "warehouse_name")
+    assert got == [
+        ("a", 1, 1, 3.0, "2024-02-01T00:00:00Z", "WH"), ("a", 1, 4, 3.0, "2024-02-01T00:00:00Z", "WH"),
+        ("a", 2, 1, 2.0, "2024-02-01T00:00:00Z", "WH"), ("frac", 2, 1, 7.0, "2024-02-03T00:00:00.5Z", "NONE"),
+    ]
+    assert rows(out, "owner_code", "transaction_id", "schema")[0] == ("OWN", 3, "FBO")
+
+
+@pytest.mark.parametrize("finance", [None, {"products": []}, {"products": [fin(8, 1.0)]}])
+def test_missing_financial_row(spark, land, rows, finance):
+    folder = land("fbo", {"result": [posting("a", "2024-02-01T00:00:00Z", [line(1)], finance)]})
+    with pytest.raises(Exception, match="no financial row for sku 1 of posting a"):
+        fbo(spark, folder).collect()
+    # the check does not depend on the columns that are read
+    with pytest.raises(Exception, match="no financial row"):
+        fbo(spark, folder).select("sku").collect()
+    assert rows(fbo(spark, folder, strict=False), "sku", "payout") == [(1, None)]
+
+
+def test_fbs(spark, land, rows):
+    def p(number, process):
+        one = posting(number, None, [line(1)], {"products": [fin(1, 1.0)]}, process=process)
+        del one["created_at"]
+        return one
+
+    folder = land("fbs", {"result": {"has_next": False, "postings": [
+        p("a", "2024-02-01T00:00:00Z"), p("b", "2024-01-31T23:59:59Z"), p("c", "2024-02-05T10:00:00Z")]}})
+    out = postings.flatten_fbs(landing.good(landing.pages(spark, folder, "fbs")), "OWN", 3, SINCE)
+    assert rows(out, "posting_number", "created_at", "warehouse_name", "schema") == [
+        ("a", "2024-02-01T00:00:00Z", "FBS", "FBS"), ("c", "2024-02-05T10:00:00Z", "FBS", "FBS")]
+
+
+def test_latest_postings_keep_line_repeats_but_not_page_repeats(spark, land, rows):
+    twice = posting("a", "2024-02-01T00:00:00Z", [line(1), line(1)], {"products": [fin(1, 1.0)]})
+    newer = dict(twice, status="cancelled", in_process_at="2024-02-04T00:00:00Z")
+    folder = land("fbo", {"result": [twice]}, {"result": [newer]}, {"result": [twice]})
+    pages = landing.good(landing.pages(spark, folder, "fbo"))
+    out = postings.flatten_fbo(postings.latest_postings(pages), "OWN", 3, SINCE)
+    assert rows(out, "sku", "status") == [(1, "cancelled"), (1, "cancelled")]
+
+
+def test_latest_postings_of_fbs_pages(spark, land, rows):
+    one = posting("a", None, [line(1)], {"products": [fin(1, 1.0)]})
+    folder = land("fbs", *[{"result": {"has_next": False, "postings": [one]}}] * 2)
+    pages = landing.good(landing.pages(spark, folder, "fbs"))
+    out = postings.flatten_fbs(postings.latest_postings(pages, "result.postings"), "OWN", 3, SINCE)
+    assert rows(out, "posting_number") == [("a",)]
+
+
+def wb_order(**kw):
+    base = {"date": "2024-02-01T10:00:00", "lastChangeDate": "2024-02-02T00:00:00", "warehouseName": "Тула",
+            "regionName": "Reg", "srid": "s1", "barcode": "00123", "isCancel": False, "nmId": 7, "priceWithDisc": 5.5}
+    return {**base, **kw}
+
+
+def test_wb_orders(spark, land, rows):
+    folder = land("wb", [wb_order(), wb_order(date="2024-01-31T23:59:59", lastChangeDate="2024-03-01T00:00:00"),
+                         wb_order(srid="s2", warehouseName=None)], [])
+    out = wb.order_lines(landing.good(landing.pages(spark, folder, "wb_orders")), "OWN", 3, SINCE)
+    assert out.columns == list(wb.ORDER_COLUMNS) and len(out.columns) == 29
+    assert rows(out, "srid", "warehouse_name", "oblast", "region_name", "odid", "barcode") == [
+        ("s1", "ТУЛА", "Reg", "Reg", 0, "00123"), ("s2", "NONE", "Reg", "Reg", 0, "00123")]
+
+
+def test_wb_sales(spark, land, rows):
+    folder = land("wb", [wb_order(), wb_order(srid=0), wb_order(srid="0"), wb_order(srid=None, barcode="NA"),
+                         wb_order(srid="old", date="2023-01-01T00:00:00")])
+    docs = landing.good(landing.pages(spark, folder, "wb_sales"))
+    out = wb.sale_lines(docs, "OWN", 3, SINCE)
+    assert out.columns == list(wb.SALE_COLUMNS) and len(out.columns) == 29
+    assert rows(out, "srid", "barcode") == [("s1", "00123"), (None, "NA")] or \
+        rows(out, "srid", "barcode") == [(None, "NA"), ("s1", "00123")]
+
+
+def test_wb_stock(spark, land, rows):
+    folder = land("wb", [{"lastChangeDate": "x", "warehouseName": "a", "quantity": 3, "Price": 1.5, "nmId": 1}])
+    out = wb.stock_lines(landing.good(landing.pages(spark, folder, "wb_stock")), "OWN", 3, date(2024, 2, 3))
+    assert out.columns == list(wb.STOCK_COLUMNS) and len(out.columns) == 19
+    assert rows(out, "warehouse_name", "quantity", "price", "create_at") == [("A", 3, 1.5, date(2024, 2, 3))]
+
+
+def stock_item(sku, cells):
+    return {"sku": sku, "method": "m", "category": {"name": "c"}, "info": {"name": "n", "brand": "b", "seller": "s"},
+            "price": {"currency": "RUB", "base_price": 1.0}, "stock": cells}
+
+
+def test_seller_stock(spark, land, rows):
+    cell = {"quantity": 2, "warehouse": {"name": "w", "region": "r", "id": "9"}}
+    no_id = {"quantity": 1, "warehouse": {"name": None, "region": "r"}}
+    folder = land("s", {"result": [stock_item(1, [cell, no_id]), stock_item("2", []), stock_item("3", [cell])]})
+    pages = landing.good(landing.pages(spark, folder, "seller_stock"))
+    codes = spark.createDataFrame([(1, "b1"), (3, "b3")], "sku bigint, barcode string")
+    out = stock.seller_stock_lines(pages, codes, "OWN", 3, date(2024, 2, 3))
+    assert out.columns == list(stock.OZON_COLUMNS)
+    assert rows(out, "sku", "warehouse", "warehouse_id", "quantity", "barcode") == [
+        ("1", "NONE", None, 1, "b1"), ("1", "W", "9", 2, "b1"), ("3", "W", "9", 2, "b3")]
+    with pytest.raises(Exception, match="no match for sku: 3"):
+        stock.seller_stock_lines(pages, codes.filter("sku = 1"), "OWN", 3, date(2024, 2, 3)).select("quantity").collect()
+
+
+def test_analytics_stock(spark, land, rows):
+    row = {"sku": 1, "item_code": "c", "item_name": "n", "free_to_sell_amount": 4, "promised_amount": 1,
+           "reserved_amount": 2, "warehouse_name": "w"}
+    pages = landing.good(landing.pages(spark, land("s", {"result": {"rows": [row, dict(row, sku=2)]}}), "analytics_stock"))
+    codes = spark.createDataFrame([("1", "b1")], "sku string, barcode string")
+    out = stock.analytics_stock_lines(pages, codes, "OWN", 3, date(2024, 2, 3))
+    assert rows(out, "sku", "quantity", "barcode", "seller") == [("1", 4, "b1", None), ("2", 4, None, None)]
+    older = stock.older_stock_lines(pages, "OWN", date(2024, 2, 3))
+    assert rows(older)[0] == ("1", "c", "n", 4, 1, 2, "W", "OWN", date(2024, 2, 3))
+
+
+KZ_HEADER = [key for _, key, _ in stock.KZ_COLUMNS if key != "SKU"] + ["SKU"]
+
+
+def kz_file(tmp_path, **values):
+    row = {h: "1" for h in KZ_HEADER} | {"SKU": "ORG-1", "Общая сумма остатков (руб.)": "10,5",
+                                         "Себест. (сумма) (руб.)": "20,5", "Наименование": 'a "b", c'} | values
+    quoted = ['"' + row[h].replace('"', '""') + '"' for h in KZ_HEADER]
+    (tmp_path / "kz.csv").write_text(",".join(KZ_HEADER) + "\n" + ",".join(quoted) + "\n", encoding="utf-8")
+    return str(tmp_path / "kz.csv")
+
+
+def test_kz_stock(spark, tmp_path, rows):
+    raw = landing.kz_stock_file(spark, kz_file(tmp_path))
+    out = stock.kz_stock_lines(raw, "OWN", 3, date(2024, 2, 3))
+    assert len(out.columns) == 22
+    assert rows(out, "name", "org", "cost_total", "price_total", "qnt") == [('a "b", c', "ORG", 10.5, 20.5, 1)]
+    fixed = stock.kz_stock_lines(raw, "OWN", 3, date(2024, 2, 3), fix_names=True)
+    assert rows(fixed, "cost_total", "price_total") == [(20.5, 10.5)]
+
+
+def test_kz_stock_with_a_bad_number(spark, tmp_path):
+    raw = landing.kz_stock_file(spark, kz_file(tmp_path, **{"Общий остаток": "x"}))
+    with pytest.raises(Exception, match="(?i)cast"):
+        stock.kz_stock_lines(raw, "OWN", 3, date(2024, 2, 3)).collect()
+
+
+def item(id, sku, fbo=0, fbs=0, **kw):
+    return {"id": id, "sku": sku, "fbo_sku": fbo, "fbs_sku": fbs, "barcode": f"b{id}", "name": f"n{id}", **kw}
+
+
+def test_products(spark, land, rows):
+    folder = land("p", {"result": {"items": [item(1, 11), item(2, 0, 21, 22)]}},
+                  {"result": {"items": [item(3, 22), item(1, 11, name="later")]}})
+    pages = landing.good(landing.pages(spark, folder, "products"))
+    found = spark.createDataFrame([(1, "B", "C"), (2, None, "C2")], "id bigint, brand string, category string")
+    out = products.product_rows(pages, found, "OWN", 3)
+    assert out.columns == products.COLUMNS and len(out.columns) == 15
+    assert rows(out, "sku", "barcode", "name", "brand") == [
+        (11, "b1", "n1", "B"), (21, "b2", "n2", None), (22, "b2", "n2", None)]
+    assert rows(products.sku_barcodes(pages)) == [("11", "b1"), ("21", "b2"), ("22", "b3")]
+    with pytest.raises(Exception, match="no match for id: 2"):
+        products.product_rows(pages, found.filter("id = 1"), "OWN", 3).collect()
+
+
+def test_more_products_than_one_page_holds(spark, land, rows):
+    pages = [{"result": {"items": [item(i, i) for i in range(start, start + 1000)]}} for start in (1, 1001, 2001)]
+    df = landing.good(landing.pages(spark, land("p", *pages), "products"))
+    assert products.sku_barcodes(df).count() == 3000
+
+
+@pytest.mark.parametrize("feed, key", [("attributes", "id"), ("attributes_older", "attribute_id")])
+def test_attributes(spark, land, rows, feed, key):
+    def a(no, *values):
+        return {key: no, "values": [{"value": v} for v in values]}
+
+    folder = land("a", {"result": [
+        {"id": 1, "attributes": [a(85, "first"), a(8229, "cat", "cat2"), a(85, "last"), a(85)]},
+        {"id": 2, "attributes": []}, {"id": 3, "attributes": [a(85)]}]},
+        {"result": [{"id": 3, "attributes": [a(85, "again")]}]})
+    pages = landing.good(landing.pages(spark, folder, feed))
+    out = products.last_attributes(products.pick_attributes(pages, key=key))
+    assert rows(out, "id", "brand", "category") == [(1, "last", "cat"), (2, None, None), (3, "again", None)]
+
+
+def test_product_ids(spark, land, rows):
+    folder = land("i", *[{"result": {"items": [{"product_id": 1}, {"product_id": n}], "last_id": "x"}} for n in (2, 3)])
+    assert rows(products.product_ids(landing.good(landing.pages(spark, folder, "product_ids")))) == [(1,), (2,), (3,)]
+
+
+def source(company, offers, price=None):
+    return {"company_id": company, "company_name": "shop", "region_name": "r", "price": price, "in_stock": 1,
+            "discount_type": 1, "discount": 5.0, "offers": offers}
+
+
+def test_prices(spark, land, rows):
+    def offer(name, **kw):
+        return {"price": 100.0, "in_stock": 1, "discount_type": 0, "discount": 10.0, "offer": name,
+                "date": 1700000000, "last_check_date": 1700000060, **kw}
+
+    cards = [{"key": "x", "value": "0"}, {"key": "card_price", "value": "90"}, {"key": "card_price", "value": "80"}]
+
+    def obj(code, sources):
+        return {"client_code": code, "name": "n", "articul": "a", "category_name": "c", "brand_name": "b",
+                "default_price": 1.0, "sources": sources}
+
+    folder = land("m", {"result": {"pagination": {"pages_cnt": 1, "page": 1}, "objects": [
+        obj("bare", [source(5, [], 50.0), source(6, None, 60.0), source(7, [])]),
+        obj("none", None), obj("empty", []),
+        obj("full", [source(False, [offer("no")]), source(0, [offer("no")]),
+                     source(None, [offer("A", data=cards), offer(" ", discount_type=1, in_stock=0, data=[])])]),
+    ]}}, {"result": {"objects": []}})
+    out = prices.price_offers(landing.good(landing.pages(spark, folder, "prices")), 3, datetime(2024, 1, 1))
+    got = rows(out, "client_code", "company_id", "offer_name", "original_price", "in_stock", "card_price", "date")
+    when = datetime(2023, 11, 15, 1, 13, 20)
+    assert got == [
+        ("bare", "5", "shop", 55.0, True, None, None), ("bare", "6", "shop", 65.0, True, None, None),
+        ("full", None, " ", 110.0, False, None, when), ("full", None, "A", pytest.approx(110.0), True, "90", when)]
+    dim = spark.createDataFrame([("id-a", "A")], "id string, name string")
+    with_ids = prices.priced_rows(out, dim)
+    assert with_ids.columns == prices.COLUMNS and len(with_ids.columns) == 21
+    ids = {r["offer_name"]: r["offer_id"] for r in with_ids.collect()}
+    assert ids["A"] == "id-a" and ids[" "] is None and len(ids["shop"]) == 36
+
+
+def test_erp(spark, land, rows):
+    nil = "00000000-0000-0000-0000-000000000000"
+
+    def code(id, barcode_id, article, **kw):
+        return {"id": id, "barcodeID": barcode_id, "barcode": "0012", "orgId": "o", "marketId": "m", "article": article, **kw}
+
+    pages = landing.good(landing.pages(spark, land("b", {"items": [
+        code("1", nil, "x"), code("2", "u2", ' "q" ', RRC="12,50"), code("3", "u3", "a", RRC=" "), code("4", "u4", "a")]}),
+        "erp_barcodes"))
+    assert rows(erp.barcode_rows(pages, 3), "item_id", "article", "rrc", "barcode") == [
+        ("2", "q", 12.5, "0012"), ("3", "a", 0.0, "0012"), ("4", "a", 0.0, "0012")]
+    stocks = landing.good(landing.pages(spark, land("s", {"items": [
+        {"id": "1", "quantity": 2}, {"id": " ", "quantity": 3}, {"id": None, "quantity": 4}]}), "erp_stock"))
+    assert rows(erp.stock_rows(stocks, 3, date(2024, 1, 1))) == [(3, date(2024, 1, 1), "1", 2.0)]
+    orgs = landing.good(landing.pages(spark, land("o", {"items": [
+        {"id": "1", "name": "n", "inn": "7", "kpp": "8", "updateAt": "t"}]}), "erp_organizations"))
+    assert rows(erp.organization_rows(orgs, 3)) == [("1", "n", "7", "8", "t", 3)]
+    empty = landing.good(landing.pages(spark, land("e", {"items": []}), "erp_items"))
+    assert rows(erp.item_rows(empty, 3)) == []
+
+
+def test_barcode_prices(spark, land, rows):
+    def entry(name, *codes):
+        return {"Номенклатура": name, "РРЦ": 1.0, "Дистр": 2.0, "Себестоимость": 3.0, "Штрихкоды": list(codes)}
+
+    folder = land("p", {"Данные": [entry("a (УСТАРЕЛ)", "1"), entry("Не Использовать b", "2"), entry("c", "1", " 1 ", "", None, "3 ")]},
+                  {"Данные": [entry("d", "3", "2"), entry("e")]})
+    out = erp.barcode_prices(landing.good(landing.pages(spark, folder, "erp_prices")), 3, datetime(2024, 1, 1))
+    assert len(out.columns) == 7
+    assert rows(out, "barcode", "name") == [("1", "c"), ("2", "d"), ("3", "c")]
+
+
+def sheet(tmp_path, *cells):
+    lines = [";".join(f"h{i}" for i in range(18)), *[";".join(c) for c in cells]]
+    (tmp_path / "ads.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(tmp_path / "ads.csv")
+
+
+def test_ad_traffic(spark, tmp_path, rows):
+    cells = ["2024-01-02", "ya/cpc/x", "camp", "", " ", *[f"{n}.0" for n in range(5, 13)], "13.5", "14.5", "15.0", "16.5", ""]
+    out = advertising.traffic_rows(landing.ad_sheet(spark, sheet(tmp_path, cells)), "OWN", "doc")
+    assert len(out.columns) == 21
+    assert rows(out, "date", "report_date", "source", "medium", "content", "term", "session_duration", "ordered_qnt",
+                "sum_cost", "range_attr_sum_price") == [
+        (date(2024, 1, 2), date(2024, 1, 2), "ya", "cpc", None, None, 10, 12, 13.5, None)]
+
+
+def test_ad_orders(spark, tmp_path, rows):
+    cells = ["2024-01-02", "1.0", "cat", "77/name", "4.0", "seller", "6.0", "brand", "ya/cpc", "a", "b", "c", "12.0",
+             "13.5", "14.5", "15.0", "16.5", "17.5"]
+    out = advertising.order_rows(landing.ad_sheet(spark, sheet(tmp_path, cells)), "OWN", "doc")
+    assert len(out.columns) == 23
+    assert rows(out, "sku", "name", "sum_price", "sum_cost", "brand_id") == [("77", "name", 13.5, 14.5, 6)]
+    bad = landing.ad_sheet(spark, sheet(tmp_path, cells[:3] + ["alone"] + cells[4:]))
+    with pytest.raises(Exception, match="no part 2 in value: alone"):
+        advertising.order_rows(bad, "OWN", "doc").collect()
+    assert rows(advertising.order_rows(bad, "OWN", "doc", strict=False), "sku", "name") == [("alone", None)]
+
+
+def test_realization(spark, land, rows):
+    detail = landing.realization_detail(spark, land("d", [{"rrd_id": 5, "nm_id": 7}, {"rrd_id": 6, "barcode": "007"}]),
+                                        list(realization.DETAIL_LABELS))
+    out = realization.labelled(detail)
+    assert out.columns == list(realization.DETAIL_LABELS.values()) and len(out.columns) == 61
+    assert rows(out, "Номер строки", "Баркод") == [("5", None), ("6", "007")]
+    few = realization.labelled(detail.select("rrd_id"))
+    assert len(few.columns) == 61
+    pages = landing.good(landing.pages(spark, land("r", {"result": {
+        "header": {"num": "N1", "doc_amount": 5.5}, "rows": [{"row_number": 1, "sale_qty": 2}, {"row_number": 2}]}}),
+        "realization"))
+    assert rows(realization.header_rows(pages), "num", "doc_amount") == [("N1", 5.5)]
+    assert rows(realization.line_rows(pages), "num", "row_number", "sale_qty") == [("N1", 1, 2), ("N1", 2, None)]
+    assert len(realization.section_labels(realization.LINE_LABELS)) == 19
+
+
+def test_number_and_text_keys_read_alike(spark, land, rows):
+    folder = land("s", {"result": {"rows": [{"sku": 12}, {"sku": "12"}]}})
+    pages = landing.good(landing.pages(spark, folder, "analytics_stock"))
+    assert rows(pages.select(F.explode("result.rows.sku"))) == [("12",), ("12",)]
