@@ -31,12 +31,12 @@ def replace_day(old: DataFrame, new: DataFrame, day: str, on, delete: bool) -> D
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
     """Staged rows replace old rows of the same key; `order` picks among staged repeats.
 
-    Both sides go through one ranked union, so the old side is shuffled once
-    and not joined.
+    The old side is only filtered: where the staged keys are few, Spark
+    broadcasts them and the old rows are not shuffled at all.
     """
     order = order or [c for c in new.columns if c not in keys]
-    both = old.withColumn("_generation", F.lit(0)).unionByName(new.withColumn("_generation", F.lit(1)))
-    return last_wins(both, keys, ["_generation", *order]).drop("_generation")
+    kept = old.join(new.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
+    return kept.unionByName(last_wins(new, keys, order))
 
 
 def insert_missing(dim: DataFrame, new: DataFrame, on: list[str]) -> DataFrame:

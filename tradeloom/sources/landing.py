@@ -30,12 +30,12 @@ def pages(spark: SparkSession, path: str, feed: str, lines: bool = False) -> Dat
 
 
 def good(df: DataFrame) -> DataFrame:
-    """Readable rows only."""
+    """Readable rows only. Spark wants at least one data column read beside this test."""
     return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def bad(df: DataFrame) -> DataFrame:
-    """Unreadable rows: the page and its text."""
+    """Unreadable rows: the page and its text. Cache or write the pages first, as Spark asks for."""
     return df.filter(F.col(CORRUPT).isNotNull()).select("page", CORRUPT)
 
 
