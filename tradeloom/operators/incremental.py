@@ -55,15 +55,16 @@ def key_batches(df: DataFrame, owner: str, key: str, size: int, spread: Column |
     keys in the buckets before; only those counts, at most `buckets` per owner,
     are ever put in one order.
     """
-    bucket = F.pmod(spread if spread is not None else F.xxhash64(key), F.lit(buckets)).cast("int")
-    keys = df.select(owner, key).distinct().withColumn("_bucket", bucket)
+    place_of = F.pmod(spread if spread is not None else F.xxhash64(key), F.lit(buckets)).cast("int")
+    # never null, so the join below adds no filter to one side and both sides share one shuffle of the keys
+    keys = df.select(owner, key).distinct().withColumn("_bucket", F.coalesce(place_of, F.lit(0)))
     local = Window.partitionBy(owner, "_bucket").orderBy(key)
     before = Window.partitionBy(owner).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = keys.groupBy(owner, "_bucket").agg(F.count(F.lit(1)).alias("_n")) \
         .select(owner, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    place = F.col("_shift") + F.col("_row") - 1
-    return keys.withColumn("_row", F.row_number().over(local)).join(shift, [owner, "_bucket"]).select(
-        owner, key, F.floor(place / size).cast("bigint").alias("batch"), (place % size).cast("int").alias("position"))
+    numbered = keys.withColumn("_row", F.row_number().over(local)).join(shift, [owner, "_bucket"])
+    return numbered.select(owner, key, F.expr(f"(_shift + _row - 1) div {int(size)}").alias("batch"),
+                           F.expr(f"cast((_shift + _row - 1) % {int(size)} as int)").alias("position"))
 
 
 def range_pieces(ranges: DataFrame, first: str, last: str, months: int = 3) -> DataFrame:

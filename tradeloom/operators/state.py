@@ -70,5 +70,5 @@ def current_state(log: DataFrame, key: str, ts: str) -> DataFrame:
 
 def before_transaction(days: DataFrame, transactions: DataFrame, day: str, tx: int) -> DataFrame:
     """Rows that are not of the day before transaction `tx` started."""
-    gone = transactions.filter(F.col("id") == tx).select(F.date_sub(F.col("start_date").cast("date"), 1).alias(day))
-    return days.join(gone, [day], "left_anti")
+    gone = transactions.filter(F.col("id") == tx).select(F.date_sub(F.col("start_date").cast("date"), 1)).scalar()
+    return days.filter(F.coalesce(F.col(day) != gone, F.lit(True)))

@@ -169,9 +169,13 @@ def product_report(orders: DataFrame, stock: DataFrame, items: DataFrame, on, da
 
 
 def _orders_of(orders: DataFrame, started: DataFrame) -> DataFrame:
-    """Orders of the day before the given start, which is at most one row."""
-    day = started.select(F.date_sub(F.col("start_date").cast("date"), 1).alias("day"))
-    return orders.join(day, ["day"], "left_semi").groupBy("day", "owner", "source", "sku").agg(
+    """Orders of the day before the given start, which is at most one row.
+
+    The day is a scalar subquery: it is known before the orders are read, so the
+    filter reaches their scan.
+    """
+    day = started.select(F.date_sub(F.col("start_date").cast("date"), 1)).scalar()
+    return orders.filter(F.col("day") == day).groupBy("day", "owner", "source", "sku").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("quantity").cast(MONEY).alias("quantity"),
         F.sum("amount").cast(MONEY).alias("amount"),
         F.count(F.when(F.col("is_cancelled"), 1)).alias("cancelled"),
