@@ -74,7 +74,8 @@ def _fact_sql(wb_rows: str, ozon: bool) -> str:
 
 @query("fact_orders", _fact_sql("l_extendedprice AS amount, l_returnflag = 'R' AS is_cancelled", True))
 def fact_orders(spark, sf):
-    lines = feeds.owned_lines(spark, sf)
+    """Sources are asked for the range that will be replaced, so the scan skips older orders."""
+    lines = feeds.requested(feeds.owned_lines(spark, sf), "o_orderdate", str(FROM), "2100-01-01")
     wb_docs = feeds.wb_orders(lines.filter("l_linestatus = 'O'"), "o_orderdate", "l_shipdate", "owner")
     staged_wb = wb.order_lines(wb_docs, F.col("owner"), RUN, FROM)
     pages = postings.latest_postings(feeds.fbo(lines.filter("l_linestatus = 'F'"), "owner"))
@@ -85,7 +86,8 @@ def fact_orders(spark, sf):
 @query("fact_sales", _fact_sql("CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS amount,"
                                " false AS is_cancelled", False))
 def fact_sales(spark, sf):
-    lines = feeds.owned_lines(spark, sf).filter("l_linestatus = 'O'")
+    lines = feeds.requested(feeds.owned_lines(spark, sf), "o_orderdate", str(FROM), "2100-01-01") \
+        .filter("l_linestatus = 'O'")
     docs = feeds.wb_sales(lines, "o_orderdate", "l_shipdate", "owner")
     staged = wb.sale_lines(docs, F.col("owner"), RUN, FROM)
     return facts.apply_sales(_old_orders(spark, sf), [facts.wb_sales(staged)], FROM)

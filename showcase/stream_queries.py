@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from showcase.registry import query, table
+from showcase.registry import new_folder, query, table
 from showcase.state_queries import LATEST_SQL
-from tradeloom.session import shared_dir
 from tradeloom.streaming import changes
 
 
-def _folder(spark, name: str) -> str:
-    """New folder per run below the shared one; nothing is ever cleared."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _stream(spark, sf: str):
     schema = table(spark, sf, "events").schema
     return changes.landed(spark, sf, schema, pathGlobFilter="events.parquet")
@@ -24,7 +16,7 @@ def _stream(spark, sf: str):
 
 @query("stream_upsert", LATEST_SQL)
 def stream_upsert(spark, sf):
-    work, keys, order = _folder(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"]
+    work, keys, order = new_folder(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"]
     changes.change_log(_stream(spark, sf), f"{work}/log", f"{work}/checkpoint", keys, order).awaitTermination()
     now = changes.current(spark, f"{work}/log", keys, order)
     return now.select("user_id", "event_type", "event_id",
@@ -37,7 +29,7 @@ _ROWS = "SELECT event_id, user_id, event_type, CAST(epoch_us(ts) AS BIGINT) AS t
 @query("stream_dedup", _ROWS)
 def stream_dedup(spark, sf):
     """Every event lands twice, as it does where pages overlap."""
-    work = _folder(spark, "dedup")
+    work = new_folder(spark, "dedup")
     twice = _stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     once = changes.distinct_changes(twice, ["event_id"], "ts")
     changes.append_run(once, f"{work}/rows", f"{work}/checkpoint").awaitTermination()
@@ -47,7 +39,7 @@ def stream_dedup(spark, sf):
 
 @query("stream_price_run", "SELECT CAST(event_id AS BIGINT) AS event_id, value, 12 AS run FROM events")
 def stream_price_run(spark, sf):
-    work = _folder(spark, "run")
+    work = new_folder(spark, "run")
     rows = _stream(spark, sf).select("event_id", "value", F.lit(12).alias("run"))
     changes.replace_run(rows, f"{work}/rows", f"{work}/checkpoint", "run").awaitTermination()
     return spark.read.parquet(f"{work}/rows").select("event_id", "value", "run")

@@ -75,7 +75,10 @@ def report_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def staged_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Tab text with a fixed schema; rows that do not fit keep their text in `_corrupt`."""
+    """Tab text with a fixed schema; rows that do not fit keep their text in `_corrupt`.
+
+    An empty field is null, quoted or not.
+    """
     return spark.read.schema(f"{schema}, {CORRUPT} string").options(
         sep="\t", quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, header="false"
     ).csv(path)
