@@ -31,6 +31,12 @@ def test_fraction_without_drop_is_an_error(spark):
         one(spark, times.iso_ts("c", zulu=True), c=("2024-01-02T03:04:05.678Z", "string"))
 
 
+@pytest.mark.parametrize("given", ["2024-01-02 03:04:05", "2024-01-02", "2024-13-02T03:04:05", "2024-01-02T03:04+03", "x"])
+def test_other_time_texts_are_errors(spark, given):
+    with pytest.raises(Exception, match="(?i)parse|cast|timestamp"):
+        one(spark, times.iso_ts("c"), c=(given, "string"))
+
+
 @pytest.mark.parametrize("given, first, second", [("a/b", "a", "b"), ("a/b/c", "a", "b"), ("/b", "", "b"), ("a/", "a", "")])
 def test_pair_part(spark, given, first, second):
     assert one(spark, text.pair_part("c", 1), c=(given, "string")) == first
