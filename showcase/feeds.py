@@ -49,7 +49,8 @@ def owned_lines(spark: SparkSession, sf: str, documents: bool = True) -> DataFra
 
 def requested(df: DataFrame, day: str, since: str, until: str) -> DataFrame:
     """Rows a source is asked for; on a table column, so the scan skips the rest."""
-    return df.filter((F.col(day) >= F.lit(since).cast("timestamp_ntz")) & (F.col(day) < F.lit(until).cast("timestamp_ntz")))
+    first, end = (F.lit(v).cast("timestamp_ntz") for v in (since, until))
+    return df.filter((F.col(day) >= first) & (F.col(day) < end))
 
 
 _FINANCE_ROW = (

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from showcase import feeds
-from showcase.feed_queries import OWNER, RUN, SINCE
 from showcase.registry import query, table
 from tradeloom.functions.times import iso_ts, month_first, month_last, months_back, window_start
 from tradeloom.operators import dedup, incremental, lookup, state, wb

@@ -78,7 +78,8 @@ def seller_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id, sto
 
 def analytics_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id, stock_date) -> DataFrame:
     """Analytics stock in the same columns; a SKU may lack a barcode."""
-    rows = pages.select("*", F.explode("result.rows").alias("r")).drop("result").withColumn("sku", F.col("r.sku").cast("string"))
+    rows = pages.select("*", F.explode("result.rows").alias("r")).drop("result") \
+        .withColumn("sku", F.col("r.sku").cast("string"))
     found = optional(rows, barcodes.select(F.col("sku").cast("string").alias("sku"), "barcode"), ["sku"])
     return _conform(found, {
         "owner": as_value(owner), "date": as_value(stock_date), "sku": F.col("sku"),

@@ -20,6 +20,10 @@ SETTINGS = {
     # Keyed state outgrows executor heaps long before it outgrows local disks.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch commits its changes, not a snapshot of the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Dedup emits rows as they arrive, so an empty batch would only evict state early.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 
