@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from showcase.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,9 +14,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
 def test_entry(spark):
