@@ -59,7 +59,7 @@ def fit(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float],
     down = np.array([[c == "-" for c in p] for p in names], float)
     q = (up.sum(1) + 1) / (up.sum(1) + down.sum(1) + 2)
     # A vote against counts for more at the start: most documents break no rule at all.
-    q = np.where(down.sum(1) > 0, np.minimum(q, 0.5 - 0.4 * (down.sum(1) > 1)), q)
+    q = np.where(down.sum(1) > 0, np.minimum(q, 0.2), q)
     for _ in range(rounds):
         good, bad = n * q, n * (1 - q)
         prior = (good.sum() + 1) / (n.sum() + 2)
