@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines", "n_distinct", "n_upper",
-    "n_letters", "n_digits", "n_marks", "n_ends", "n_runs", "n_short", "longest",
+    "n_letters", "n_digits", "n_marks", "n_ends", "n_runs", "n_short", "longest", "n_tails",
 ]
 SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
 
@@ -65,7 +65,7 @@ def counts(text: str | None) -> list[int]:
         len(words), len(text) - n_space, int(of[_SYMBOLS].sum()), repeated, repeat_words(words), len(text), len(lines),
         len(set(words)), int(of[65:91].sum()), letters, int(of[48:58].sum()), int(of[_MARKS].sum()),
         sum(w[-1] in b".!?" for w in words), sum(a == b for a, b in zip(words, words[1:])), sum(len(w) < 4 for w in words),
-        max(map(len, words), default=0),
+        max(map(len, words), default=0), sum(w[-1] in b"#*$%&|<>" for w in words),
     ]
 
 
