@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import mixing, rules, secrets, sharding
+from tradeloom.llm import mixing, packing, rules, secrets, sharding
 from tradeloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +87,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.slots(rows).select(
         "doc_id", F.col("_size").alias("size"), F.col("_crc32").alias("text_crc32"), F.lit("key").alias("law"),
         F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.col("_grown_shard").alias("grown_shard"))
+
+
+@query("op2_pack_islands")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Sequences of at most 2048 tokens; a piece's ids are given by their checksum."""
+    pieces = packing.tokenize(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rows = packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -30,7 +30,7 @@ RULES = (
     _share("n_symbols", "n_words", 0.1, 0.4, "symbols"),
     _share("n_symbols", "word_chars", 0.02, 0.08, "symbol_chars"),
     _share("n_tails", "n_words", 0.05, 0.25, "symbol_tails"),
-    _share("n_repeat_words", "n_words", 0.1, 0.25, "repeats"),
+    _share("n_repeat_words", "n_words", 0.1, 0.3, "repeats"),
     _share("n_dup_lines", "n_lines", 0.1, 0.3, "lines", "n_lines >= 4"),
     _share("n_upper", "n_letters", 0.2, 0.5, "capitals"),
     _share("n_runs", "n_words", 0.03, 0.15, "runs", "n_words >= 5"),
