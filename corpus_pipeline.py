@@ -1,11 +1,73 @@
-"""Corpus pipeline: reject, join near copies, mask secrets, mix sources, pack."""
+"""Corpus pipeline: reject toxic documents, keep one of each group of near copies, mask secrets, mix sources, pack.
+
+STAGES holds (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame. Each
+stage's result is written as Parquet and read again as the next one's documents. All but the last
+return the columns of documents; extra columns are passed on. The classifier of the first stage and
+the packing cannot be said in SQL, so there is no ORACLE_SQL; a test holds the stages against plain
+versions.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradeloom.llm import jaccard, mixing, queries, secrets, toxicity
+from tradeloom.llm.common import table, written
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of being toxic is below one half. Null and empty texts stay."""
+    return toxicity.reject(docs, queries.toxic_chain(spark, sf_dir, docs), "toxic")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each component of the n-gram Jaccard join.
+
+    Texts without words are linked with nothing and stay. Rows that repeat a doc_id become one; rows
+    without a doc_id stay, as nothing tells which one of a group would be theirs.
+    """
+    found = jaccard.join(docs)
+    keep = found.filter((F.col("doc_id") == F.col("component_id")) | (F.col("n_shingles") == 0)).select("doc_id").distinct()
+    return docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]).unionByName(
+        docs.filter(F.col("doc_id").isNull()))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; secrets in their texts are masked and n_chars follows."""
+    return secrets.mask(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, 0 to 3 times.
+
+    Rows that repeat doc_id, source and text are one document of their joint size; when it is
+    taken, all of them are.
+    """
+    key = [F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.xxhash64("text").alias("_t")]
+    sized = docs.select(*key, mixing.n_words(F.col("text")).alias("size")).groupBy("_i", "_s", "_t").agg(F.sum("size").alias("size"))
+    taken = mixing.mix(written(sized.select(F.struct("_i", "_t").alias("doc_id"), F.col("_s").alias("source"), "size"), "sizes"))
+    taken = taken.filter("copies > 0").select("doc_id._i", "doc_id._t", F.col("source").alias("_s"), "copies")
+    same = docs["doc_id"].eqNullSafe(F.col("_i")) & docs["source"].eqNullSafe(F.col("_s")) & (F.xxhash64(docs["text"]) == F.col("_t"))
+    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.expr("array_repeat(0, cast(copies as int))")))
+    return rows.select([docs[c] for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their place in sequences of at most 2048 tokens."""
+    return queries.packed(docs)
+
+
+STAGES = [
+    ("toxicity", reject_toxic), ("ngram_jaccard_join", one_of_each), ("secret_scan", mask_secrets),
+    ("source_mix", mix_sources), ("best_fit_packing", pack),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import jaccard, mixing, packing, rules, secrets, sharding
-from tradeloom.llm.common import table
+from tradeloom.llm import jaccard, mixing, packing, rules, secrets, sharding, toxicity
+from tradeloom.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,7 +73,7 @@ SELECT doc_id, size, source_size, target, (size * (floor((nr + 1) * rate + u) -
 @query("op8_source_mix", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")))
+    mixed = mixing.mix(written(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sizes"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -125,3 +125,19 @@ FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 @query("op9_ngram_jaccard_join", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+#: The labels mark two things; texts that are toxic without being junk are a category of their own.
+CATEGORIES = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_prose": "toxic = 1 and quality = 1"}
+
+
+def toxic_chain(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Chain:
+    """Chain fitted on at most about 20,000 labelled documents."""
+    return toxicity.train(docs, table(spark, sf_dir, "labels"), CATEGORIES)
+
+
+@query("op3_toxicity_chain")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxic_chain(spark, sf_dir, docs))
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)

@@ -130,7 +130,10 @@ def find_secrets(docs: DataFrame, reach: int = 200) -> DataFrame:
     """
     found = written(scan(docs), "parts")
     weak = reported(found, reach).withColumnsRenamed({"scope": "r1", "scope2": "r2"})
-    rows = found.join(weak, (F.col("scope") == F.col("r1")) & (F.col("scope2") == F.col("r2")), "left")
+    # Most rows have no weak part to look up: they need no shuffle.
+    plain = found.filter(F.size("weak") == 0).withColumn("linked", F.lit(None).cast(PARTS))
+    rows = found.filter(F.size("weak") > 0).join(weak, (F.col("scope") == F.col("r1")) & (F.col("scope2") == F.col("r2")), "left")
+    rows = rows.drop("r1", "r2").unionByName(plain)
     linked = F.coalesce(F.col("linked"), F.array().cast(PARTS))
     order = F.transform(F.concat("base", linked), lambda p: F.struct(p["start"], p["kind"], p["end"]))
     spans = F.transform(F.array_sort(order), lambda p: F.struct(p["kind"], p["start"], p["end"]))
