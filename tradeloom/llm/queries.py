@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import jaccard, mixing, packing, rules, secrets, sharding, toxicity
+from tradeloom.llm import ann, jaccard, mixing, packing, rules, secrets, sharding, toxicity
 from tradeloom.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxic_chain(spark, sf_dir, docs))
     return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+@query("op5_one_bit_search")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
