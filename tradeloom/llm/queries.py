@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import ann, jaccard, mixing, packing, rules, secrets, sharding, toxicity
+from tradeloom.llm import ann, jaccard, langid, mixing, packing, quality, rules, secrets, sharding, toxicity
 from tradeloom.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_one_bit_search")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
+@query("op6_language_fusion")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
+@query("op7_quality_score")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
