@@ -10,6 +10,7 @@ from showcase import feeds
 from showcase.feed_queries import _AD_ORDERS, OWNER, RUN, STOCK_DAY, WH
 from showcase.registry import query, table
 from tradeloom.operators import advertising, erp, postings, stock, wb
+from tradeloom.operators.incremental import requested
 from tradeloom.plans import daily, facts
 from tradeloom.sources import schemas
 
@@ -41,7 +42,8 @@ _PAGE = """lpad(CAST(l_partkey AS VARCHAR), 12, '0') || '-' || lpad(CAST(l_suppk
 
 
 def _fact_sql(wb_rows: str, ozon: bool) -> str:
-    parts = f"""new_wb AS (SELECT 'WB' AS source, c_mktsegment AS owner, 'o' || l_orderkey AS order_key,
+    key = "'o' || l_orderkey" if ozon else "CASE WHEN l_linenumber = 6 THEN '0' ELSE 'o' || l_orderkey END"
+    parts = f"""new_wb AS (SELECT 'WB' AS source, c_mktsegment AS owner, {key} AS order_key,
             CAST(l_partkey AS VARCHAR) AS sku, o_orderdate AS order_ts, l_shipdate AS change_ts,
             1.0::DOUBLE AS quantity, {wb_rows}, {WH} AS warehouse, 'region ' || l_linenumber AS region"""
     parts += (", 'client' AS schema" if ozon else
@@ -49,7 +51,10 @@ def _fact_sql(wb_rows: str, ozon: bool) -> str:
     parts += f""", lpad(CAST(l_partkey AS VARCHAR), 13, '0') AS barcode FROM {_OWNED}
             WHERE l_linestatus = 'O' {'' if ozon else 'AND l_linenumber <> 7'} AND o_orderdate >= TIMESTAMP '1998-01-01'
         )"""
-    union = "SELECT * FROM new_wb"
+    # A later version of line 2 lies before the range: the key has left it.
+    parts += """, moved AS (SELECT * REPLACE (order_ts - INTERVAL 4 YEAR AS order_ts, TIMESTAMP '2099-01-01' AS change_ts) FROM new_wb
+            WHERE region = 'region 2')"""
+    union = "SELECT * FROM new_wb UNION ALL SELECT * FROM moved"
     if ozon:
         parts += f""", posting AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment, l_orderkey,
                 l_linenumber ORDER BY l_shipdate DESC, {_PAGE} DESC) AS rn FROM {_OWNED} WHERE l_linestatus = 'F')
@@ -68,29 +73,39 @@ def _fact_sql(wb_rows: str, ozon: bool) -> str:
         union += " UNION ALL SELECT * FROM new_ozon"
     return f"""WITH {_OLD}, {parts}, latest AS (SELECT *, row_number() OVER (
             PARTITION BY source, owner, order_key, sku ORDER BY {_TIES}) AS rn FROM ({union})),
-        fact AS (SELECT * FROM old UNION ALL SELECT * EXCLUDE (rn) FROM latest WHERE rn = 1)
+        fact AS (SELECT * FROM old UNION ALL SELECT * EXCLUDE (rn) FROM latest WHERE rn = 1 AND order_ts >= TIMESTAMP '1998-01-01')
     SELECT * REPLACE (CAST(order_ts AS VARCHAR) AS order_ts, CAST(change_ts AS VARCHAR) AS change_ts) FROM fact"""
 
 
 @query("fact_orders", _fact_sql("l_extendedprice AS amount, l_returnflag = 'R' AS is_cancelled", True))
 def fact_orders(spark, sf):
-    """Sources are asked for the range that will be replaced, so the scan skips older orders."""
-    lines = feeds.requested(feeds.owned_lines(spark, sf), "o_orderdate", str(FROM), "2100-01-01")
+    """Sources are asked for the range that will be replaced, so the scan skips older orders.
+
+    A later version of some keys, staged as well, lies before the range.
+    """
+    lines = requested(feeds.owned_lines(spark, sf), "o_orderdate", FROM)
     wb_docs = feeds.wb_orders(lines.filter("l_linestatus = 'O'"), "o_orderdate", "l_shipdate", "owner")
     staged_wb = wb.order_lines(wb_docs, F.col("owner"), RUN, FROM)
     pages = postings.latest_postings(feeds.fbo(lines.filter("l_linestatus = 'F'"), "owner"))
     staged_ozon = postings.flatten_fbo(pages, F.col("owner"), RUN, FROM)
-    return facts.apply_orders(_old_orders(spark, sf), [facts.wb_orders(staged_wb), facts.ozon_orders(staged_ozon)], FROM)
+    from_wb = facts.wb_orders(staged_wb)
+    return facts.apply_orders(_old_orders(spark, sf), [from_wb, _moved(from_wb), facts.ozon_orders(staged_ozon)], FROM)
+
+
+def _moved(rows):
+    return rows.filter("region = 'region 2'").withColumns({
+        "order_ts": F.expr("order_ts - interval 4 year"), "change_ts": F.lit("2099-01-01").cast("timestamp_ntz")})
 
 
 @query("fact_sales", _fact_sql("CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS amount,"
                                " false AS is_cancelled", False))
 def fact_sales(spark, sf):
-    lines = feeds.requested(feeds.owned_lines(spark, sf), "o_orderdate", str(FROM), "2100-01-01") \
+    lines = requested(feeds.owned_lines(spark, sf), "o_orderdate", FROM) \
         .filter("l_linestatus = 'O'")
     docs = feeds.wb_sales(lines, "o_orderdate", "l_shipdate", "owner")
     staged = wb.sale_lines(docs, F.col("owner"), RUN, FROM)
-    return facts.apply_sales(_old_orders(spark, sf), [facts.wb_sales(staged)], FROM)
+    new = facts.wb_sales(staged)
+    return facts.apply_orders(_old_orders(spark, sf), [new, _moved(new)], FROM)
 
 
 _OLD_STOCK = """old AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS stock_date, 'KZ' AS source,
@@ -152,12 +167,19 @@ def fact_stock_kz(spark, sf):
         WHERE c_custkey NOT IN (SELECT p_partkey FROM part)""")
 def dictionary_upsert(spark, sf):
     part, customer = table(spark, sf, "part"), table(spark, sf, "customer")
+    def staged(rows):
+        """Every row is staged twice; the earlier one has the higher text, the later one counts."""
+        place = F.explode(F.array(F.struct(F.lit("1").alias("page"), F.lit("zzz ").alias("mark")),
+                                  F.struct(F.lit("2").alias("page"), F.lit("").alias("mark")))).alias("at")
+        first, *rest = rows.columns
+        return rows.select("*", place).select(first, *[F.concat("at.mark", c).alias(c) for c in rest], "at.page", F.lit(0).alias("item_no"))
+
     items = (table(spark, sf, "supplier").selectExpr("cast(s_suppkey as string) as id", "s_name as name"),
-             part.selectExpr("cast(p_partkey as string) as id", "p_name as name"))
+             staged(part.selectExpr("cast(p_partkey as string) as id", "p_name as name")))
     codes = (customer.selectExpr("concat('id-', c_custkey) as barcode_id", "'old' as item_id"),
-             part.selectExpr("concat('id-', p_partkey) as barcode_id", "cast(p_partkey as string) as item_id"))
+             staged(part.selectExpr("concat('id-', p_partkey) as barcode_id", "cast(p_partkey as string) as item_id")))
     prices = (customer.selectExpr("concat('bc-', c_custkey) as barcode", "'old' as name"),
-              part.selectExpr("concat('bc-', p_partkey) as barcode", "p_name as name"))
+              staged(part.selectExpr("concat('bc-', p_partkey) as barcode", "p_name as name")))
     new = facts.apply_dictionary(items, codes, prices)
     return new["item"].selectExpr("'item' as dictionary", "id as key", "name as value") \
         .unionByName(new["barcode"].selectExpr("'barcode' as dictionary", "barcode_id as key", "item_id as value")) \
@@ -194,7 +216,7 @@ def stock_items(spark, sf):
 # Facts as they are stored: typed, one row per order line.
 
 def orders_fact(spark, sf):
-    return feeds.owned_lines(spark, sf, documents=False).selectExpr(
+    return feeds.owned_lines(spark, sf).selectExpr(
         "cast(o_orderdate as date) as day", "if(l_linestatus = 'O', 'WB', 'OZON') as source", "owner",
         "concat('WH ', l_suppkey) as warehouse", "concat('P', l_partkey) as item",
         "cast(l_partkey as string) as sku", "cast(l_quantity as decimal(18,2)) as quantity",
@@ -202,7 +224,7 @@ def orders_fact(spark, sf):
 
 
 def stock_fact(spark, sf):
-    return feeds.owned_lines(spark, sf, documents=False).selectExpr(
+    return feeds.owned_lines(spark, sf).selectExpr(
         "cast(l_shipdate as date) as stock_date", "if(l_linestatus = 'O', 'WB', 'OZON') as source", "owner",
         "concat('WH ', l_suppkey) as warehouse", "concat('P', l_partkey) as item",
         "cast(l_quantity as decimal(18,2)) as quantity")

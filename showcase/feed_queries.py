@@ -15,7 +15,6 @@ from tradeloom.sources import schemas
 
 OWNER, RUN = "SELLER", 7
 SINCE = date(1995, 5, 15)
-ASKED = ("1995-04-01", "2001-07-01")
 STOCK_DAY = date(2001, 11, 30)
 
 CENTS = "CAST(CAST({} AS DECIMAL(18,2)) AS VARCHAR)"
@@ -34,8 +33,7 @@ def _posting_sql(created: str, limit: str, warehouse: str, scheme: str) -> str:
         "SELECT *, l_partkey + 1, 1, l_tax, l_quantity, 2.0 FROM l WHERE l_linenumber IN (3, 6)",
     ])
     return f"""WITH l AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE o_orderdate >= TIMESTAMP '1995-04-01' AND o_orderdate < TIMESTAMP '2001-07-01' AND {limit}
-          AND l_linenumber <> 7), p AS ({branches})
+        WHERE {limit} AND l_linenumber <> 7), p AS ({branches})
     SELECT 'SELLER' AS owner_code, l_orderkey AS order_id, o_custkey || '-' || l_orderkey AS order_number,
         l_orderkey || '-' || l_linenumber AS posting_number,
         CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'awaiting' ELSE 'cancelled' END AS status,
@@ -52,14 +50,14 @@ def _posting_sql(created: str, limit: str, warehouse: str, scheme: str) -> str:
     f"{TIME.format('o_orderdate')} || CASE WHEN l_linenumber IN (1, 3, 5) THEN '.125Z' ELSE 'Z' END",
     "o_orderdate >= TIMESTAMP '1995-05-15'", WH, "FBO"))
 def flatten_postings(spark, sf):
-    pages = feeds.fbo(feeds.requested(feeds.lines(spark, sf), "o_orderdate", *ASKED))
+    pages = feeds.fbo(feeds.lines(spark, sf))
     return postings.flatten_fbo(pages, OWNER, RUN, SINCE)
 
 
 @query("flatten_fbs", _posting_sql(
     f"{TIME.format('l_shipdate')} || 'Z'", "l_shipdate >= TIMESTAMP '1995-05-15'", "'FBS'", "FBS"))
 def flatten_fbs(spark, sf):
-    pages = feeds.fbs(feeds.requested(feeds.lines(spark, sf), "o_orderdate", *ASKED))
+    pages = feeds.fbs(feeds.lines(spark, sf))
     return postings.flatten_fbs(pages, OWNER, RUN, SINCE)
 
 
@@ -93,8 +91,9 @@ _WB = {
 }
 
 
-def _wb_sql(columns, where: str) -> str:
-    return f"SELECT {', '.join(f'{_WB[c]} AS {c}' for c in columns)} FROM lineitem WHERE {where}"
+def _wb_sql(columns, where: str, **other: str) -> str:
+    values = {**_WB, **other}
+    return f"SELECT {', '.join(f'{values[c]} AS {c}' for c in columns)} FROM lineitem WHERE {where}"
 
 
 @query("wb_order_lines", _wb_sql(wb.ORDER_COLUMNS, "l_shipdate >= TIMESTAMP '1995-05-15'"))
@@ -102,7 +101,10 @@ def wb_order_lines(spark, sf):
     return wb.order_lines(feeds.wb_orders(feeds.line_items(spark, sf)), OWNER, RUN, SINCE)
 
 
-@query("wb_sale_lines", _wb_sql(wb.SALE_COLUMNS, "l_shipdate >= TIMESTAMP '1995-05-15' AND l_linenumber <> 7"))
+_SALE_SRID = "CASE WHEN l_linenumber = 6 THEN '0' ELSE 'o' || l_orderkey END"
+
+
+@query("wb_sale_lines", _wb_sql(wb.SALE_COLUMNS, "l_shipdate >= TIMESTAMP '1995-05-15' AND l_linenumber <> 7", srid=_SALE_SRID))
 def wb_sale_lines(spark, sf):
     return wb.sale_lines(feeds.wb_sales(feeds.line_items(spark, sf)), OWNER, RUN, SINCE)
 
@@ -117,32 +119,37 @@ def wb_stock_lines(spark, sf):
         SELECT *, CAST(l_quantity AS INT) AS qty, {WH} AS wh, CAST(l_suppkey AS VARCHAR) AS wid FROM lineitem
             WHERE l_linenumber <> 7
         UNION ALL SELECT *, l_linenumber, 'RESERVE', NULL FROM lineitem WHERE l_linenumber IN (3, 6))
-    SELECT 'SELLER' AS owner, '2001-11-30' AS date, CAST(l_partkey AS VARCHAR) AS sku, l_linestatus AS method,
+    SELECT c_mktsegment AS owner, '2001-11-30' AS date, CAST(l_partkey AS VARCHAR) AS sku, l_linestatus AS method,
         l_returnflag AS category, 'RUB' AS currency, l_extendedprice AS base_price, l_discount AS discount_price,
         l_tax AS premium_price, CAST(NULL AS DOUBLE) AS ozon_card_price, 'part ' || l_partkey AS name,
         l_linestatus AS brand, 's' AS seller, wh AS warehouse, l_returnflag AS warehouse_region, wid AS warehouse_id,
-        qty AS quantity, 7 AS transaction_id, 'bc-' || p_partkey AS barcode
-    FROM c JOIN part ON l_partkey = p_partkey""")
+        qty AS quantity, 7 AS transaction_id, 'bc-' || c_mktsegment || p_partkey AS barcode
+    FROM c JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def ozon_stock_lines(spark, sf):
-    barcodes = table(spark, sf, "part").selectExpr("cast(p_partkey as string) as sku",
-                                                   "concat('bc-', p_partkey) as barcode")
-    return stock.seller_stock_lines(feeds.seller_stock(feeds.line_items(spark, sf)), barcodes, OWNER, RUN, STOCK_DAY)
+    """All owners at once; a SKU has a barcode of its own with each of them."""
+    pages = feeds.seller_stock(feeds.owned_lines(spark, sf), "owner")
+    return stock.seller_stock_lines(pages, _owned_codes(spark, sf), F.col("owner"), RUN, STOCK_DAY)
+
+
+def _owned_codes(spark, sf):
+    owners = F.explode(F.array(*[F.lit(o) for o in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")]))
+    return table(spark, sf, "part").withColumn("owner", owners).selectExpr(
+        "owner", "cast(p_partkey as string) as sku", "concat('bc-', owner, p_partkey) as barcode", "p_size")
 
 
 @query("ozon_stock_flat", f"""
-    SELECT 'SELLER' AS owner, '2001-11-30' AS date, CAST(l_partkey AS VARCHAR) AS sku, CAST(NULL AS VARCHAR) AS method,
+    SELECT c_mktsegment AS owner, '2001-11-30' AS date, CAST(l_partkey AS VARCHAR) AS sku, CAST(NULL AS VARCHAR) AS method,
         CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS DOUBLE) AS base_price,
         CAST(NULL AS DOUBLE) AS discount_price, CAST(NULL AS DOUBLE) AS premium_price,
         CAST(NULL AS DOUBLE) AS ozon_card_price, 'part ' || l_partkey AS name, CAST(NULL AS VARCHAR) AS brand,
         CAST(NULL AS VARCHAR) AS seller, {WH} AS warehouse, CAST(NULL AS VARCHAR) AS warehouse_region,
         CAST(NULL AS VARCHAR) AS warehouse_id, CAST(l_quantity AS INT) AS quantity, 7 AS transaction_id,
-        'bc-' || p_partkey AS barcode
-    FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON l_partkey = p_partkey""")
+        'bc-' || c_mktsegment || p_partkey AS barcode
+    FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size > 10) ON l_partkey = p_partkey
+    JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def ozon_stock_flat(spark, sf):
-    barcodes = table(spark, sf, "part").filter("p_size > 10").selectExpr(
-        "p_partkey as sku", "concat('bc-', p_partkey) as barcode")
-    return stock.analytics_stock_lines(feeds.analytics_stock(feeds.line_items(spark, sf)), barcodes, OWNER, RUN,
-                                       STOCK_DAY)
+    pages = feeds.analytics_stock(feeds.owned_lines(spark, sf), "owner")
+    return stock.analytics_stock_lines(pages, _owned_codes(spark, sf).filter("p_size > 10"), F.col("owner"), RUN, STOCK_DAY)
 
 
 @query("ozon_stock_older", f"""
@@ -154,24 +161,28 @@ def ozon_stock_older(spark, sf):
 
 
 # One row per SKU of the product pages: the part's own, or its FBO and FBS SKU.
-_SKUS = """s AS (SELECT p_partkey + 1 AS sku, 0 AS part_no, * FROM part
-    UNION ALL SELECT p_partkey + 2, 1, * FROM part WHERE p_size <= 10)"""
+_OWNED_PARTS = """(SELECT * FROM part, (SELECT 'BUILDING' AS owner UNION ALL SELECT 'MACHINERY')
+    WHERE owner = 'BUILDING' OR p_size > 5)"""
+_SKUS = f"""s AS (SELECT p_partkey + 1 AS sku, 0 AS part_no, * FROM {_OWNED_PARTS}
+    UNION ALL SELECT p_partkey + 2, 1, * FROM {_OWNED_PARTS} WHERE p_size <= 10)"""
+_OWN_CODE = "concat('bc-', owner, p_partkey)"
 _BRAND = "p_brand"
 _CATEGORY = "CASE WHEN p_size <= 5 THEN NULL ELSE p_type END"
 
 
 @query("product_rows", f"""
-    WITH {_SKUS}, f AS (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY p_partkey, part_no) AS rn FROM s)
-    SELECT 'SELLER' AS owner_code, 'bc-' || p_partkey AS barcode, '2024-01-01T00:00:00Z' AS created_at, sku,
+    WITH {_SKUS}, f AS (SELECT *, row_number() OVER (PARTITION BY owner, sku ORDER BY p_partkey, part_no) AS rn FROM s)
+    SELECT owner AS owner_code, 'bc-' || owner || p_partkey AS barcode, '2024-01-01T00:00:00Z' AS created_at, sku,
         {CENTS.format('p_retailprice')} AS marketing_price, '' AS min_ozon_price, '' AS min_price,
         'of-' || p_partkey AS offer_id, {CENTS.format('p_retailprice + 10')} AS old_price, '' AS premium_price,
         {CENTS.format('p_retailprice')} AS price, p_name AS name, {_BRAND} AS brand, {_CATEGORY} AS category,
         7 AS transaction_id
     FROM f WHERE rn = 1""")
 def product_rows(spark, sf):
-    part = table(spark, sf, "part")
-    found = products.last_attributes(products.pick_attributes(feeds.attributes(part)))
-    return products.product_rows(feeds.products(part), found, OWNER, RUN)
+    """Two owners at once; they share SKUs and keep their own first row of each."""
+    part = feeds.owned_parts(spark, sf)
+    found = products.last_attributes(products.pick_attributes(feeds.attributes(part, "id", "owner")))
+    return products.product_rows(feeds.products(part, "owner", barcode=_OWN_CODE), found, F.col("owner"), RUN)
 
 
 _PICKED = f"SELECT p_partkey + 1000000000 AS id, {_BRAND} AS brand, {_CATEGORY} AS category FROM part"
@@ -189,10 +200,19 @@ def product_attributes_older(spark, sf):
 
 
 @query("sku_expand_dedup", f"""
-    WITH {_SKUS} SELECT CAST(sku AS VARCHAR) AS sku,
-        'bc-' || arg_max(p_partkey, p_partkey) AS barcode FROM s GROUP BY sku""")
+    WITH {_SKUS} SELECT owner, CAST(sku AS VARCHAR) AS sku,
+        'bc-' || owner || max(p_partkey) AS barcode FROM s GROUP BY owner, sku""")
 def sku_expand_dedup(spark, sf):
-    return products.sku_barcodes(feeds.products(table(spark, sf, "part")))
+    return products.sku_barcodes(feeds.products(feeds.owned_parts(spark, sf), "owner", barcode=_OWN_CODE))
+
+
+@query("product_ids", "SELECT DISTINCT c_mktsegment AS owner, l_partkey AS product_id FROM lineitem"
+                      " JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey")
+def product_ids(spark, sf):
+    """Ids of the id pages, per owner; pages repeat them."""
+    items = F.array(F.struct(F.col("l_partkey").alias("product_id")))
+    pages = feeds.owned_lines(spark, sf).select("owner", F.struct(items.alias("items")).alias("result"))
+    return products.product_ids(pages)
 
 
 @query("sku_expand_older", "SELECT p_partkey + 1 AS sku, 'bc-' || p_partkey AS barcode FROM part")
@@ -256,7 +276,7 @@ def erp_organizations(spark, sf):
 def erp_marketplaces(spark, sf):
     item = "named_struct('id', cast(c_custkey as string), 'name', c_name, 'updateAt', '2024-01-01')"
     pages = feeds.erp_pages(table(spark, sf, "customer"), item, schemas.ERP_MARKETPLACE_PAGE)
-    return erp.marketplace_rows(pages, RUN)
+    return erp.item_rows(pages, RUN)
 
 
 @query("erp_stock", """SELECT 7 AS transaction_id, '2001-11-30' AS stock_date, CAST(l_partkey AS VARCHAR) AS item_id,
@@ -419,18 +439,12 @@ _DETAIL = {
 }
 
 
-def _dotless(field: str, label: str) -> str:
-    """Label as a column name that needs no quoting of dots; two labels differ by a dot only."""
-    return f"{label.rstrip('.')} ({field})" if field in ("rid", "srid") else label.rstrip(".")
-
-
-_DOTLESS = {k: _dotless(k, v) for k, v in realization.DETAIL_LABELS.items()}
-
-
-@query("report_labels", "SELECT " + ", ".join(
-    f"{_DETAIL.get(k, 'CAST(NULL AS VARCHAR)')} AS \"{v}\"" for k, v in _DOTLESS.items()) + " FROM lineitem")
+@query("report_labels", "SELECT CAST(json_object(" + ", ".join(
+    f"'{label}', {_DETAIL[k]}" for k, label in realization.DETAIL_LABELS.items() if k in _DETAIL) + ") AS VARCHAR) AS labelled FROM lineitem")
 def report_labels(spark, sf):
-    return realization.labelled(feeds.realization_detail(feeds.line_items(spark, sf)), _DOTLESS)
+    """Rows under the report's labels, dots and all, as one document each: fields that the source left out are null."""
+    rows = realization.labelled(feeds.realization_detail(feeds.line_items(spark, sf)))
+    return rows.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("labelled"))
 
 
 @query("realization_header", """

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from showcase.registry import spread, table
+from showcase.registry import table
 from tradeloom.sources import schemas
 
 CENTS = "cast(cast({} as decimal(18,2)) as string)"
@@ -30,29 +30,21 @@ def shaped(df: DataFrame, schema: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Order lines, over all cores: a document is costly to build."""
-    return spread(table(spark, sf, "lineitem"), "l_orderkey", "l_partkey")
+    return table(spark, sf, "lineitem")
 
 
-def lines(spark: SparkSession, sf: str, documents: bool = True) -> DataFrame:
-    """Order lines with their order; spread where documents are built from them."""
-    rows = line_items(spark, sf) if documents else table(spark, sf, "lineitem")
-    return rows.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+def lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with their order."""
+    return line_items(spark, sf).join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def owned_lines(spark: SparkSession, sf: str, documents: bool = True) -> DataFrame:
+def owned_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines with order and owner."""
-    return lines(spark, sf, documents) \
+    return lines(spark, sf) \
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")) \
         .withColumn("owner", F.col("c_mktsegment"))
 
 
-def requested(df: DataFrame, day: str, since: str, until: str) -> DataFrame:
-    """Rows a source is asked for; on a table column, so the scan skips the rest."""
-    first, end = (F.lit(v).cast("timestamp_ntz") for v in (since, until))
-    return df.filter((F.col(day) >= first) & (F.col(day) < end))
-
-
 _FINANCE_ROW = (
     "named_struct('product_id', {sku}, 'commission_amount', {amount}, 'commission_percent', {percent},"
     " 'payout', l_extendedprice, 'old_price', l_extendedprice, 'total_discount_value', l_discount,"
@@ -145,7 +137,7 @@ def wb_orders(df: DataFrame, date: str = "l_shipdate", change: str = "l_shipdate
 
 
 def wb_sales(df: DataFrame, date: str = "l_shipdate", change: str = "l_shipdate", *keep: str) -> DataFrame:
-    """Sales; those of line 7 name no order, their `srid` is zero."""
+    """Sales; those of line 7 name no order, their `srid` is the number zero; that of line 6 is the text "0"."""
     return _documents(df, [
         f"{_TIME.format(date)} as date", f"{_TIME.format(change)} as lastChangeDate", _WB_PLACE, *_WB_ITEM, *_WB_MONEY,
         "'RU' as countryName", "concat('okrug ', l_linenumber) as oblastOkrugName",
@@ -154,7 +146,7 @@ def wb_sales(df: DataFrame, date: str = "l_shipdate", change: str = "l_shipdate"
         "if(l_returnflag = 'R', -l_extendedprice, l_extendedprice) as forPay",
         "concat(if(l_returnflag = 'R', 'R', 'S'), l_orderkey) as saleID", "'' as sticker",
         "concat('g', l_orderkey) as gNumber",
-        "if(l_linenumber = 7, '0', concat('o', l_orderkey)) as srid",
+        "parse_json(case l_linenumber when 7 then '0' when 6 then '\"0\"' else concat('\"o', l_orderkey, '\"') end) as srid",
     ], schemas.WB_SALE, keep)
 
 
@@ -194,23 +186,29 @@ def analytics_stock(df: DataFrame, *keep: str) -> DataFrame:
                   schemas.ANALYTICS_STOCK_PAGE)
 
 
-def products(df: DataFrame) -> DataFrame:
+def owned_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts of two owners: one sells all of them, the other the larger ones, so they share SKUs."""
+    owners = F.explode(F.array(F.lit("BUILDING"), F.lit("MACHINERY")))
+    return table(spark, sf, "part").withColumn("owner", owners).filter("owner = 'BUILDING' or p_size > 5")
+
+
+def products(df: DataFrame, *keep: str, barcode: str = "concat('bc-', p_partkey)") -> DataFrame:
     """Product pages; small sizes have no SKU of their own but an FBO and an FBS SKU.
 
     The FBS SKU is the SKU of the next product, so SKUs repeat over the pages.
     """
     item = F.expr(f"""named_struct(
         'id', p_partkey + 1000000000, 'sku', if(p_size <= 10, 0, p_partkey + 1),
-        'fbo_sku', p_partkey + 1, 'fbs_sku', p_partkey + 2, 'barcode', concat('bc-', p_partkey), 'created_at', '2024-01-01T00:00:00Z',
+        'fbo_sku', p_partkey + 1, 'fbs_sku', p_partkey + 2, 'barcode', {barcode}, 'created_at', '2024-01-01T00:00:00Z',
         'marketing_price', {CENTS.format('p_retailprice')}, 'min_ozon_price', '', 'min_price', '',
         'offer_id', concat('of-', p_partkey), 'old_price', {CENTS.format('p_retailprice + 10')},
         'premium_price', '', 'price', {CENTS.format('p_retailprice')}, 'name', p_name)""")
-    pages = df.select(F.expr("lpad(p_partkey, 12, '0')").alias("page"),
+    pages = df.select(*keep, F.expr("lpad(p_partkey, 12, '0')").alias("page"),
                       F.struct(F.array(item).alias("items")).alias("result"))
     return shaped(pages, schemas.PRODUCT_PAGE)
 
 
-def attributes(df: DataFrame, key: str = "id") -> DataFrame:
+def attributes(df: DataFrame, key: str = "id", *keep: str) -> DataFrame:
     """Attribute entries: the brand twice, once empty for large sizes; small sizes lack the category."""
     def entry(no: int, values: str) -> str:
         return f"named_struct('{key}', {no}L, 'values', {values})"
@@ -224,7 +222,7 @@ def attributes(df: DataFrame, key: str = "id") -> DataFrame:
         when p_size <= 5 then array({entry(85, one("'old'"))}, {entry(85, one('p_brand'))})
         else array({entry(8229, one("'old'"))}, {entry(85, one('p_brand'))}, {entry(8229, one('p_type'))}) end""")
     item = F.struct((F.col("p_partkey") + 1000000000).alias("id"), entries.alias("attributes"))
-    pages = df.select(F.expr("lpad(p_partkey, 12, '0')").alias("page"), F.array(item).alias("result"))
+    pages = df.select(*keep, F.expr("lpad(p_partkey, 12, '0')").alias("page"), F.array(item).alias("result"))
     return shaped(pages, schemas.ATTRIBUTE_PAGE if key == "id" else schemas.ATTRIBUTE_PAGE_OLDER)
 
 

@@ -11,9 +11,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from showcase import feeds
-from showcase.feed_queries import ASKED, OWNER, RUN, SINCE, STOCK_DAY
+from showcase.feed_queries import _DETAIL, OWNER, RUN, SINCE, STOCK_DAY
 from showcase.registry import ORACLES, new_folder, query, table
-from tradeloom.operators import advertising, postings, prices, realization, state, stock, wb
+from tradeloom.operators import advertising, postings, prices, products, realization, state, stock, wb
 from tradeloom.sources import landing, sinks
 
 
@@ -26,7 +26,7 @@ def _landed(spark, df, feed: str):
 
 @query("landed_postings", ORACLES["flatten_postings"])
 def landed_postings(spark, sf):
-    pages = feeds.fbo(feeds.requested(feeds.lines(spark, sf), "o_orderdate", *ASKED)).select("result")
+    pages = feeds.fbo(feeds.lines(spark, sf)).select("result")
     return postings.flatten_fbo(_landed(spark, pages, "fbo"), OWNER, RUN, SINCE)
 
 
@@ -60,6 +60,27 @@ def landed_kz_stock(spark, sf):
     return stock.kz_stock_lines(landing.kz_stock_file(spark, folder), OWNER, RUN, STOCK_DAY)
 
 
+@query("landed_products", """
+    SELECT owner, CAST(p_partkey + 1 AS VARCHAR) AS sku, CASE WHEN p_size > 25 THEN 'late-' ELSE 'bc-' END || owner || p_partkey AS barcode
+    FROM part, (SELECT 'BUILDING' AS owner UNION ALL SELECT 'MACHINERY') WHERE p_size > 10""")
+def landed_products(spark, sf):
+    """Pages of two load days in folders of day and owner; the later day repeats some products with another barcode."""
+    folder, parts = new_folder(spark, "products"), feeds.owned_parts(spark, sf).filter("p_size > 10")
+    for day, rows, code in ((1, parts, "bc-"), (2, parts.filter("p_size > 25"), "late-")):
+        pages = feeds.products(rows, "owner", barcode=f"concat('{code}', owner, p_partkey)").drop("page")
+        pages.withColumn("day", F.lit(day)).write.mode("append").partitionBy("day", "owner").json(folder)
+    return products.sku_barcodes(landing.strict(landing.pages(spark, folder, "products", lines=True)))
+
+
+@query("landed_detail", "SELECT " + ", ".join(
+    f"{_DETAIL.get(k, 'CAST(NULL AS VARCHAR)')} AS {k}" for k in realization.DETAIL_LABELS) + " FROM lineitem")
+def landed_detail(spark, sf):
+    """Realization rows through the reader of all 61 fields; those the source left out are null."""
+    folder = new_folder(spark, "detail")
+    feeds.realization_detail(feeds.line_items(spark, sf)).write.json(folder)
+    return landing.realization_detail(spark, folder, [*realization.DETAIL_LABELS], lines=True)
+
+
 @query("landed_ad_orders", ORACLES["ad_orders"])
 def landed_ad_orders(spark, sf):
     folder = new_folder(spark, "ads")
@@ -87,22 +108,23 @@ def _owned_orders(spark, sf):
 
 
 @query("replaced_files", f"""
-    SELECT * FROM ({_OWNED_DAYS}) WHERE owner_code <> 'BUILDING'
+    SELECT * FROM ({_OWNED_DAYS}) WHERE owner_code NOT IN ('BUILDING', 'MACHINERY')
     UNION ALL SELECT owner_code, id, -amount FROM ({_OWNED_DAYS}) WHERE owner_code = 'BUILDING'""")
 def replaced_files(spark, sf):
-    """Load all owners, then replace the slice of one of them."""
+    """Load all owners, then replace the slices of two of them, one of which comes back empty."""
     folder = new_folder(spark, "slices")
     rows = _owned_orders(spark, sf)
     sinks.replace_slices(rows, folder, ["owner_code"], hot_files=8)
     fresh = rows.filter("owner_code = 'BUILDING'").withColumn("amount", -F.col("amount"))
-    sinks.replace_slices(fresh, folder, ["owner_code"], hot_files=8)
+    asked = [{"owner_code": "BUILDING"}, {"owner_code": "MACHINERY"}]
+    sinks.replace_slices(fresh, folder, ["owner_code"], hot_files=8, slices=asked)
     return spark.read.parquet(folder)
 
 
 @query("split_files", _OWNED_DAYS)
 def split_files(spark, sf):
     folder = new_folder(spark, "split")
-    sinks.write_split(sinks.require_rows(_owned_orders(spark, sf)), folder, 1000)
+    sinks.write_split(_owned_orders(spark, sf), folder, sinks.rows_per_file(row_bytes=40), empty="no data")
     return spark.read.parquet(folder)
 
 
@@ -124,5 +146,5 @@ def upserted_files(spark, sf):
     folder = new_folder(spark, "dim")
     staged = table(spark, sf, "part").selectExpr("p_partkey as id", "p_name as name")
     sinks.load(table(spark, sf, "customer").selectExpr("c_custkey as id", "c_name as name"), f"{folder}/v1")
-    sinks.load(state.upsert(spark.read.parquet(f"{folder}/v1"), staged, ["id"]), f"{folder}/v2")
-    return state.upsert(spark.read.parquet(f"{folder}/v2"), staged, ["id"])
+    sinks.load(state.upsert(spark.read.parquet(f"{folder}/v1"), staged, ["id"], ["name"]), f"{folder}/v2")
+    return state.upsert(spark.read.parquet(f"{folder}/v2"), staged, ["id"], ["name"])

@@ -25,17 +25,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Rows of a table that lies in fewer pieces than there are cores, over all cores.
-
-    Only small tables are; a table of many files is read as it lies. `by` names
-    columns that differ from row to row. Hashing them needs no sort, which an
-    even spread would.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and times as text: types every client prints alike."""
     def one(field: T.StructField):

@@ -80,12 +80,23 @@ def next_cursor(spark, sf):
 
 
 @query("restart_point", """
-    SELECT c_mktsegment AS owner, CAST(max(l_shipdate) + INTERVAL 1 SECOND AS VARCHAR) AS restart_at FROM lineitem
-        JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+    SELECT c_mktsegment AS owner, year(o_orderdate) AS year, CAST(greatest(max(struct_pack(page := l_linenumber, at := l_shipdate)).at,
+        TIMESTAMP '1996-06-15') + INTERVAL 1 SECOND AS VARCHAR) AS restart_at FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
 def restart_point(spark, sf):
-    pages = feeds.fbo(feeds.owned_lines(spark, sf), "owner")
-    each = pages.select("owner", F.explode("result.in_process_at").alias("at"))
-    return incremental.restart_point(each, iso_ts("at", zulu=True, fraction=True), ["owner"])
+    """The line number stands for the number of the page; years before 1996 restart at the start of the range."""
+    lines = feeds.owned_lines(spark, sf).withColumns({"year": F.year("o_orderdate").cast("bigint"), "no": F.col("l_linenumber")})
+    each = feeds.fbo(lines, "owner", "year", "no").select("owner", "year", "no", F.explode("result.in_process_at").alias("at"))
+    return incremental.restart_point(each, iso_ts("at", zulu=True, fraction=True), date(1996, 6, 15), "no", ["owner", "year"])
+
+
+@query("requested_range", """
+    SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1995-04-01' AND o_orderdate < TIMESTAMP '1998-07-01'""")
+def requested_range(spark, sf):
+    """The orders a source is asked for, by a range of days."""
+    asked = incremental.requested(table(spark, sf, "orders"), "o_orderdate", date(1995, 4, 1), date(1998, 7, 1))
+    return asked.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 _COUNTS = """counts AS (SELECT c_mktsegment AS owner, CASE l_linestatus WHEN 'O' THEN 'WB' ELSE 'OZON' END AS source,
@@ -94,7 +105,7 @@ _COUNTS = """counts AS (SELECT c_mktsegment AS owner, CASE l_linestatus WHEN 'O'
 
 
 def _counts(spark, sf):
-    rows = feeds.owned_lines(spark, sf, documents=False).select(
+    rows = feeds.owned_lines(spark, sf).select(
         "owner", F.expr("if(l_linestatus = 'O', 'WB', 'OZON')").alias("source"), F.lit("order").alias("type"))
     return incremental.feed_counts(rows, ["owner", "source", "type"])
 
@@ -133,7 +144,7 @@ def last_transaction(spark, sf):
     n AS (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY sku % 64, sku) - 1 AS place FROM k)
     SELECT owner, sku, place // 999 AS batch, CAST(place % 999 AS INT) AS position FROM n""")
 def key_batches(spark, sf):
-    keys = feeds.owned_lines(spark, sf, documents=False).select("owner", F.col("l_partkey").alias("sku"))
+    keys = feeds.owned_lines(spark, sf).select("owner", F.col("l_partkey").alias("sku"))
     return incremental.key_batches(keys, "owner", "sku", 999, spread=F.col("sku"), buckets=64)
 
 
@@ -182,7 +193,7 @@ def merge_counts(spark, sf):
     owners = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("owner")).distinct()
     old = owners.select("owner", F.lit("WB").alias("source"), F.explode(F.array(F.lit("order"), F.lit("sale")))
                         .alias("type"), F.lit(1).cast("bigint").alias("qnt"))
-    return state.upsert(old, _counts(spark, sf), ["owner", "source", "type"])
+    return state.upsert(old, _counts(spark, sf), ["owner", "source", "type"], ["qnt"])
 
 
 _KINDS = """log AS (SELECT 'r' || user_id AS uuid, event_id AS seq, CASE event_type WHEN 'signup' THEN 'created'
@@ -219,12 +230,13 @@ def ledger_latest(spark, sf):
 @query("replace_slice", """
     SELECT o_custkey AS owner, o_orderkey AS id, o_totalprice AS amount FROM orders
         WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-    UNION ALL SELECT c_custkey, -1, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'""")
+    UNION ALL SELECT c_custkey, -1, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0""")
 def replace_slice(spark, sf):
+    """Owners in debt come back empty; they were asked for, so their old rows go, too."""
     old = table(spark, sf, "orders").selectExpr("o_custkey as owner", "o_orderkey as id", "o_totalprice as amount")
-    new = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").selectExpr(
-        "c_custkey as owner", "-1L as id", "c_acctbal as amount")
-    return state.replace_slice(old, new, ["owner"])
+    asked = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").withColumn("owner", F.col("c_custkey"))
+    new = asked.filter("c_acctbal > 0").selectExpr("owner", "-1L as id", "c_acctbal as amount")
+    return state.replace_slice(old, new, ["owner"], asked)
 
 
 _DAY_ROWS = ("SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS report_date, o_orderkey AS id,"
@@ -261,8 +273,11 @@ def delete_transaction_day(spark, sf):
 
 @query("insert_missing", """
     SELECT s_suppkey AS id, s_name AS name FROM supplier
-    UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""")
+    UNION ALL SELECT o_custkey, 'order ' || min(o_orderkey) FROM orders
+        WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY o_custkey""")
 def insert_missing(spark, sf):
+    """Customers come as often as they order, and once without an id; the first order names them."""
     dim = table(spark, sf, "supplier").selectExpr("s_suppkey as id", "s_name as name")
-    new = table(spark, sf, "customer").selectExpr("c_custkey as id", "c_name as name")
-    return state.insert_missing(dim, new, ["id"])
+    new = table(spark, sf, "orders").selectExpr(
+        "explode(array(o_custkey, null)) as id", "concat('order ', o_orderkey) as name", "o_orderkey as at")
+    return state.insert_missing(dim, new, ["id"], ["at"])

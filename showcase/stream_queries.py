@@ -1,4 +1,7 @@
-"""Queries that run a stream over the landed events and read what it wrote."""
+"""Queries that run a stream over the landed events and read what it wrote.
+
+The events land as several files, so a stream runs in several micro-batches.
+"""
 
 from __future__ import annotations
 
@@ -9,16 +12,23 @@ from showcase.state_queries import LATEST_SQL
 from tradeloom.streaming import changes
 
 
-def _stream(spark, sf: str):
-    schema = table(spark, sf, "events").schema
-    return changes.landed(spark, sf, schema, pathGlobFilter="events.parquet")
+def _land(spark, sf: str, folder: str, part: int | None = None):
+    """Write the events, or those of one of two parts, as files of a landing folder; return the stream over it."""
+    events = table(spark, sf, "events")
+    rows = events if part is None else events.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part)
+    rows.repartition(2, "event_id").write.mode("append").parquet(folder)
+    return changes.landed(spark, folder, events.schema, files_per_batch=1)
 
 
 @query("stream_upsert", LATEST_SQL)
 def stream_upsert(spark, sf):
+    """The log is moved into a base after the first half has landed; the state is base and later batches."""
     work, keys, order = new_folder(spark, "upsert"), ["user_id", "event_type"], ["ts", "event_id"]
-    changes.change_log(_stream(spark, sf), f"{work}/log", f"{work}/checkpoint", keys, order).awaitTermination()
-    now = changes.current(spark, f"{work}/log", keys, order)
+    log, checkpoint = f"{work}/log", f"{work}/checkpoint"
+    changes.change_log(_land(spark, sf, f"{work}/landed", 0), log, checkpoint, keys, order).awaitTermination()
+    base = changes.compact(spark, log, f"{work}/base", keys, order)
+    changes.change_log(_land(spark, sf, f"{work}/landed", 1), log, checkpoint, keys, order).awaitTermination()
+    now = changes.current(spark, log, keys, order, base)
     return now.select("user_id", "event_type", "event_id",
                       F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "value")
 
@@ -28,18 +38,25 @@ _ROWS = "SELECT event_id, user_id, event_type, CAST(epoch_us(ts) AS BIGINT) AS t
 
 @query("stream_dedup", _ROWS)
 def stream_dedup(spark, sf):
-    """Every event lands twice, as it does where pages overlap."""
+    """Every event lands twice, in different files and micro-batches, as it does where pages overlap."""
     work = new_folder(spark, "dedup")
-    twice = _stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    once = changes.distinct_changes(twice, ["event_id"], "ts")
+    for _ in range(2):
+        stream = _land(spark, sf, f"{work}/landed")
+    once = changes.distinct_changes(stream, ["event_id"], "ts", late="3650 days")
     changes.append_run(once, f"{work}/rows", f"{work}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{work}/rows").select(
         "event_id", "user_id", "event_type", F.unix_micros("ts").alias("ts_us"), "value")
 
 
-@query("stream_price_run", "SELECT CAST(event_id AS BIGINT) AS event_id, value, 12 AS run FROM events")
+@query("stream_price_run", """
+    SELECT CAST(event_id AS BIGINT) AS event_id, value, 12 AS run FROM events
+    UNION ALL SELECT CAST(event_id AS BIGINT), value, 11 FROM events""")
 def stream_price_run(spark, sf):
+    """Run 12 is tried twice, first in more micro-batches and with other values; run 11 stays."""
     work = new_folder(spark, "run")
-    rows = _stream(spark, sf).select("event_id", "value", F.lit(12).alias("run"))
-    changes.replace_run(rows, f"{work}/rows", f"{work}/checkpoint", "run").awaitTermination()
+    stream = _land(spark, sf, f"{work}/landed").select("event_id", "value")
+    more = _land(spark, sf, f"{work}/more")
+    more = _land(spark, sf, f"{work}/more").select("event_id", (F.col("value") + 1).alias("value"))
+    for i, (rows, run) in enumerate([(stream, 11), (more, 12), (stream, 12)]):
+        changes.replace_run(rows.withColumn("run", F.lit(run)), f"{work}/rows", f"{work}/try{i}", "run")
     return spark.read.parquet(f"{work}/rows").select("event_id", "value", "run")

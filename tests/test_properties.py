@@ -27,10 +27,10 @@ def test_dedup_keeps_each_key_once_and_is_idempotent(spark, rows, data):
 def test_upsert_twice_is_upsert_once(spark, rows, old, new):
     first = dedup.last_wins(spark.createDataFrame(old, "k int, v int"), ["k"], ["v"])
     staged = spark.createDataFrame(new, "k int, v int")
-    once = state.upsert(first, staged, ["k"])
+    once = state.upsert(first, staged, ["k"], ["v"])
     want = dict(sorted(old)) | dict(sorted(new))
     assert rows(once) == sorted(want.items(), key=str)
-    assert rows(state.upsert(once, staged, ["k"])) == rows(once)
+    assert rows(state.upsert(once, staged, ["k"], ["v"])) == rows(once)
 
 
 @few

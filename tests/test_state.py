@@ -2,6 +2,8 @@ from datetime import date, datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tradeloom.operators import dedup, incremental, lookup, state
 
 
@@ -34,7 +36,6 @@ def test_keys_of_several_frames_meet_as_text(spark, rows):
 
 def test_lookups(spark, rows):
     left, dim = df(spark, "k int, n int", (1, 1), (2, 2)), df(spark, "k int, v string", (1, "a"))
-    assert rows(lookup.optional(left, dim, ["k"])) == [(1, 1, "a"), (2, 2, None)]
     assert rows(lookup.missing(left, dim, ["k"])) == [(2,)]
     assert rows(lookup.limit_to(left, dim, ["k"])) == [(1, 1)]
     assert rows(lookup.require(left.filter("k = 1"), dim, ["k"])) == [(1, 1, "a")]
@@ -75,7 +76,7 @@ def test_cursor(spark, rows):
     assert rows(late) == [(datetime(2024, 2, 1, 0, 0, 1),)]
     assert rows(incremental.next_cursor(d.filter("owner = 'C'"), "ts", since=date(2024, 2, 1))) == [
         (datetime(2024, 2, 1, 0, 0, 1),)]
-    assert rows(incremental.restart_point(d, "ts", ["owner"]), "owner", "restart_at")[1] == ("B", datetime(2024, 1, 1, 0, 0, 1))
+    assert rows(incremental.restart_point(d, "ts", date(2020, 1, 1), by=["owner"]), "owner", "restart_at")[1] == ("B", datetime(2024, 1, 1, 0, 0, 1))
 
 
 def test_window_days(spark, rows):
@@ -122,10 +123,26 @@ def test_replace(spark, rows):
 
 def test_upsert(spark, rows):
     old, new = df(spark, "k int, v string", (1, "z"), (2, "old")), df(spark, "k int, v string", (1, "a"), (1, "b"), (3, "c"))
-    once = state.upsert(old, new, ["k"])
-    assert rows(once) == [(1, "b"), (2, "old"), (3, "c")] == rows(state.upsert(once, new, ["k"]))
-    assert rows(state.insert_missing(old, df(spark, "k int, v string", (2, "new"), (4, "d")), ["k"])) == [
-        (1, "z"), (2, "old"), (4, "d")]
+    # The last staged row wins, not the one with the highest text.
+    staged = new.withColumn("at", F.when(F.col("v") == "a", 9).otherwise(1))
+    once = state.upsert(old, staged, ["k"], ["at"])
+    assert rows(once) == [(1, "a"), (2, "old"), (3, "c")] == rows(state.upsert(once, staged, ["k"], ["at"]))
+    fresh = df(spark, "k int, v string, at int", (2, "new", 1), (4, "later", 2), (4, "d", 1), (None, "x", 1))
+    dim = state.insert_missing(old, fresh, ["k"], ["at"])
+    assert rows(dim) == [(1, "z"), (2, "old"), (4, "d")] == rows(state.insert_missing(dim, fresh, ["k"], ["at"]))
+
+
+def test_a_slice_that_came_back_empty_is_cleared(spark, rows):
+    old = df(spark, "o string, n int", ("A", 1), ("B", 2), (None, 3), ("C", 4))
+    new = df(spark, "o string, n int", ("B", 5), (None, 6))
+    asked = df(spark, "o string", ("A",), ("B",), (None,))
+    once = state.replace_slice(old, new, ["o"], asked)
+    assert rows(once) == [("B", 5), ("C", 4), (None, 6)] == rows(state.replace_slice(once, new, ["o"], asked))
+
+
+def test_rows_without_a_day_stay(spark, rows):
+    old, new = df(spark, "d date, n int", (None, 1), (date(2024, 1, 1), 2), (date(2024, 2, 1), 3)), df(spark, "d date, n int", (date(2024, 2, 2), 4))
+    assert rows(state.replace_from(old, new, "d", date(2024, 2, 1)), "n") == [(1,), (2,), (4,)]
 
 
 def test_ledger(spark, rows):

@@ -29,8 +29,15 @@ def test_change_log_matches_batch(spark, tmp_path, rows):
     now = changes.current(spark, log, ["k"], ["ts", "v"])
     want = rows(dedup.latest_version(spark.read.parquet(folder), ["k"], "ts"), "k", "ts", "v")
     assert rows(now, "k", "ts", "v") == want and len(want) == 3
-    changes.compact(spark, log, str(tmp_path / "base"), ["k"], ["ts", "v"])
-    assert rows(spark.read.parquet(str(tmp_path / "base")), "k", "ts", "v") == want
+    base = changes.compact(spark, log, str(tmp_path / "base"), ["k"], ["ts", "v"])
+    assert rows(changes.current(spark, log, ["k"], ["ts", "v"], base), "k", "ts", "v") == want and base[1] == 2
+    # Batches that are in the base are not read again; those behind it are, and a second base takes over.
+    land(spark, folder, [("c", T0 + timedelta(minutes=20), 9)])
+    changes.change_log(changes.landed(spark, folder, SCHEMA), log, check, ["k"], ["ts", "v"]).awaitTermination()
+    want = rows(dedup.latest_version(spark.read.parquet(folder), ["k"], "ts"), "k", "ts", "v")
+    assert rows(changes.current(spark, log, ["k"], ["ts", "v"], base), "k", "ts", "v") == want
+    again = changes.compact(spark, log, str(tmp_path / "base2"), ["k"], ["ts", "v"], base)
+    assert again[1] == 3 and rows(changes.current(spark, log, ["k"], ["ts", "v"], again), "k", "ts", "v") == want
 
 
 def test_a_restart_reads_no_file_twice(spark, tmp_path, rows):
@@ -60,9 +67,13 @@ def test_late_change_inside_the_window_is_kept(spark, tmp_path, rows):
 
 
 def test_a_run_replaces_its_earlier_try(spark, tmp_path, rows):
-    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    more, folder, target = str(tmp_path / "more"), str(tmp_path / "in"), str(tmp_path / "out")
+    for data in batches():
+        land(spark, more, data)
     land(spark, folder, batches()[0])
-    for attempt in ("one", "two"):  # the second try lost its checkpoint
-        stream = changes.landed(spark, folder, SCHEMA).selectExpr("k", "v", "7 as run")
-        changes.replace_run(stream, target, str(tmp_path / attempt), "run").awaitTermination()
-    assert rows(spark.read.parquet(target), "k", "v", "run") == [("a", 1, 7), ("a", 2, 7), ("b", 3, 7)]
+    # The first try of run 7 had three micro-batches, the second has one; run 6 stays.
+    for attempt, (source, run) in enumerate([(folder, 6), (more, 7), (folder, 7)]):
+        stream = changes.landed(spark, source, SCHEMA, files_per_batch=1).selectExpr("k", "v", f"{run} as run")
+        changes.replace_run(stream, target, str(tmp_path / f"try{attempt}"), "run")
+    assert rows(spark.read.parquet(target), "k", "v", "run") == [
+        (k, v, run) for k, v in (("a", 1), ("a", 2), ("b", 3)) for run in (6, 7)]

@@ -22,6 +22,11 @@ def iso_ts(c: Column | str, zulu: bool = False, fraction: bool = False) -> Colum
     return F.to_timestamp_ntz(text, F.lit(ISO_Z if zulu else ISO))
 
 
+def exact_ts(c: Column | str) -> Column:
+    """Naive timestamp of ISO text with its fraction, if any; the Z is just a letter. For ordering only."""
+    return F.regexp_replace(as_col(c), "Z$", "").cast("timestamp_ntz")
+
+
 def day_start(v) -> Column:
     """Midnight of a date, as a naive timestamp."""
     return as_value(v).cast("date").cast("timestamp_ntz")

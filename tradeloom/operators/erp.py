@@ -13,18 +13,20 @@ from tradeloom.operators.dedup import first_wins
 OBSOLETE = ["устарел", "не использовать"]
 
 
-def _items(pages: DataFrame) -> DataFrame:
-    return pages.select(F.explode("items").alias("i")).select("i.*")
+#: Where a row was delivered; staged beside it where the last one delivered is to win.
+PLACE = ("page", "item_no")
 
 
-def item_rows(pages: DataFrame, run_id) -> DataFrame:
-    return _items(pages).select(
-        "id", "name", F.col("updateAt").alias("update_at"), as_value(run_id).alias("transaction_id"))
+def _items(pages: DataFrame, placed: bool = False) -> DataFrame:
+    if not placed:
+        return pages.select(F.explode("items").alias("i")).select("i.*")
+    return pages.select("page", F.posexplode("items").alias("item_no", "i")).select(*PLACE, "i.*")
 
 
-def marketplace_rows(pages: DataFrame, run_id) -> DataFrame:
-    """Marketplaces have the columns of items."""
-    return item_rows(pages, run_id)
+def item_rows(pages: DataFrame, run_id, placed: bool = False) -> DataFrame:
+    """Items; marketplaces have the same columns."""
+    return _items(pages, placed).select(
+        "id", "name", F.col("updateAt").alias("update_at"), as_value(run_id).alias("transaction_id"), *(PLACE if placed else ()))
 
 
 def organization_rows(pages: DataFrame, run_id) -> DataFrame:
@@ -32,14 +34,14 @@ def organization_rows(pages: DataFrame, run_id) -> DataFrame:
         "id", "name", "inn", "kpp", F.col("updateAt").alias("update_at"), as_value(run_id).alias("transaction_id"))
 
 
-def barcode_rows(pages: DataFrame, run_id) -> DataFrame:
+def barcode_rows(pages: DataFrame, run_id, placed: bool = False) -> DataFrame:
     """Barcodes; entries with the nil id are dropped, a blank retail price is zero."""
-    kept = _items(pages).filter(F.coalesce(F.col("barcodeID") != NIL_UUID, F.lit(True)))
+    kept = _items(pages, placed).filter(F.coalesce(F.col("barcodeID") != NIL_UUID, F.lit(True)))
     return kept.select(
         F.col("id").alias("item_id"), F.col("barcodeID").alias("barcode_id"), "barcode",
         F.col("orgId").alias("org_id"), F.col("marketId").alias("market_id"),
         unquoted("article").alias("article"), comma_number_or_zero("RRC").alias("rrc"),
-        as_value(run_id).alias("transaction_id"),
+        as_value(run_id).alias("transaction_id"), *(PLACE if placed else ()),
     )
 
 

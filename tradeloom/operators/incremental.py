@@ -27,9 +27,29 @@ def next_cursor(df: DataFrame, ts: Column | str, by: list[str] | None = None, si
     return df.groupBy(*(by or [])).agg((top + F.expr(step)).alias("cursor"))
 
 
-def restart_point(df: DataFrame, ts: Column | str, by: list[str] | None = None, step: str = STEP) -> DataFrame:
-    """Start of the range that follows a page cut off at the offset limit."""
-    return next_cursor(df, ts, by, step=step).withColumnRenamed("cursor", "restart_at")
+def requested(df: DataFrame, ts: Column | str, since, until=None) -> DataFrame:
+    """Rows of the range a source is asked for: from `since` on and, where given, before `until`.
+
+    The limits are plain values beside the bare column, so they reach the scan.
+    """
+    at, stamp = as_col(ts), lambda v: as_value(v).cast("timestamp_ntz")
+    kept = df.filter(at >= stamp(since))
+    return kept if until is None else kept.filter(at < stamp(until))
+
+
+def restart_point(df: DataFrame, ts: Column | str, since, page: str | None = None, by: list[str] | None = None,
+                  step: str = STEP) -> DataFrame:
+    """Start of the range that follows pages cut off at the offset limit.
+
+    The highest time of the last page decides where `page` numbers the pages, else that of all
+    rows; the start never falls behind `since`, the start of the range that was asked for.
+    """
+    if page is not None:
+        top = F.max(F.struct(F.col(page).alias("page"), as_col(ts).alias("at")))["at"]
+    else:
+        top = F.max(as_col(ts))
+    start = F.greatest(top, as_value(since).cast("timestamp_ntz"))
+    return df.groupBy(*(by or [])).agg((start + F.expr(step)).alias("restart_at"))
 
 
 def feed_counts(df: DataFrame, keys: list[str]) -> DataFrame:

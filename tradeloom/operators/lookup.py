@@ -14,7 +14,6 @@ from tradeloom.functions.text import is_blank, name_id
 _HIT = "_hit"
 
 
-
 def require(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Inner lookup of a unique key; the job fails at a left row without a match."""
     joined = left.join(right.withColumn(_HIT, F.lit(True)), on, "left")
@@ -23,11 +22,6 @@ def require(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return joined.filter(F.coalesce(F.col(_HIT), problem)).drop(_HIT)
 
 
-def optional(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left lookup of a unique key; null where there is no match."""
-    return left.join(right, on, "left")
-
-
 def missing(left: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
     """Distinct keys of `left` that the dimension does not hold yet."""
     return left.select(*on).distinct().join(dim.select(*on), on, "left_anti")

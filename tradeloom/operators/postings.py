@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.common import as_value
 from tradeloom.functions.text import upper_or_none
-from tradeloom.functions.times import day_start, iso_ts
+from tradeloom.functions.times import day_start, exact_ts, iso_ts
 from tradeloom.operators.dedup import last_wins
+from tradeloom.operators.products import owner_columns
 
 # Columns of the staged order rows, in order.
 COLUMNS = [
@@ -74,16 +75,18 @@ def flatten_fbs(pages: DataFrame, owner, run_id, since, strict: bool = True) ->
     return _row(lines, "FBS", owner, run_id, F.col("posting.in_process_at"), F.lit("FBS"))
 
 
-def latest_postings(pages: DataFrame, inside: str = "result") -> DataFrame:
-    """One posting per number, the last one delivered, as pages of a single posting.
+def latest_postings(pages: DataFrame, inside: str = "result", keys: list[str] | None = None) -> DataFrame:
+    """One posting per owner and number, the last version, as pages of a single posting.
 
-    Overlapping pages repeat postings. This must run before lines of equal SKU
-    are added up, because afterwards a repeat looks like a second line.
+    Overlapping pages, also of different load days, repeat postings. `keys` are the page columns that
+    tell postings of one number apart; other columns are those of the version that is kept. Versions
+    are told apart by their time, fractions included, then by page and place in it. This must run
+    before lines of equal SKU are added up, because afterwards a repeat looks like a second line.
     """
     others = [c for c in pages.columns if c not in ("result", "page")]
+    by = owner_columns(pages) if keys is None else keys
     each = pages.select(*others, "page", F.posexplode(inside).alias("at", "posting"))
-    keys = [*others, "posting.posting_number"]
-    last = last_wins(each, keys, ["posting.in_process_at", "page", "at"])
+    last = last_wins(each, [*by, "posting.posting_number"], [exact_ts("posting.in_process_at"), "page", "at"])
     one = F.array("posting")
     if inside != "result":
         one = F.struct(F.lit(False).alias("has_next"), one.alias(inside.split(".")[1]))

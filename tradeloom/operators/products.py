@@ -21,8 +21,13 @@ COLUMNS = [
 _ORDER = ["page", "item_no", "part_no"]
 
 
+def owner_columns(pages: DataFrame) -> list[str]:
+    """What tells owners apart on pages that were landed for several of them at once."""
+    return [c for c in ("source", "owner") if c in pages.columns]
+
+
 def pick_attributes(pages: DataFrame, ids: dict[str, int] | None = None, key: str = "id") -> DataFrame:
-    """One row per product of a page with the wanted attributes.
+    """One row per owner and product of a page with the wanted attributes.
 
     An attribute is the first value of the last entry with its id that has
     values. `key` names the id inside an entry; older pages say `attribute_id`.
@@ -32,20 +37,21 @@ def pick_attributes(pages: DataFrame, ids: dict[str, int] | None = None, key: st
                            lambda a: (a[key] == wanted) & (F.size(a["values"]) > 0))
         return F.try_element_at(F.try_element_at(entries, F.lit(-1))["values"], F.lit(1))["value"]
 
-    items = pages.select("page", F.posexplode("result").alias("item_no", "item"))
+    by = owner_columns(pages)
+    found = pages.select(*by, "page", F.posexplode("result").alias("item_no", "item"))
     wanted = ids or ATTRIBUTES
-    return items.select("page", "item_no", F.col("item.id").alias("id"),
+    return found.select(*by, "page", "item_no", F.col("item.id").alias("id"),
                         *[pick(v).alias(name) for name, v in wanted.items()])
 
 
 def last_attributes(picked: DataFrame) -> DataFrame:
-    """One row per product: the last one delivered."""
-    return last_wins(picked, ["id"], ["page", "item_no"]).drop("page", "item_no")
+    """One row per owner and product: the last one delivered."""
+    return last_wins(picked, [*owner_columns(picked), "id"], ["page", "item_no"]).drop("page", "item_no")
 
 
 def items(pages: DataFrame) -> DataFrame:
-    """Product items with their page and position."""
-    return pages.select("page", F.posexplode("result.items").alias("item_no", "item"))
+    """Product items with their owner, page and position."""
+    return pages.select(*owner_columns(pages), "page", F.posexplode("result.items").alias("item_no", "item"))
 
 
 def expand_skus(item_rows: DataFrame, fbo_only: bool = False) -> DataFrame:
@@ -59,27 +65,30 @@ def expand_skus(item_rows: DataFrame, fbo_only: bool = False) -> DataFrame:
 
 
 def product_rows(pages: DataFrame, attributes: DataFrame, owner, run_id, fbo_only: bool = False) -> DataFrame:
-    """Staged product rows, the first of each SKU; a product without attributes is an error.
+    """Staged product rows, the first of each owner and SKU; an item without attributes is an error.
 
-    Repeats are dropped before the lookup, so the lookup sees each SKU once.
+    Every item is looked up, also one whose SKUs another item has taken. `owner` is a value, or the
+    column that tells the owners of the pages apart.
     """
-    every = expand_skus(items(pages).withColumn("id", F.col("item.id")), fbo_only)
-    found = require(first_wins(every, ["sku"], _ORDER), attributes, ["id"])
+    by = owner_columns(pages)
+    found = require(items(pages).withColumn("id", F.col("item.id")), attributes, [*by, "id"])
+    every = first_wins(expand_skus(found, fbo_only), [*by, "sku"], _ORDER)
     outside = {
         "owner_code": as_value(owner), "transaction_id": as_value(run_id),
         "sku": F.col("sku"), "brand": F.col("brand"), "category": F.col("category"),
     }
     inside = {c: F.col("item").getField(c) for c in COLUMNS if c not in outside}
-    return found.select(*[{**inside, **outside}[c].alias(c) for c in COLUMNS])
+    return every.select(*[{**inside, **outside}[c].alias(c) for c in COLUMNS])
 
 
 def sku_barcodes(pages: DataFrame) -> DataFrame:
-    """Barcode per SKU as text; the last delivered item wins."""
+    """Barcode per owner and SKU as text; the last delivered item wins."""
+    by = owner_columns(pages)
     every = expand_skus(items(pages)).select(
-        *_ORDER, F.col("sku").cast("string").alias("sku"), F.col("item.barcode").alias("barcode"))
-    return last_wins(every, ["sku"], _ORDER).select("sku", "barcode")
+        *by, *_ORDER, F.col("sku").cast("string").alias("sku"), F.col("item.barcode").alias("barcode"))
+    return last_wins(every, [*by, "sku"], _ORDER).select(*by, "sku", "barcode")
 
 
 def product_ids(pages: DataFrame) -> DataFrame:
-    """Distinct product ids of the id pages."""
-    return pages.select(F.explode("result.items.product_id").alias("product_id")).distinct()
+    """Distinct product ids of the id pages, per owner."""
+    return pages.select(*owner_columns(pages), F.explode("result.items.product_id").alias("product_id")).distinct()

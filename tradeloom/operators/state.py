@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.common import as_value
-from tradeloom.operators.dedup import last_wins
+from tradeloom.operators.dedup import first_wins, last_wins
 
 
-def replace_slice(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop the old rows of every slice present in `new`, then add `new`."""
-    kept = old.join(new.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(new)
+def _outside(old: DataFrame, slices: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `old` in none of the slices; a null key is a slice like any other."""
+    gone = slices.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return old.join(gone, same, "left_anti")
+
+
+def replace_slice(old: DataFrame, new: DataFrame, keys: list[str], slices: DataFrame | None = None) -> DataFrame:
+    """Drop the old rows of every slice present in `new`, or listed in `slices`, then add `new`.
+
+    List the slices that were asked for: one that came back empty is cleared, too.
+    """
+    gone = new.select(*keys) if slices is None else new.select(*keys).unionByName(slices.select(*keys))
+    return _outside(old, gone, keys).unionByName(new)
 
 
 def replace_from(old: DataFrame, new: DataFrame, day: Column | str, start) -> DataFrame:
-    """Rows before `start` from `old`, rows from `start` on from `new`."""
+    """Rows before `start`, or without a day, from `old`; rows from `start` on from `new`."""
     at = F.col(day) if isinstance(day, str) else day
     limit = as_value(start).cast("date")
-    return old.filter(at < limit).unionByName(new.filter(at >= limit))
+    return old.filter(F.coalesce(at < limit, F.lit(True))).unionByName(new.filter(at >= limit))
 
 
 def replace_day(old: DataFrame, new: DataFrame, day: str, on, delete: bool) -> DataFrame:
@@ -28,20 +40,25 @@ def replace_day(old: DataFrame, new: DataFrame, day: str, on, delete: bool) -> D
     return kept.unionByName(new)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
-    """Staged rows replace old rows of the same key; `order` picks among staged repeats.
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """Staged rows replace old rows of the same key; the last one by `order` wins among staged repeats.
+
+    `order` names what tells when a row was staged, such as its page and place in it, and must be
+    unique within a key. The columns are those of `old`.
 
     The old side is only filtered: where the staged keys are few, Spark
     broadcasts them and the old rows are not shuffled at all.
     """
-    order = order or [c for c in new.columns if c not in keys]
-    kept = old.join(new.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
-    return kept.unionByName(last_wins(new, keys, order))
+    return _outside(old, new, keys).unionByName(last_wins(new, keys, order).select(*old.columns))
 
 
-def insert_missing(dim: DataFrame, new: DataFrame, on: list[str]) -> DataFrame:
-    """Dimension with the rows it does not hold yet; known rows stay as they are."""
-    return dim.unionByName(new.join(dim.select(*on), on, "left_anti").select(*dim.columns))
+def insert_missing(dim: DataFrame, new: DataFrame, on: list[str], order: list) -> DataFrame:
+    """Dimension with the rows it does not hold yet; known rows stay as they are.
+
+    The first new row of a key by `order` is taken; a row with a null in its key names nothing.
+    """
+    named = new.dropna(subset=on)
+    return dim.unionByName(first_wins(named.join(dim.select(*on), on, "left_anti"), on, order).select(*dim.columns))
 
 
 def request_ledger(log: DataFrame, key: str = "uuid", at: str = "seq") -> DataFrame:

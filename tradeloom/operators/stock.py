@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.common import as_value
 from tradeloom.functions.text import before, comma_number, upper_or_none
-from tradeloom.operators.lookup import optional, require
+from tradeloom.operators.lookup import require
+from tradeloom.operators.products import owner_columns
 
 # Staged columns with their types, in order.
 OZON_COLUMNS = {
@@ -53,14 +54,20 @@ def _conform(df: DataFrame, values: dict) -> DataFrame:
     ])
 
 
+def _codes(pages: DataFrame, barcodes: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Barcodes by text SKU, and the columns they are looked up by."""
+    by = [c for c in owner_columns(pages) if c in barcodes.columns]
+    return barcodes.select(*by, F.col("sku").cast("string").alias("sku"), "barcode"), [*by, "sku"]
+
+
 def seller_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id, stock_date) -> DataFrame:
     """Seller-stats stock, one row per SKU and warehouse; every SKU must have a barcode entry.
 
-    `barcodes` holds one row per `sku`.
+    `barcodes` holds one row per `sku`, or per owner and SKU where it names the owner as the pages do.
     """
     items = pages.select("*", F.explode_outer("result").alias("item")).drop("result") \
         .select("*", F.explode("item.stock").alias("cell"), F.col("item.sku").cast("string").alias("sku"))
-    found = require(items, barcodes.select(F.col("sku").cast("string").alias("sku"), "barcode"), ["sku"])
+    found = require(items, *_codes(pages, barcodes))
     item, cell = F.col("item"), F.col("cell")
     values = {
         "owner": as_value(owner), "date": as_value(stock_date), "sku": F.col("sku"),
@@ -80,7 +87,8 @@ def analytics_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id,
     """Analytics stock in the same columns; a SKU may lack a barcode."""
     rows = pages.select("*", F.explode("result.rows").alias("r")).drop("result") \
         .withColumn("sku", F.col("r.sku").cast("string"))
-    found = optional(rows, barcodes.select(F.col("sku").cast("string").alias("sku"), "barcode"), ["sku"])
+    codes, on = _codes(pages, barcodes)
+    found = rows.join(codes, on, "left")
     return _conform(found, {
         "owner": as_value(owner), "date": as_value(stock_date), "sku": F.col("sku"),
         "name": F.col("r.item_name"), "warehouse": upper_or_none("r.warehouse_name"),

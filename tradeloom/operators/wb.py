@@ -55,8 +55,14 @@ def recent_orders(docs: DataFrame, since) -> DataFrame:
 
 
 def known_sales(docs: DataFrame) -> DataFrame:
-    """Sales that name an order: `srid` is not the number zero. A missing one is kept."""
-    return docs.filter(F.coalesce(F.col("srid"), F.lit("")) != "0")
+    """Sales that name an order, with `srid` as text.
+
+    Only the number zero names none; the text "0" and a missing one are kept. The field is read as
+    the JSON value it is, as both look alike as text.
+    """
+    number = F.schema_of_variant("srid") != "STRING"
+    zero = F.coalesce(number & (F.try_variant_get("srid", "$", "double") == 0), F.lit(False))
+    return docs.filter(~zero).withColumn("srid", F.col("srid").cast("string"))
 
 
 def order_lines(docs: DataFrame, owner, run_id, since) -> DataFrame:

@@ -32,6 +32,11 @@ def _kind(measure: str) -> str:
     return "bigint" if measure in ("orders", "cancelled") else MONEY
 
 
+def _live() -> Column:
+    """A missing flag means not cancelled."""
+    return ~F.coalesce("is_cancelled", F.lit(False))
+
+
 def _in_window(day: Column, on, days: int) -> Column:
     last = as_value(on).cast("date")
     return (day > F.date_sub(last, days)) & (day <= last)
@@ -39,7 +44,7 @@ def _in_window(day: Column, on, days: int) -> Column:
 
 def _order_part(orders: DataFrame, keys: list[str], on, days: int) -> DataFrame:
     """Orders of the last days; cancelled ones only count as cancelled."""
-    live = ~F.col("is_cancelled")
+    live = _live()
     return orders.filter(_in_window(F.col("day"), on, days)).select(
         *keys, F.lit(1).cast("bigint").alias("orders"),
         F.when(live, F.col("quantity")).otherwise(_zero(MONEY)).cast(MONEY).alias("quantity"),
@@ -137,7 +142,7 @@ def item_report(orders: DataFrame, until, spans: tuple[int, ...] = (7, 30)) -> D
     Rows are summed per item and day first, so a window holds at most one row
     per day, however often an item sold.
     """
-    live = orders.filter(~F.col("is_cancelled") & (F.col("day") <= as_value(until).cast("date")))
+    live = orders.filter(_live() & (F.col("day") <= as_value(until).cast("date")))
     daily = live.groupBy("item", "day").agg(
         F.sum("quantity").cast(MONEY).alias("quantity"), F.sum("amount").cast(MONEY).alias("amount"))
     at = F.datediff(F.col("day"), F.lit("1970-01-01").cast("date"))

@@ -12,7 +12,6 @@ from tradeloom.functions.common import as_value
 from tradeloom.functions.numbers import MONEY, money
 from tradeloom.functions.times import iso_ts
 from tradeloom.operators.dedup import latest_version
-from tradeloom.operators.lookup import optional
 from tradeloom.operators.state import replace_from, upsert
 
 ORDER_KEY = ["source", "owner", "order_key", "sku"]
@@ -29,7 +28,7 @@ def wb_orders(staged: DataFrame) -> DataFrame:
         F.lit("WB").alias("source"), F.col("owner_code").alias("owner"), F.col("srid").alias("order_key"),
         F.col("nm_id").cast("string").alias("sku"), iso_ts("date").alias("order_ts"),
         iso_ts("last_change_date").alias("change_ts"), F.lit(1).cast(MONEY).alias("quantity"),
-        money("price_with_disc").alias("amount"), F.col("is_cancel").alias("is_cancelled"),
+        money("price_with_disc").alias("amount"), F.coalesce("is_cancel", F.lit(False)).alias("is_cancelled"),
         F.col("warehouse_name").alias("warehouse"), F.col("region_name").alias("region"),
         F.col("order_type").alias("schema"), "barcode",
     )
@@ -42,7 +41,7 @@ def ozon_orders(staged: DataFrame) -> DataFrame:
         F.col("sku").cast("string").alias("sku"), iso_ts("created_at", zulu=True, fraction=True).alias("order_ts"),
         iso_ts("in_process_at", zulu=True, fraction=True).alias("change_ts"), money("quantity").alias("quantity"),
         (money("price") * F.col("quantity")).cast(MONEY).alias("amount"),
-        (F.col("status") == "cancelled").alias("is_cancelled"), F.col("warehouse_name").alias("warehouse"),
+        F.coalesce(F.col("status") == "cancelled", F.lit(False)).alias("is_cancelled"), F.col("warehouse_name").alias("warehouse"),
         "region", "schema", F.lit(None).cast("string").alias("barcode"),
     )
     measures = ("quantity", "amount")
@@ -63,19 +62,16 @@ def wb_sales(staged: DataFrame) -> DataFrame:
 
 
 def apply_orders(old: DataFrame, staged: list[DataFrame], date_from) -> DataFrame:
-    """New order fact: days before `date_from` stay, later days hold the latest staged versions."""
+    """New order or sales fact: days before `date_from` stay, later days hold the latest staged versions.
+
+    Versions are ranked before the range is cut: a key whose latest version lies before `date_from`
+    has left the range, and an older version of it must not come back.
+    """
     new = staged[0]
     for rows in staged[1:]:
         new = new.unionByName(rows)
     day = F.col("order_ts").cast("date")
-    # the range is cut first: rows of older days need no ranking
-    recent = new.filter(day >= as_value(date_from).cast("date"))
-    return replace_from(old, latest_version(recent, ORDER_KEY, "change_ts"), day, date_from)
-
-
-def apply_sales(old: DataFrame, staged: list[DataFrame], date_from) -> DataFrame:
-    """New sales fact; the rule is that of the orders."""
-    return apply_orders(old, staged, date_from)
+    return replace_from(old, latest_version(new, ORDER_KEY, "change_ts"), day, date_from)
 
 
 def wb_stock(staged: DataFrame) -> DataFrame:
@@ -121,22 +117,25 @@ def apply_stock(old: DataFrame, staged: list[DataFrame], stock_date) -> DataFram
         new = new.unionByName(rows)
     keys = [c for c in STOCK_COLUMNS if c != "quantity"]
     sums = new.filter(F.col("stock_date") == on).groupBy(*keys).agg(F.sum("quantity").cast(MONEY).alias("quantity"))
-    return old.filter(F.col("stock_date") != on).unionByName(sums)
+    return old.filter(F.coalesce(F.col("stock_date") != on, F.lit(True))).unionByName(sums)
 
 
 def apply_stock_of(old: DataFrame, staged: DataFrame, stock_date, source: str) -> DataFrame:
     """The same for a single source; rows of other sources stay."""
-    mine = old.filter(F.col("source") == source)
-    return old.filter(F.col("source") != source).unionByName(apply_stock(mine, [staged], stock_date))
+    mine = F.col("source").eqNullSafe(F.lit(source))
+    return old.filter(~mine).unionByName(apply_stock(old.filter(mine), [staged], stock_date))
 
 
 def apply_dictionary(items: tuple[DataFrame, DataFrame], barcodes: tuple[DataFrame, DataFrame],
-                     prices: tuple[DataFrame, DataFrame]) -> dict[str, DataFrame]:
-    """Upsert the three dictionaries, each given as (old, staged)."""
+                     prices: tuple[DataFrame, DataFrame], order: tuple[str, ...] = ("page", "item_no")) -> dict[str, DataFrame]:
+    """Upsert the three dictionaries, each given as (old, staged); the last staged row of a key wins.
+
+    The staged rows carry `order`, as the row functions of the feed give it with `placed`.
+    """
     return {
-        "item": upsert(*items, keys=["id"]),
-        "barcode": upsert(*barcodes, keys=["barcode_id"]),
-        "barcode_price": upsert(*prices, keys=["barcode"]),
+        "item": upsert(*items, keys=["id"], order=[*order]),
+        "barcode": upsert(*barcodes, keys=["barcode_id"], order=[*order]),
+        "barcode_price": upsert(*prices, keys=["barcode"], order=[*order]),
     }
 
 
@@ -151,4 +150,17 @@ def with_items(rows: DataFrame, barcodes: DataFrame) -> DataFrame:
     A barcode of several items stands for the first of them.
     """
     one = barcodes.groupBy("barcode").agg(F.min("item_id").alias("_item"))
-    return optional(rows, one, ["barcode"]).withColumn("item", F.coalesce("_item", "barcode", "sku")).drop("_item")
+    # Rows without a barcode, which may be most, are neither shuffled nor looked up.
+    known = rows.filter(F.col("barcode").isNotNull()).join(one, ["barcode"], "left").select(*rows.columns, "_item")
+    bare = rows.filter(F.col("barcode").isNull()).withColumn("_item", F.lit(None).cast(one.schema["_item"].dataType))
+    return known.unionByName(bare).withColumn("item", F.coalesce("_item", "barcode", "sku")).drop("_item")
+
+
+def report_orders(fact: DataFrame, barcodes: DataFrame) -> DataFrame:
+    """Order or sales fact as the daily reports read it: with `day` and `item`."""
+    return with_items(fact, barcodes).withColumn("day", F.col("order_ts").cast("date"))
+
+
+def report_stock(fact: DataFrame, barcodes: DataFrame) -> DataFrame:
+    """Stock fact as the daily reports read it: with `item`."""
+    return with_items(fact, barcodes)

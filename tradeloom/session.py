@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. All of them can be changed on a live session.
@@ -47,11 +45,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session may go without it; it then gets a new temporary folder.
+    Where that is unset, it lies beside the warehouse, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="tradeloom-")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-work").rstrip("/")

@@ -7,7 +7,7 @@ then adds the owner as a partition column and prunes folders on it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.files import report_period, report_scheme
@@ -17,7 +17,7 @@ CORRUPT = "_corrupt"
 
 
 def pages(spark: SparkSession, path: str, feed: str, lines: bool = False) -> DataFrame:
-    """Rows of a JSON feed plus `page`, the file name, which orders the pages.
+    """Rows of a JSON feed plus `page`, which orders them: see `ordinal`.
 
     Set `lines` where a file holds one document per line; such files are split
     between tasks. Unreadable documents keep their text in `_corrupt`.
@@ -26,7 +26,30 @@ def pages(spark: SparkSession, path: str, feed: str, lines: bool = False) -> Dat
     reader = spark.read.schema(f"{schema}, {CORRUPT} string").options(
         mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=str(whole_file and not lines).lower()
     )
-    return reader.json(path).withColumn("page", F.col("_metadata.file_name"))
+    return reader.json(path).withColumn("page", ordinal())
+
+
+def ordinal() -> Column:
+    """Text that sorts documents as they were delivered, unique for each document.
+
+    It is made of the folder, the last number in the file name as a number (page 9 comes before
+    page 10), the file name, where the block that was read starts in the file, and the place in it:
+    rows of a block come from one task, in order.
+    """
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    number = F.regexp_extract(name, r"(\d+)\D*$", 1)
+    padded = lambda c: F.lpad(c.cast("string"), 20, "0")
+    return F.concat_ws("|", F.regexp_replace(path, "[^/]*$", ""), padded(number), name, padded(F.col("_metadata.file_block_start")),
+                       padded(F.monotonically_increasing_id()))
+
+
+def split(df: DataFrame, good_path: str, bad_path: str) -> None:
+    """Parse once: write the readable and the unreadable rows of `pages` to folders of their own."""
+    staged = f"{good_path.rstrip('/')}-parsed"
+    df.withColumn("_readable", F.col(CORRUPT).isNull()).write.mode("overwrite").partitionBy("_readable").parquet(staged)
+    parsed = df.sparkSession.read.schema(df.withColumn("_readable", F.lit(True)).schema).parquet(staged)
+    parsed.filter("_readable").drop("_readable", CORRUPT).write.mode("overwrite").parquet(good_path)
+    parsed.filter("not _readable").select("page", CORRUPT).write.mode("overwrite").parquet(bad_path)
 
 
 def good(df: DataFrame) -> DataFrame:
@@ -35,7 +58,7 @@ def good(df: DataFrame) -> DataFrame:
 
 
 def bad(df: DataFrame) -> DataFrame:
-    """Unreadable rows: the page and its text. Cache or write the pages first, as Spark asks for."""
+    """Unreadable rows: the page and its text. Spark wants the pages written first; `split` writes both kinds."""
     return df.filter(F.col(CORRUPT).isNotNull()).select("page", CORRUPT)
 
 

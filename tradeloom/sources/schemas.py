@@ -63,7 +63,7 @@ WB_SALE = (
     " regionName string, supplierArticle string, barcode string, category string, subject string, brand string,"
     " techSize string, incomeID bigint, isSupply boolean, isRealization boolean, totalPrice double,"
     " discountPercent double, spp double, forPay double, finishedPrice double, priceWithDisc double,"
-    " saleID string, sticker string, gNumber string, srid string, nmId bigint"
+    " saleID string, sticker string, gNumber string, srid variant, nmId bigint"
 )
 WB_STOCK = (
     "lastChangeDate string, warehouseName string, supplierArticle string, barcode string, quantity int,"

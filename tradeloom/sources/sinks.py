@@ -5,7 +5,7 @@ All of them can run again after a failure: a slice is written whole, never added
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,27 +14,33 @@ def load(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def replace_slices(df: DataFrame, path: str, keys: list[str], hot_files: int | None = None) -> None:
+def replace_slices(df: DataFrame, path: str, keys: list[str], hot_files: int | None = None,
+                   slices: list[dict] | None = None) -> None:
     """Replace the slices (owner, transaction, day) present in `df`; others stay.
 
-    A slice is spread over `hot_files` writers where given, so one owner with
+    `slices` lists those that were asked for, by their key values: they are cleared first, so one
+    that came back empty does not keep its old rows. A run that stops in between can run again. A slice is spread over `hot_files` writers where given, so one owner with
     most of the rows does not end up in a single task.
     """
     if hot_files:
         spread = [F.col(k) for k in keys] + [F.pmod(F.xxhash64(*df.columns), F.lit(hot_files))]
         df = df.repartition(*spread)
+    for one in slices or []:
+        _clear(df.sparkSession, path, {k: one[k] for k in keys})
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def _clear(spark: SparkSession, path: str, values: dict) -> None:
+    """Remove the folder of one slice, named as Spark's writer names it."""
+    jvm, hidden = spark._jvm, "__HIVE_DEFAULT_PARTITION__"
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    names = [f"{escape(k)}={hidden if v is None else escape(str(v))}" for k, v in values.items()]
+    folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *names]))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def require_rows(df: DataFrame, message: str = "no data") -> DataFrame:
-    """Same rows; fails where there are none. Stops reading at the first row it finds."""
-    if df.isEmpty():
-        raise ValueError(message)
-    return df
+def append(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
 
 
 def export(df: DataFrame, path: str, sep: str = ";", rows_per_file: int | None = None) -> None:
@@ -51,6 +57,18 @@ def export_sections(sections: list[DataFrame], path: str, sep: str = ";") -> Non
         export(section, f"{path}/section={i}", sep)
 
 
-def write_split(df: DataFrame, path: str, rows_per_file: int) -> None:
-    """Write files of a bounded number of rows; every row lands in one of them."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+def write_split(df: DataFrame, path: str, rows_per_file: int, empty: str | None = None) -> None:
+    """Write files of a bounded number of rows; every row lands in one of them.
+
+    With `empty`, the job fails with that message where there was no row. Rows are counted as they
+    are written, so the plan runs once.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    if empty is not None and not seen.get["rows"]:
+        raise ValueError(empty)
+
+
+def rows_per_file(row_bytes: int, file_bytes: int = 30 << 20) -> int:
+    """Rows of about `row_bytes` that make a file of about `file_bytes`."""
+    return max(1, file_bytes // max(1, row_bytes))

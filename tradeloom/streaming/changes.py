@@ -18,7 +18,7 @@ LATE = "45 days"
 
 def landed(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 1000,
            **options: str) -> DataFrame:
-    """Stream of the files in a landing folder."""
+    """Stream of the files in a landing folder, or of a single file."""
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch) \
         .options(**options).load(path)
 
@@ -28,7 +28,7 @@ def change_log(changes: DataFrame, log: str, checkpoint: str, keys: list[str], o
 
     A batch overwrites only its own partition, so a batch that runs again after a
     lost executor or driver leaves no repeats. The state as a whole is not
-    rewritten per batch; `current` reads it and `compact` shortens the log.
+    rewritten per batch; `compact` moves the log into a base from time to time.
     """
     def write(batch: DataFrame, number: int) -> None:
         last_wins(batch, keys, order).withColumn(BATCH, F.lit(number)).write.mode("overwrite") \
@@ -38,14 +38,34 @@ def change_log(changes: DataFrame, log: str, checkpoint: str, keys: list[str], o
         .trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, log: str, keys: list[str], order: list) -> DataFrame:
-    """Last change per key over the whole log."""
-    return last_wins(spark.read.parquet(log), keys, [*order, BATCH]).drop(BATCH)
+def _versions(spark: SparkSession, log: str, base: tuple[str, int] | None) -> DataFrame:
+    """Rows of the base, if any, and of the log's batches behind it; the folders before are not read."""
+    rows = spark.read.parquet(log)
+    if base is None:
+        return rows
+    path, upto = base
+    return spark.read.parquet(path).select(*rows.columns).unionByName(rows.filter(F.col(BATCH) > upto))
 
 
-def compact(spark: SparkSession, log: str, target: str, keys: list[str], order: list) -> None:
-    """Write the current state to a new folder."""
-    current(spark, log, keys, order).write.mode("overwrite").parquet(target)
+def current(spark: SparkSession, log: str, keys: list[str], order: list, base: tuple[str, int] | None = None) -> DataFrame:
+    """Last change per key over the base and the log behind it.
+
+    `base` is what `compact` returned: a folder, and the last batch that is in it.
+    """
+    return last_wins(_versions(spark, log, base), keys, [*order, BATCH]).drop(BATCH)
+
+
+def compact(spark: SparkSession, log: str, target: str, keys: list[str], order: list,
+            base: tuple[str, int] | None = None) -> tuple[str, int]:
+    """Write the state up to the newest batch of the log as a new base in the folder `target`.
+
+    Later reads need the new base and later batches only; the log's older partitions
+    and the base before it can then be removed by whoever owns the folders.
+    """
+    upto = spark.read.parquet(log).agg(F.max(BATCH)).first()[0]
+    rows = _versions(spark, log, base).filter(F.col(BATCH) <= upto)
+    last_wins(rows, keys, [*order, BATCH]).write.mode("overwrite").parquet(target)
+    return target, int(upto)
 
 
 def distinct_changes(changes: DataFrame, keys: list[str], change: str, late: str = LATE) -> DataFrame:
@@ -65,11 +85,21 @@ def append_run(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
         .outputMode("append").trigger(availableNow=True).start()
 
 
-def replace_run(rows: DataFrame, target: str, checkpoint: str, run: str) -> StreamingQuery:
-    """Load one pull, replacing what an earlier try of the same run left behind."""
+def replace_run(rows: DataFrame, target: str, checkpoint: str, run: str) -> None:
+    """Load one pull and replace what earlier tries of the same run left behind.
+
+    The micro-batches are staged beside the checkpoint, which is that of this try; a batch that runs
+    again replaces itself there. When all have arrived, the runs that were staged are overwritten
+    in the target as a whole, so batches of an earlier try that had more of them do not stay.
+    """
+    staged = f"{checkpoint.rstrip('/')}-rows"
+
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn(BATCH, F.lit(number)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(run, BATCH).parquet(target)
+            .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(staged)
 
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
+    rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start().awaitTermination()
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema.fields)}, {BATCH} int"
+    rows.sparkSession.read.schema(schema).parquet(staged).drop(BATCH).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(target)
