@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,11 +20,19 @@ def work_dir(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-work").rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table written once in a new shared folder: it cuts lineage and outlives executors."""
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def written(df: DataFrame, name: str, rows: int = 500) -> DataFrame:
+    """`df` as a table written once in a new shared folder: it cuts lineage and outlives executors.
+
+    Meanwhile Python tasks get at most `rows` rows at once, as these may be long texts, which take
+    room in the JVM's buffers and in Python; afterwards the session's own number holds again.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = f"{work_dir(spark)}/llm-{name}-{uuid.uuid4().hex}", spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -79,6 +89,13 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of `rows` rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def in_executor() -> None:
     """Settings of libraries inside a Python worker: one thread for each task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -11,9 +11,10 @@ n - ceil(t n) + k ones: two linked sets share at least k n-grams inside both k-p
 
 The boundary is the one with the least rows to enumerate and scan, by the histogram of set sizes.
 
-Equal sets are one node. A round first joins each node with one partner per list only, so groups of
-copies become components without making all their pairs; then all pairs of one list that lie in
-different components are counted and checked, which finds every link that can still matter.
+Equal sets are one node. First each node is checked against one partner only, the node it meets most
+as the heaviest of a list, so groups of copies become components without making all their pairs.
+Then all pairs of one list that lie in different components are counted and checked, which finds
+every link that can still matter.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import written
+from tradeloom.llm.common import slices, written
 from tradeloom.llm.components import stars
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
@@ -59,21 +60,32 @@ def _texts(docs: DataFrame) -> DataFrame:
 def common_shingles(docs: DataFrame, n: int, rare: int = 2000) -> np.ndarray:
     """n-grams in about one of `rare` documents or more; they come last in the order.
 
-    Batches of rows are counted by themselves, equal sets once, and n-grams that a batch holds only
-    once are left out of the count. The order decides how long lists get, never what is linked. At
+    Some 8,000 rows at a time are counted by themselves, equal sets once, and n-grams that they hold
+    only once are left out of the count. The order decides how long lists get, never what is linked. At
     most `rare` times the mean size of a set are returned, however many documents there are.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[bytes, np.ndarray] = {}
-            for text in batch.column(0).to_pylist():
-                s = shingles(text, n)
-                seen.setdefault(xxhash.xxh3_128_digest(s.tobytes()), s)
-            tokens, times = np.unique(np.concatenate([*seen.values(), np.zeros(0, np.int64)]), return_counts=True)
+    def counted(seen: dict[bytes, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        of = np.concatenate([*seen.values(), np.zeros(0, np.int64)])
+        for k in range(4):  # a quarter of the hashes at a time takes a quarter of the room
+            tokens, times = np.unique(of[of & 3 == k], return_counts=True)
             often = times > 1
+            many = np.append(np.zeros(often.sum(), np.int64), len(seen) if k == 0 else 0).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(tokens[often], 0)), pa.array(np.append(times[often], 0).astype(np.int64)),
-                 pa.array(np.append(np.zeros(often.sum(), np.int64), len(seen)).astype(np.int64))], names=["token", "times", "docs"])
+                [pa.array(np.append(tokens[often], 0)), pa.array(np.append(times[often], 0).astype(np.int64)), pa.array(many)],
+                names=["token", "times", "docs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, np.ndarray] = {}
+        size = 0
+        for part in slices(batches):
+            for text in part.column(0).to_pylist():
+                s = shingles(text, n)
+                if seen.setdefault(xxhash.xxh3_128_digest(s.tobytes()), s) is s:
+                    size += len(s)
+            if len(seen) >= 8000 or size >= 4_000_000:
+                yield from counted(seen)
+                seen, size = {}, 0
+        yield from counted(seen)
 
     counts = written(docs.select(F.col("text").cast("string")).mapInArrow(run, "token long, times long, docs long"), "often")
     total = counts.agg(F.sum("docs")).first()[0] or 0
@@ -82,73 +94,140 @@ def common_shingles(docs: DataFrame, n: int, rare: int = 2000) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, common: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(doc_id, th, sig1, sig2, n, prefix) of every row: hash of the text, of the set, its size, its 2-prefix."""
+    """(doc_id, th, sig1, sig2, n, prefix, last) of every row: hash of the text, of the set, its size, its 2-prefix,
+    and where its 1-prefix ends in the order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], []]
+        for batch in slices(batches):
+            out: list[list] = [[], [], [], [], []]
             for text in batch.column(2).to_pylist():
                 s = shingles(text, n)
                 sig = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                 last = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
                 size = len(s) - (percent * len(s) + 99) // 100 + 2
-                for to, x in zip(out, (int(sig[0]), int(sig[1]), len(s), np.concatenate([s[~last], s[last]])[:size])):
+                prefix = np.concatenate([s[~last], s[last]])[:size]
+                # The 1-prefix has one n-gram less.
+                end = {"common": len(s) - int(last.sum()) < size - 1, "token": int(prefix[size - 2])} if len(s) else None
+                for to, x in zip(out, (int(sig[0]), int(sig[1]), len(s), prefix, end)):
                     to.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(x, pa.int64()) for x in out[:3]], pa.array(out[3], pa.list_(pa.int64()))],
-                names=["doc_id", "th", "sig1", "sig2", "n", "prefix"])
+            kinds = (*[pa.int64()] * 3, pa.list_(pa.int64()), pa.struct([("common", pa.bool_()), ("token", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, t) for x, t in zip(out, kinds)]],
+                                             names=["doc_id", "th", "sig1", "sig2", "n", "prefix", "last"])
+
+    return _texts(docs).mapInArrow(
+        run, "doc_id long, th long, sig1 long, sig2 long, n long, prefix array<long>, last struct<common:boolean,token:long>")
+
 
-    return _texts(docs).mapInArrow(run, "doc_id long, th long, sig1 long, sig2 long, n long, prefix array<long>")
+#: Sets above this size are never light: they have more subsets than any list is long.
+LARGEST_LIGHT = 64
 
 
-def boundary(sizes: list[tuple[int, int]], percent: int, length: float) -> int:
-    """Largest size of a light set. `sizes`: (size, sets); `length`: mean length of an inverted list.
+def list_keys(prefix: np.ndarray, n: int, percent: int, x: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(subset keys, single keys) under which a set of size n with this 2-prefix is listed, for boundary x.
 
-    Cost of a boundary: the 2-subsets of all light sets, and for every set that heavy ones must
-    find, its 1-prefix times the rows met in a list.
+    Without a boundary both kinds are made, for measuring. Sets below 6 n-grams (at 85 percent) link
+    with equal ones only, which are one node already, and are listed nowhere.
     """
-    prefix = lambda n: n - (percent * n + 99) // 100 + 1
-    pairs = {n: prefix(n) * (prefix(n) + 1) // 2 * c for n, c in sizes}
-    scans = {n: prefix(n) * c * length for n, c in sizes}
-    names = sorted(pairs)
-    enumerate_, scan = np.cumsum([pairs[n] for n in names]), np.cumsum([scans[n] for n in names])
-    best, least = 0, float(scan[-1]) if names else 0.0
-    for k, x in enumerate(names):
-        below = np.searchsorted(names, (percent * (x + 1) + 99) // 100)  # sets below it meet no heavy one
-        cost = float(enumerate_[k] + scan[-1] - (scan[below - 1] if below else 0))
+    none = prefix[:0]
+    if n * (100 - percent) < percent:
+        return none, none
+    two = none
+    if n <= (LARGEST_LIGHT if x is None else x):
+        i, j = np.triu_indices(len(prefix), 1)
+        u = prefix.view(np.uint64)
+        two = ((u[i] * _MULT[0]) ^ ((u[j] + _MULT[1]) * _MULT[2])).view(np.int64)
+    near = x is None or 100 * n >= percent * (x + 1)
+    return two, prefix[:n - (percent * n + 99) // 100 + 1] if near else none
+
+
+def listed(rows: DataFrame, percent: int, x: int | None, keep) -> DataFrame:
+    """(key, light, row, n) of the lists of `rows`; `keep` says by numpy which keys to send on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for row, n, prefix in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                for light, keys in zip((True, False), list_keys(prefix.values.to_numpy(), n, percent, x)):
+                    keys = keys[keep(keys)]
+                    for to, v in zip(out, (keys, np.full(len(keys), light), np.full(len(keys), row), np.full(len(keys), n))):
+                        to.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *v])) for v, t in zip(out, (np.int64, bool, np.int64, np.int64))],
+                                             names=["key", "light", "row", "n"])
+
+    return rows.filter("n > 0").select("row", "n", "prefix").mapInArrow(run, "key long, light boolean, row long, n long")
+
+
+def boundary(pairs: dict[int, float], scans: dict[int, float], percent: int) -> int:
+    """Largest size of a light set, 0 for none; costs by size.
+
+    `pairs`: rows met in the lists of 2-subsets; `scans`: rows met in those of single n-grams. Light
+    sets that a heavy one may link with are in both, which the cost of a boundary counts.
+    """
+    best, least = 0, sum(scans.values())
+    for x in range(1, LARGEST_LIGHT + 1):
+        cost = sum(c for n, c in pairs.items() if n <= x) + sum(c for n, c in scans.items() if 100 * n >= percent * (x + 1))
         if cost < least:
             best, least = x, cost
     return best
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, n: int, bits: int = 1 << 22) -> DataFrame:
-    """(node, tokens) for `nodes` (node, doc_id, th).
+def measured(rows: DataFrame, percent: int) -> int:
+    """The boundary by the lists of one key in 64, over all rows."""
+    some = written(listed(rows, percent, None, lambda k: k % 64 == 0), "sampled")
+    length = some.groupBy("key", "light").agg(F.count("*").alias("c"))
+    size = F.least("n", F.lit(LARGEST_LIGHT * 2)).alias("n")
+    cost = some.join(length, ["key", "light"]).groupBy("light", size).agg(F.sum("c").alias("c")).collect()
+    return boundary(*({r["n"]: float(r["c"]) for r in cost if r["light"] == kind} for kind in (True, False)), percent)
 
-    A bit map of the wanted texts goes to the tasks, 32 KB for each 262,144 bits, so that only their
-    sets leave the scan; a join takes the few others out. No text is shuffled.
-    """
-    slot = F.pmod(F.col("th"), F.lit(bits))
-    maps = nodes.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 32768).alias("k")).agg(
-        F.bitmap_construct_agg(F.pmod(F.col("s"), F.lit(32768))).alias("m")).collect()
-    wanted = np.zeros(bits, bool)
+
+def bit_map(values: DataFrame, name: str, bits: int) -> np.ndarray:
+    """Which of `bits` cells the values of a column fall into: a filter of fixed size, 32 KB for 262,144 bits."""
+    cell = F.pmod(F.col(name), F.lit(bits))
+    maps = values.groupBy(F.floor(cell / 32768).alias("k")).agg(F.bitmap_construct_agg(F.pmod(cell, F.lit(32768))).alias("m")).collect()
+    out = np.zeros(bits // 8, np.uint8)
     for r in maps:
-        got = np.unpackbits(np.frombuffer(r["m"], np.uint8), bitorder="little")
-        wanted[r["k"] * 32768:r["k"] * 32768 + len(got)] = got[:32768]
-    packed = np.packbits(wanted, bitorder="little")
+        got = np.frombuffer(r["m"], np.uint8)
+        out[r["k"] * 4096:r["k"] * 4096 + len(got)] = got
+    return out
+
+
+def in_map(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = np.mod(values, len(bits) * 8)
+    return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def postings(rows: DataFrame, nodes: DataFrame, percent: int, bits: int = 1 << 25) -> tuple[int, DataFrame]:
+    """The boundary, and the inverted lists of two nodes or more: (key, light, node, n, weight).
+
+    Most n-grams of a 2-prefix are in one set only. Keys are counted first; then a bit map of the
+    repeated ones (4 MB) goes to the tasks, and only what it lets through is dealt by key. A node's
+    weight is the mean length of its lists: the text that copies were made from has most in common.
+    """
+    x = measured(rows, percent)
+    every = listed(rows, percent, x, lambda k: np.ones(len(k), bool))
+    often = written(every.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "often")
+    known = bit_map(often, "key", bits)
+    some = listed(rows, percent, x, lambda k: in_map(known, k))
+    some = some.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    some = written(some, "listed")
+    # A list of light sets only is of no use to heavy ones.
+    long = some.groupBy("key", "light").agg(F.count("*").alias("c"), F.max("n").alias("top")).filter(
+        (F.col("c") > 1) & (F.col("light") | (F.col("top") > x))).select("key", "light", "c")
+    lists = written(some.join(long, ["key", "light"]), "lists")
+    weight = lists.groupBy("node").agg((F.sum("c") / F.first("n")).alias("weight"))
+    return x, written(lists.drop("c").join(weight, "node"), "weighted")
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame, bits: int = 1 << 22) -> DataFrame:
+    """(node, text) for `nodes` (node, doc_id, th): a bit map lets few others leave the scan, a join the right ones."""
+    wanted = bit_map(nodes, "th", bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             th = batch.column(1).to_numpy(zero_copy_only=False)
-            at = np.mod(th, bits)
-            hits = np.flatnonzero((packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
-            for part in np.array_split(hits, max(1, len(hits) // 512)):
-                some = batch.take(pa.array(part))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array([shingles(t, n) for t in some.column(2).to_pylist()], pa.list_(pa.int64()))],
-                    names=["s_doc_id", "s_th", "tokens"])
-
-    found = _texts(docs).mapInArrow(run, "s_doc_id long, s_th long, tokens array<long>")
+            yield batch.filter(pa.array(in_map(wanted, th))).rename_columns(["s_doc_id", "s_th", "text"])
+
+    found = _texts(docs.filter("text is not null")).mapInArrow(run, "s_doc_id long, s_th long, text string")
     found = found.join(nodes, found["s_doc_id"].eqNullSafe(nodes["doc_id"]) & (found["s_th"] == nodes["th"]))
-    return found.dropDuplicates(["node"]).select("node", "tokens")
+    return found.select("node", "text")
 
 
 def _needed(percent: int) -> Column:
@@ -157,14 +236,31 @@ def _needed(percent: int) -> Column:
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b, na, nb) that are links, by their whole sets."""
+    """The pairs (a, b, na, nb) with `far`, their Jaccard distance, and `linked`, by the n-grams of their whole texts.
+
+    Texts are shipped and not sets of hashes, which take three times the room.
+    """
     pairs = written(pairs, f"{name}-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id", "th"), "node")
-    sets = written(sets_of(docs, written(wanted, f"{name}-nodes"), n), f"{name}-sets")
-    with_a = pairs.join(sets.toDF("a", "ta"), "a")
-    both = with_a.join(sets.toDF("b", "tb"), "b")
-    common = F.size(F.array_intersect("ta", "tb"))
-    return written(both.filter(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b"), f"{name}-links")
+    texts = written(texts_of(docs, written(wanted, f"{name}-nodes")), f"{name}-texts")
+    both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[str, np.ndarray] = ("", shingles("", n))
+        for batch in batches:
+            far, good = [], []
+            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if tb != last[0]:
+                    last = (tb, shingles(tb, n))
+                s = shingles(ta, n)
+                shared = len(np.intersect1d(s, last[1], assume_unique=True))
+                union = len(s) + len(last[1]) - shared
+                far.append(1 - shared / union)
+                good.append(100 * shared >= percent * union)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.float64()), pa.array(good, pa.bool_())],
+                                             names=["a", "b", "far", "linked"])
+
+    return written(both.mapInArrow(run, "a long, b long, far double, linked boolean").distinct(), f"{name}-checked", 200)
 
 
 def _enough(percent: int, x: int) -> Column:
@@ -184,79 +280,75 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     rows are members of one class and all come out. A null doc_id is kept and never the smallest
     unless it is alone. Columns other than doc_id and text are ignored.
     """
-    rows = written(prefixes(docs, common_shingles(docs, n), n, percent), "prefixes")
-    full = rows.filter("n > 0").withColumn("row", F.monotonically_increasing_id())
-    nodes = written(full.groupBy("sig1", "sig2").agg(
-        F.min("row").alias("node"), F.min("doc_id").alias("low"), F.first("n").alias("n"),
-        F.min_by(F.struct("doc_id", "th", "prefix"), F.col("row")).alias("of"),
-    ).select("node", "sig1", "sig2", "low", "n", "of.doc_id", "of.th", "of.prefix"), "nodes")
-
-    lists = postings(nodes, percent)
-    x, lists = lists
-    links = None
-    # One partner for each node first. Then components meet: one node of each component in a list.
-    for name in ("copies", "meet"):
-        of = lists if links is None else apart(lists, links)
-        pairs = partners(of, percent)
-        new = verified(docs, nodes, pairs, n, percent, name)
-        links = new if links is None else links.union(new)
-    rest = apart(lists, links)
-    links = links.union(verified(docs, nodes, cross(rest, percent, x), n, percent, "rest"))
+    found = prefixes(docs, common_shingles(docs, n), n, percent).withColumn("row", F.monotonically_increasing_id())
+    rows = written(found, "prefixes")
+    nodes = written(rows.filter("n > 0").groupBy("sig1", "sig2").agg(
+        F.min("doc_id").alias("low"), F.min(F.struct("row", "doc_id", "th", "last")).alias("of"),
+    ).select(F.col("of.row").alias("node"), "sig1", "sig2", "low", "of.doc_id", "of.th", "of.last"), "nodes")
+    x, lists = postings(rows, nodes, percent)
+    lists = lists.withColumn("comp", F.col("node"))
+    # One partner for each node; then components are few, and what they could still share is checked in full.
+    first = verified(docs, nodes, partners(lists, percent, x), n, percent, "copies")
+    links = first.filter("linked").select("a", "b")
+    rest = cross(apart(lists, nodes, links, first, percent), percent, x)
+    links = links.union(verified(docs, nodes, rest, n, percent, "rest").filter("linked").select("a", "b"))
     return labelled(rows, nodes, stars(links))
 
 
-def postings(nodes: DataFrame, percent: int) -> tuple[int, DataFrame]:
-    """The boundary, and the inverted lists of two nodes or more: (key, light, node, n, first)."""
-    alpha = F.floor((percent * F.col("n") + 99) / 100).cast("int")
-    # Sets below 6 link with equal ones only, which are one node already.
-    can = nodes.filter(F.col("n") * (100 - percent) >= percent).select("node", "n", "prefix")
-    single = can.select("n", F.explode(F.slice("prefix", F.lit(1), F.col("n").cast("int") - alpha + 1)).alias("t"))
-    stat = single.filter(F.pmod("t", F.lit(64)) == 0).groupBy("t").agg(F.count("*").alias("c")).agg(F.sum("c"), F.count("*")).first()
-    # Sets of about the same size count as one size, so the histogram stays short.
-    size = F.when(F.col("n") < 256, F.col("n")).otherwise(F.pow(2.0, F.round(F.log2("n") * 16) / 16).cast("long"))
-    histogram = [(int(r[0]), int(r[1])) for r in can.groupBy(size).count().collect()]
-    x = boundary(histogram, percent, (stat[0] or 0) / max(1, stat[1] or 0))
-    two = F.expr("flatten(transform(sequence(1, size(prefix) - 1), i -> transform(slice(prefix, i + 1, size(prefix)),"
-                 " t -> xxhash64(element_at(prefix, i), t))))")
-    light = can.filter(F.col("n") <= x).select(F.explode(two).alias("key"), F.lit(True).alias("light"), "node", "n")
-    heavy = can.filter(F.col("n") * 100 >= percent * (x + 1)).select(
-        F.explode(F.slice("prefix", F.lit(1), F.col("n").cast("int") - alpha + 1)).alias("key"), F.lit(False).alias("light"), "node", "n")
-    every = light.unionByName(heavy)
-    # A list of light sets only is of no use to heavy ones.
-    long = every.groupBy("key", "light").agg(F.count("*").alias("c"), F.min("node").alias("first"), F.max("n").alias("top")).filter(
-        (F.col("c") > 1) & (F.col("light") | (F.col("top") > x))).select("key", "light", "first")
-    return x, written(every.join(long, ["key", "light"]), "lists")
+def partners(lists: DataFrame, percent: int, x: int) -> DataFrame:
+    """For each node the node of another component that it meets most as the heaviest of a list.
 
+    Sizes must allow a link, and half of the shared keys that a link needs must be seen: other
+    nodes may stand first in some of the lists that two share.
+    """
+    first = lists.groupBy("key", "light").agg(F.max(F.struct("weight", -F.col("node"), "n", "comp")).alias("f"))
+    first = first.select("key", "light", (-F.col("f.col2")).alias("b"), F.col("f.n").alias("nb"), F.col("f.comp").alias("cb"))
+    met = lists.join(first, ["key", "light"]).filter(
+        (F.col("comp") != F.col("cb")) & (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")))
+    met = met.groupBy(F.col("node").alias("a"), "b", F.col("n").alias("na"), "nb").agg((F.count("*") * 2).alias("shared"))
+    best = met.filter(_enough(percent, x)).groupBy("a").agg(F.max_by(F.struct("b", "na", "nb"), F.struct("shared", -F.col("b"))).alias("f"))
+    return best.select("a", "f.b", "f.na", "f.nb")
 
-def partners(lists: DataFrame, percent: int) -> DataFrame:
-    """For each node the node it meets most as the first of a list, if sizes allow."""
-    first = lists.filter("node = first").select("key", "light", F.col("n").alias("nb"))
-    met = lists.filter("node != first").join(first, ["key", "light"]).filter(
-        100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
-    met = met.groupBy("node", "first", "n", "nb").agg(F.count("*").alias("times"))
-    best = met.groupBy("node").agg(F.max_by(F.struct("first", "n", "nb"), F.struct("times", -F.col("first"))).alias("b"))
-    return best.select(F.col("node").alias("a"), F.col("b.first").alias("b"), F.col("b.n").alias("na"), F.col("b.nb").alias("nb"))
 
+def apart(lists: DataFrame, nodes: DataFrame, links: DataFrame, checked: DataFrame, percent: int) -> DataFrame:
+    """The lists that hold nodes of several components, with the `comp` of each, its partner and the distance `far` to it.
 
-def apart(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """The lists that hold nodes of several components, with `comp`; `first` is the first of the smallest component."""
-    of = stars(links)
-    named = lists.drop("first").join(of, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    `top` is what a node can share at most with a node of another component whose 1-prefix ends
+    behind its own in the order: of its 1-prefix, only what these lists hold.
+    """
+    named = lists.drop("comp").join(stars(links), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    named = named.join(checked.select(F.col("a").alias("node"), F.col("b").alias("partner"), "far"), "node", "left")
     named = written(named, "named")
-    mixed = named.groupBy("key", "light").agg(F.min(F.struct("comp", "node")).alias("s"), F.max("comp").alias("top")).filter(
-        F.col("s.comp") != F.col("top")).select("key", "light", F.col("s.node").alias("first"))
-    return written(named.join(mixed, ["key", "light"]), "apart")
+    mixed = named.groupBy("key", "light").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).filter("low != top")
+    kept = written(named.join(mixed.select("key", "light"), ["key", "light"]), "mixed")
+    alpha = F.floor((percent * F.col("n") + 99) / 100)
+    tops = kept.groupBy("node", "n").agg(F.count(F.when(~F.col("light"), 1)).alias("c")).select("node", (alpha - 1 + F.col("c")).alias("top"))
+    return written(kept.join(tops.join(nodes.select("node", "last"), "node"), "node"), "apart")
 
 
 def cross(lists: DataFrame, percent: int, x: int) -> DataFrame:
-    """All pairs of nodes of different components that share enough of their lists."""
-    left = lists.select("key", "light", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    right = lists.select("key", "light", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    """All pairs of nodes of different components that share enough of their lists and may be near enough.
+
+    Jaccard distance is a metric: two nodes whose distances to one partner differ by more than a link
+    may be far cannot be linked, and a node that was checked against the other one need not be again.
+    """
+    side = lambda node: lists.select("key", "light", F.col("node").alias(node), *[
+        F.col(c).alias(f"{s}{node}") for c, s in (("n", "n"), ("comp", "c"), ("partner", "p"), ("far", "f"), ("top", "t"), ("last", "l"))])
+    left, right = side("a"), side("b")
+    most = 1 - percent / 100 + 1e-9
+    apart_ = (F.col("pa") == F.col("pb")) & (F.abs(F.col("fa") - F.col("fb")) > most)
+    known = (F.col("pa") == F.col("b")) | (F.col("pb") == F.col("a"))
+    near = ~F.coalesce(apart_, F.lit(False)) & ~F.coalesce(known, F.lit(False))
     fit = (F.col("ca") != F.col("cb")) & (100 * F.col("na") >= percent * F.col("nb")) & (
         (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-    fit = fit & (F.col("light") | (F.col("nb") > x))
-    met = left.join(right, ["key", "light"]).filter(fit).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
-    return met.filter(_enough(percent, x)).select("a", "b", "na", "nb")
+    # Of the node whose prefix ends first, all that is shared and in its prefix is in the other's prefix, too.
+    room = F.when(F.col("la") <= F.col("lb"), F.col("ta")).otherwise(F.col("tb")) >= _needed(percent)
+    fit = fit & (F.col("light") | ((F.col("nb") > x) & room)) & near
+    first = F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb")).alias("nf")
+    met = left.join(right, ["key", "light"]).filter(fit).groupBy("a", "b", "na", "nb", first).agg(F.count("*").alias("shared"))
+    tail = F.floor((percent * F.col("nf") + 99) / 100) - 1
+    enough = (F.col("nb") <= x) | (F.col("shared") >= _needed(percent) - tail)
+    return met.filter(enough & _enough(percent, x)).select("a", "b", "na", "nb")
 
 
 def labelled(rows: DataFrame, nodes: DataFrame, of: DataFrame) -> DataFrame:
