@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import unit, written
+from tradeloom.llm.common import slices, unit, written
 
 BUCKETS = 1 << 16
 
@@ -87,7 +87,7 @@ def train(docs: DataFrame, most: int = 20000, seed: str = "language") -> Likelih
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
 
     counted = known.filter(unit(F.col("doc_id"), seed) < share).select("lang", "text").mapInArrow(count, "lang string, bucket long, n long")
-    got = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = written(counted, "trigrams").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     names = tuple(sorted(set(got["lang"])))
     table = np.full((BUCKETS, len(names)), 0.5)
     table[got["bucket"].to_numpy(int), got["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(int)] += got["n"].to_numpy(float)
@@ -100,7 +100,7 @@ def evidence(docs: DataFrame, pages: DataFrame, model: Likelihood) -> DataFrame:
     A document's host is its source; it has no address and no markup.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for kind, doc_id, page_id, body, url, source in zip(*[c.to_pylist() for c in batch.columns]):
                 if kind:

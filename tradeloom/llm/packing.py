@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import in_executor, written
+from tradeloom.llm.common import in_executor, slices, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -57,7 +57,7 @@ def tokenize(docs: DataFrame, path: str, ranks: str | None = None, most: int = 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, ranks)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.array([*encode(text or ""), end], "<u4")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import written
+from tradeloom.llm.common import slices, written
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -65,7 +65,7 @@ def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         base, weak = [], []
         for text in batch.column("text").to_pylist():
             base.append(b := base_spans(text or ""))
@@ -165,8 +165,8 @@ def mask(docs: DataFrame, by: str = "<secret>", reach: int = 200) -> DataFrame:
 
     new = rows.withColumn("_text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans")))
     size = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long")) if "n_chars" in names else None
-    return new.select(*[
-        F.col("_text").alias("text") if c == "text" else size.alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in names])
+    return written(new.select(*[
+        F.col("_text").alias("text") if c == "text" else size.alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in names]), "masked")
 
 
 def replaced(text: str, spans, by: str) -> str:

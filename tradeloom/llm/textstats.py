@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tradeloom.llm.common import slices
+
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines", "n_distinct", "n_upper",
     "n_letters", "n_digits", "n_marks", "n_ends", "n_runs", "n_short", "longest", "n_tails",
@@ -70,7 +72,7 @@ def counts(text: str | None) -> list[int]:
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = np.array([counts(t) for t in batch.column(1).to_pylist()], np.int64).reshape(-1, len(COUNTS))
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in rows.T.copy()]], names=["doc_id", *COUNTS])
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import unit, written
+from tradeloom.llm.common import slices, unit, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -71,7 +71,7 @@ def logistic(flat: np.ndarray, rows: np.ndarray, size: int, dense: np.ndarray, y
     return w
 
 
-def fit_chain(hits: list[list[int]], labels: np.ndarray, size: int, folds: np.ndarray, l2: float = 1e-5) -> tuple[np.ndarray, ...]:
+def fit_chain(hits: list[list[int]], labels: np.ndarray, size: int, folds: np.ndarray, l2: float = 1e-4) -> tuple[np.ndarray, ...]:
     """Weights of each category's model, in order.
 
     A later model sees the earlier categories as probabilities. Those of its training rows come from
@@ -97,12 +97,13 @@ def fit_chain(hits: list[list[int]], labels: np.ndarray, size: int, folds: np.nd
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most: int = 20000, terms: int = 1500,
-          folds: int = 3, seed: str = "toxic") -> Chain:
+          least: int = 5, sure: float = 15.0, folds: int = 3, seed: str = "toxic") -> Chain:
     """Chain for `categories` (name -> SQL condition over the columns of `labels`), fitted on a bounded sample.
 
     About `most` labelled documents are taken by a hash of doc_id; rows whose condition is null or
     whose doc_id is null are not labelled. Of all words of the sample the `terms` that tell each
-    category apart best (chi-squared, two documents or more) are the vocabulary. Where labels repeat for
+    category apart best, by chi-squared, are the vocabulary, if they are in `least` documents or more and
+    their chi-squared is `sure` or more. Where labels repeat for
     a document, the largest counts. Without labelled rows every probability is one half.
     """
     names = list(categories)
@@ -115,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most:
     sample = texts.join(known, F.col("doc_id") == F.col("_id"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bag = pa.array([sorted(words(t)) for t in batch.column("text").to_pylist()], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([bag, *[batch.column(c) for c in kept]], names=["bag", *kept])
 
@@ -123,13 +124,13 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most:
     bagged = written(sample.select("text", *kept).mapInArrow(bags, "bag array<string>, " + ", ".join(f"{c} int" for c in kept)), "bags")
     total = bagged.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in kept[:-1]]).first()
     used = bagged.select(F.explode("bag").alias("w"), *kept[:-1]).groupBy("w").agg(
-        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in kept[:-1]]).filter("n > 1")
+        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in kept[:-1]]).filter(F.col("n") >= least)
     vocabulary: set[str] = set()
     for i, c in enumerate(kept[:-1]):
         n, p = float(total[0]), float(total[i + 1])
         expected = F.col("n") * p / max(n, 1.0)
         chi = (F.col(c) - expected) ** 2 / F.greatest(expected * (1 - F.col("n") / (n + 1)), F.lit(1e-9))
-        vocabulary |= {r[0] for r in used.select("w", chi.alias("chi")).orderBy(F.desc("chi"), "w").limit(terms).collect()}
+        vocabulary |= {r[0] for r in used.select("w", chi.alias("chi")).filter(F.col("chi") >= sure).orderBy(F.desc("chi"), "w").limit(terms).collect()}
     terms_ = tuple(sorted(vocabulary))
     index = {w: i for i, w in enumerate(terms_)}
 
@@ -150,12 +151,12 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     names = [f"p_{c}" for c in chain.categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p = chain.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in p.T.copy()]], names=["doc_id", *names])
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(
-        run, "doc_id long, " + ", ".join(f"{c} double" for c in names))
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    return written(rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} double" for c in names)), "toxicity")
 
 
 def reject(docs: DataFrame, chain: Chain, category: str, at: float = 0.5) -> DataFrame:
@@ -166,4 +167,4 @@ def reject(docs: DataFrame, chain: Chain, category: str, at: float = 0.5) -> Dat
     def probability(text):
         return text.__class__(chain.scores([t if isinstance(t, str) else None for t in text])[:, c], index=text.index, dtype=float)
 
-    return docs.filter(probability(F.col("text").cast("string")) < at)
+    return written(docs.filter(probability(F.col("text").cast("string")) < at), "clean")
