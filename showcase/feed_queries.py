@@ -78,7 +78,7 @@ _WB = {
     "price_with_disc": "l_extendedprice", "region_name": "'region ' || l_linenumber",
     "oblast": "'region ' || l_linenumber", "income_id": "l_orderkey", "odid": "0", "owner_code": "'SELLER'",
     "date": TIME.format("l_shipdate"), "last_change_date": TIME.format("l_shipdate"), "warehouse_name": WH,
-    "is_cancel": "l_returnflag = 'R'", "g_number": "'g' || l_orderkey", "sticker": "''",
+    "is_cancel": "NULLIF(l_returnflag, 'A') = 'R'", "g_number": "'g' || l_orderkey", "sticker": "''",
     "cancel_dt": f"CASE WHEN l_returnflag = 'R' THEN {TIME.format('l_shipdate')} ELSE '0001-01-01T00:00:00' END",
     "srid": "'o' || l_orderkey", "order_type": "'client'", "country_name": "'RU'",
     "oblast_okrug_name": "'okrug ' || l_linenumber", "transaction_id": "7", "is_supply": "l_linestatus = 'O'",

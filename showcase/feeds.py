@@ -129,7 +129,7 @@ def _documents(df: DataFrame, exprs: list[str], schema: str, keep: tuple[str, ..
 def wb_orders(df: DataFrame, date: str = "l_shipdate", change: str = "l_shipdate", *keep: str) -> DataFrame:
     return _documents(df, [
         f"{_TIME.format(date)} as date", f"{_TIME.format(change)} as lastChangeDate", _WB_PLACE, *_WB_ITEM, *_WB_MONEY,
-        "concat('region ', l_linenumber) as regionName", "l_orderkey as incomeID", "l_returnflag = 'R' as isCancel",
+        "concat('region ', l_linenumber) as regionName", "l_orderkey as incomeID", "nullif(l_returnflag, 'A') = 'R' as isCancel",
         f"if(l_returnflag = 'R', {_TIME.format(change)}, '0001-01-01T00:00:00') as cancelDate",
         "concat('g', l_orderkey) as gNumber", "'' as sticker", "concat('o', l_orderkey) as srid",
         "'client' as orderType", "'RU' as countryName", "concat('okrug ', l_linenumber) as oblastOkrugName",

@@ -69,6 +69,7 @@ DETAIL_LABELS = {
     "kiz": "Код маркировки.",
     "srid": "Уникальный идентификатор заказа.",
 }
+# Field -> label of the header section, in report order.
 HEADER_LABELS = [
     ("num", "Номер отчёта о реализации."),
     ("doc_date", "Дата формирования отчёта."),
@@ -86,6 +87,7 @@ HEADER_LABELS = [
     ("start_date", "Начало периода в отчёте."),
     ("stop_date", "Конец периода в отчёте."),
 ]
+# Field -> label of the line section, in report order.
 LINE_LABELS = [
     ("row_number", "Номер строки в отчёте."),
     ("product_id", "Идентификатор товара."),

@@ -73,6 +73,11 @@ def kz_stock_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(header="true", quote='"', escape='"', multiLine="true").csv(path)
 
 
+def labelled_section(spark: SparkSession, path: str, section: int, schema: str, sep: str = ";") -> DataFrame:
+    """A section of a labelled report, all text, its row of labels first."""
+    return spark.read.schema(schema).options(sep=sep, quote='"', escape='"').csv(f"{path}/section={section}/part=*")
+
+
 def report_files(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Posting reports: semicolons, header skipped, every column as text.
 

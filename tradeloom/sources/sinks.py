@@ -57,6 +57,20 @@ def export_sections(sections: list[DataFrame], path: str, sep: str = ";") -> Non
         export(section, f"{path}/section={i}", sep)
 
 
+def export_labelled(sections: list[tuple[DataFrame, list[str]]], path: str, sep: str = ";") -> None:
+    """Report of several sections, each a row of labels and then its rows, all fields quoted.
+
+    Labels may repeat, so they are no column names: they are written as a row, in a file that sorts
+    before those of the rows.
+    """
+    options = {"sep": sep, "quoteAll": "true", "escape": '"', "emptyValue": "", "nullValue": ""}
+    for i, (rows, labels) in enumerate(sections):
+        schema = ", ".join(f"`{c}` string" for c in rows.columns)
+        head = rows.sparkSession.createDataFrame([tuple(labels)], schema)
+        head.write.mode("overwrite").options(**options).csv(f"{path}/section={i}/part=0")
+        rows.write.mode("overwrite").options(**options).csv(f"{path}/section={i}/part=1")
+
+
 def write_split(df: DataFrame, path: str, rows_per_file: int, empty: str | None = None) -> None:
     """Write files of a bounded number of rows; every row lands in one of them.
 
