@@ -47,10 +47,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     key = [F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.xxhash64("text").alias("_t")]
     sized = docs.select(*key, mixing.n_words(F.col("text")).alias("size")).groupBy("_i", "_s", "_t").agg(F.sum("size").alias("size"))
     taken = mixing.mix(written(sized.select(F.struct("_i", "_t").alias("doc_id"), F.col("_s").alias("source"), "size"), "sizes"))
-    taken = taken.filter("copies > 0").select("doc_id._i", "doc_id._t", F.col("source").alias("_s"), "copies")
+    taken = taken.filter("copies > 0").select("doc_id._i", "doc_id._t", F.col("source").alias("_s"), F.col("copies").alias("_n"))
     same = docs["doc_id"].eqNullSafe(F.col("_i")) & docs["source"].eqNullSafe(F.col("_s")) & (F.xxhash64(docs["text"]) == F.col("_t"))
-    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.expr("array_repeat(0, cast(copies as int))")))
-    return rows.select([docs[c] for c in docs.columns])
+    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.expr("array_repeat(0, cast(_n as int))")))
+    return rows.select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

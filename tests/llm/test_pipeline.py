@@ -61,8 +61,10 @@ def test_mix_sources(spark, make):
 
 
 def test_toxic_go(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    left = {r["doc_id"] for r in STAGE["toxicity"](spark, docs, "/root/testdata/sf0.01").select("doc_id").collect()}
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
-    toxic = [r["doc_id"] in left for r in labels if r["toxic"] == 1]
-    assert all(r["doc_id"] in left for r in labels if r["toxic"] == 0) and sum(toxic) < 0.2 * len(toxic)
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    left = {r["doc_id"] for r in STAGE["toxicity"](spark, docs, sf).select("doc_id").collect()}
+    labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    toxic, clean = ([r["doc_id"] in left for r in labels if r["toxic"] == t] for t in (1, 0))
+    # Some documents that are labelled toxic were turned into junk and hold no toxic word any more.
+    assert sum(toxic) < 0.15 * len(toxic) and clean.count(False) <= 0.002 * len(clean)
