@@ -85,7 +85,7 @@ def chain_product_report(spark, sf):
         count(*) FILTER (is_cancelled) AS cancelled FROM f WHERE day = DATE '2000-03-14' GROUP BY ALL""")
 def chain_orders_by_day(spark, sf):
     started = spark.sql("select 5L as id, 'COMPLETED' as status, timestamp_ntz'2000-03-15 01:00:00' as start_date")
-    return daily.orders_by_day(_orders(spark, sf), started, 5)
+    return daily.orders_by_day(_orders(spark, sf), started, 5, "order_ts")
 
 
 _LINE_CELLS = ("num, n, o_custkey, 'p' || o_custkey, lpad(CAST(o_custkey AS VARCHAR), 13, '0'), 'of-' || o_custkey, '5.0', total, total,"

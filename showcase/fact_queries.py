@@ -217,7 +217,7 @@ def stock_items(spark, sf):
 
 def orders_fact(spark, sf):
     return feeds.owned_lines(spark, sf).selectExpr(
-        "cast(o_orderdate as date) as day", "if(l_linestatus = 'O', 'WB', 'OZON') as source", "owner",
+        "cast(o_orderdate as date) as day", "o_orderdate as order_ts", "if(l_linestatus = 'O', 'WB', 'OZON') as source", "owner",
         "concat('WH ', l_suppkey) as warehouse", "concat('P', l_partkey) as item",
         "cast(l_partkey as string) as sku", "cast(l_quantity as decimal(18,2)) as quantity",
         "cast(l_extendedprice as decimal(18,2)) as amount", "l_returnflag = 'R' as is_cancelled")
@@ -349,4 +349,4 @@ def orders_by_day(spark, sf):
     """Report of the last completed transaction."""
     transactions = table(spark, sf, "orders").selectExpr(
         "o_orderkey as id", "if(o_orderstatus = 'F', 'COMPLETED', 'RUNNING') as status", "o_orderdate as start_date")
-    return daily.orders_by_last_completed(orders_fact(spark, sf), transactions)
+    return daily.orders_by_last_completed(orders_fact(spark, sf), transactions, "order_ts")

@@ -27,8 +27,8 @@ def available(c: Column | str) -> Column:
 
 
 def whole(c: Column | str) -> Column:
-    """Whole part of a sheet number; sheets hold every number as a float."""
-    return as_col(c).cast("double").cast("int")
+    """Whole part of a sheet number; sheets hold every number as a float. Ids keep all their digits."""
+    return as_col(c).cast("decimal(38,9)").cast("bigint")
 
 
 def max_or_zero(c: Column | str) -> Column:

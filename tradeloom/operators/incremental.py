@@ -73,17 +73,20 @@ def key_batches(df: DataFrame, owner: str, key: str, size: int, spread: Column |
     A plain row number would sort all keys of an owner in one task. Keys are
     numbered inside `buckets` hash buckets instead and shifted by the number of
     keys in the buckets before; only those counts, at most `buckets` per owner,
-    are ever put in one order.
+    are ever put in one order. Choose `buckets` so that a bucket of the largest owner
+    fits a task, as one chooses the number of shuffle partitions.
+
+    The counts are made where the rows are numbered, so both sides of the join are
+    one plan down to the same shuffle, which runs once.
     """
     place_of = F.pmod(spread if spread is not None else F.xxhash64(key), F.lit(buckets)).cast("int")
     # never null, so the join below adds no filter to one side and both sides share one shuffle of the keys
     keys = df.select(owner, key).distinct().withColumn("_bucket", F.coalesce(place_of, F.lit(0)))
-    local = Window.partitionBy(owner, "_bucket").orderBy(key)
+    slot = Window.partitionBy(owner, "_bucket")
+    numbered = keys.withColumns({"_row": F.row_number().over(slot.orderBy(key)), "_n": F.count(F.lit(1)).over(slot)})
     before = Window.partitionBy(owner).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = keys.groupBy(owner, "_bucket").agg(F.count(F.lit(1)).alias("_n")) \
-        .select(owner, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    numbered = keys.withColumn("_row", F.row_number().over(local)).join(shift, [owner, "_bucket"])
-    return numbered.select(owner, key, F.expr(f"(_shift + _row - 1) div {int(size)}").alias("batch"),
+    shift = numbered.filter("_row = 1").select(owner, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    return numbered.join(shift, [owner, "_bucket"]).select(owner, key, F.expr(f"(_shift + _row - 1) div {int(size)}").alias("batch"),
                            F.expr(f"cast((_shift + _row - 1) % {int(size)} as int)").alias("position"))
 
 

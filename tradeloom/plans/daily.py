@@ -173,27 +173,34 @@ def product_report(orders: DataFrame, stock: DataFrame, items: DataFrame, on, da
     return rolled.select("owner", "brand", "level", "quantity", "amount", "stock", _shortage(days, cover))
 
 
-def _orders_of(orders: DataFrame, started: DataFrame) -> DataFrame:
+def _orders_of(orders: DataFrame, started: DataFrame, ts: str | None) -> DataFrame:
     """Orders of the day before the given start, which is at most one row.
 
-    The day is a scalar subquery: it is known before the orders are read, so the
-    filter reaches their scan.
+    The day is a scalar subquery: it is known before the orders are read, so a filter on a stored
+    column reaches their scan. Where the orders store a time and derive the day from it, `ts` names
+    that column, and its two limits are pushed.
     """
-    day = started.select(F.date_sub(F.col("start_date").cast("date"), 1)).scalar()
-    return orders.filter(F.col("day") == day).groupBy("day", "owner", "source", "sku").agg(
+    day = F.date_sub(F.col("start_date").cast("date"), 1)
+    at = started.select(day.alias("day")).scalar()
+    if ts is None:
+        kept = orders.filter(F.col("day") == at)
+    else:
+        first, last = (started.select(d.cast("timestamp_ntz").alias("at")).scalar() for d in (day, F.date_add(day, 1)))
+        kept = orders.filter((F.col(ts) >= first) & (F.col(ts) < last))
+    return kept.groupBy("day", "owner", "source", "sku").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("quantity").cast(MONEY).alias("quantity"),
         F.sum("amount").cast(MONEY).alias("amount"),
         F.count(F.when(F.col("is_cancelled"), 1)).alias("cancelled"),
     ).withColumnRenamed("day", "report_date")
 
 
-def orders_by_day(orders: DataFrame, transactions: DataFrame, tx) -> DataFrame:
+def orders_by_day(orders: DataFrame, transactions: DataFrame, tx, ts: str | None = None) -> DataFrame:
     """Orders of the day before a completed transaction started, per owner, source and SKU."""
     done = (F.col("id") == as_value(tx)) & (F.col("status") == "COMPLETED")
-    return _orders_of(orders, transactions.filter(done))
+    return _orders_of(orders, transactions.filter(done), ts)
 
 
-def orders_by_last_completed(orders: DataFrame, transactions: DataFrame) -> DataFrame:
+def orders_by_last_completed(orders: DataFrame, transactions: DataFrame, ts: str | None = None) -> DataFrame:
     """The same for the completed transaction of the highest id."""
     last = transactions.filter(F.col("status") == "COMPLETED").agg(F.max_by("start_date", "id").alias("start_date"))
-    return _orders_of(orders, last)
+    return _orders_of(orders, last, ts)
