@@ -1,6 +1,8 @@
 from datetime import date, datetime
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from tradeloom.plans import daily, facts
 
 DAY = date(2024, 3, 31)
@@ -107,6 +109,25 @@ def test_apply_orders(spark, rows):
     assert rows(facts.apply_orders(once, staged, date(2024, 3, 10)), "order_key", "amount") == want
 
 
+def test_a_key_that_left_the_range_does_not_come_back(spark, rows):
+    staged = [fact(spark, ("o1", 12, 1, 7), ("o1", 5, 2, 8), ("o2", 5, 1, 1), ("o2", 12, 2, 2))]
+    once = facts.apply_orders(fact(spark, ("o0", 1, 1, 1)), staged, date(2024, 3, 10))
+    assert rows(once, "order_key", "amount") == [("o0", D(1)), ("o2", D(2))]
+
+
+def test_a_missing_flag_means_not_cancelled(spark, rows):
+    one = orders(spark).limit(1).withColumn("is_cancelled", F.lit(None).cast("boolean"))
+    assert rows(daily.item_report(one, date(2100, 1, 1)), "quantity") == rows(one, "quantity")
+
+
+def test_stock_without_day_or_source_stays(spark, rows):
+    schema = ("stock_date date, source string, owner string, warehouse string, sku string, barcode string,"
+              " quantity decimal(18,2)")
+    old = spark.createDataFrame([(None, "KZ", "A", "w", "a", None, D(1)), (date(2024, 3, 2), None, "A", "w", "b", None, D(2))], schema)
+    new = spark.createDataFrame([(date(2024, 3, 2), "KZ", "A", "w", "c", None, D(3))], schema)
+    assert rows(facts.apply_stock_of(old, new, date(2024, 3, 2), "KZ"), "sku") == [("a",), ("b",), ("c",)]
+
+
 def test_apply_stock_replaces_its_date_and_source_only(spark, rows):
     schema = ("stock_date date, source string, owner string, warehouse string, sku string, barcode string,"
               " quantity decimal(18,2)")

@@ -6,28 +6,23 @@ are declared as strings: JSON numbers are read into them without loss.
 
 from __future__ import annotations
 
-_FINANCE = (
-    "financial_data struct<products:array<struct<product_id:bigint, commission_amount:double,"
+FBO_PAGE = (
+    "result array<struct<order_id:bigint, order_number:string, posting_number:string, status:string, created_at:string,"
+    " in_process_at:string, products:array<struct<sku:bigint, name:string, quantity:int, offer_id:string, price:string>>,"
+    " analytics_data:struct<region:string, city:string, warehouse_name:string, warehouse_id:bigint>,"
+    " financial_data:struct<products:array<struct<product_id:bigint, commission_amount:double,"
     " commission_percent:double, payout:double, old_price:double, total_discount_value:double,"
-    " total_discount_percent:double, client_price:string>>>"
+    " total_discount_percent:double, client_price:string>>>>>"
 )
-_PRODUCTS = "products array<struct<sku:bigint, name:string, quantity:int, offer_id:string, price:string>>"
-_PLACE = "analytics_data struct<region:string, city:string, warehouse_name:string, warehouse_id:bigint>"
-
-
-def _nested(fields: str) -> str:
-    """`name type` pairs as the inside of a struct type."""
-    return fields.replace("products array", "products:array").replace("data struct", "data:struct")
-
-
-_POSTING = _nested(
-    f"order_id:bigint, order_number:string, posting_number:string, status:string, created_at:string,"
-    f" in_process_at:string, {_PRODUCTS}, {_PLACE}, {_FINANCE}"
+FBS_PAGE = (
+    "result struct<has_next:boolean, postings:array<struct<order_id:bigint, order_number:string, posting_number:string,"
+    " status:string, in_process_at:string,"
+    " products:array<struct<sku:bigint, name:string, quantity:int, offer_id:string, price:string>>,"
+    " analytics_data:struct<region:string, city:string, warehouse_name:string, warehouse_id:bigint>,"
+    " financial_data:struct<products:array<struct<product_id:bigint, commission_amount:double,"
+    " commission_percent:double, payout:double, old_price:double, total_discount_value:double,"
+    " total_discount_percent:double, client_price:string>>>>>>"
 )
-_POSTING_FBS = _POSTING.replace(" created_at:string,", "")
-
-FBO_PAGE = f"result array<struct<{_POSTING}>>"
-FBS_PAGE = f"result struct<has_next:boolean, postings:array<struct<{_POSTING_FBS}>>>"
 
 PRODUCT_PAGE = (
     "result struct<items:array<struct<id:bigint, sku:bigint, fbo_sku:bigint, fbs_sku:bigint, barcode:string,"
@@ -38,7 +33,9 @@ PRODUCT_ID_PAGE = "result struct<items:array<struct<product_id:bigint>>, last_id
 ATTRIBUTE_PAGE = (
     "result array<struct<id:bigint, attributes:array<struct<id:bigint, values:array<struct<value:string>>>>>>"
 )
-ATTRIBUTE_PAGE_OLDER = ATTRIBUTE_PAGE.replace("attributes:array<struct<id:", "attributes:array<struct<attribute_id:")
+ATTRIBUTE_PAGE_OLDER = (
+    "result array<struct<id:bigint, attributes:array<struct<attribute_id:bigint, values:array<struct<value:string>>>>>>"
+)
 
 SELLER_STOCK_PAGE = (
     "result array<struct<sku:string, method:string, category:struct<name:string>,"
