@@ -6,8 +6,8 @@ n - ceil(t n) + k ones: two linked sets share at least k n-grams inside both k-p
 * Light sets (n up to a boundary) are joined on the 2-subsets of their 2-prefix. There are few for
   a small set, and unrelated texts hardly share one.
 * Heavy sets have too many subsets. They scan the inverted lists of the single n-grams of all
-  1-prefixes, light ones near the boundary included, and count what they share. The count bounds
-  the overlap: c + max(n - prefix) must reach what the threshold asks, or the pair is no link.
+  1-prefixes, light ones near the boundary included. What two sets share of their prefixes bounds
+  their overlap: the count c plus what lies outside the prefix must reach what the threshold asks.
 
 The boundary is the one with the least rows to enumerate and scan, by the histogram of set sizes.
 
@@ -117,6 +117,9 @@ def prefixes(docs: DataFrame, common: np.ndarray, n: int, percent: int) -> DataF
         run, "doc_id long, th long, sig1 long, sig2 long, n long, prefix array<long>, last struct<common:boolean,token:long>")
 
 
+#: Of the shared n-grams that a link needs in a prefix, one in so many is not looked for when pairs are made.
+SKIPPED = 2
+
 #: Sets above this size are never light: they have more subsets than any list is long.
 LARGEST_LIGHT = 64
 
@@ -140,19 +143,23 @@ def list_keys(prefix: np.ndarray, n: int, percent: int, x: int | None) -> tuple[
 
 
 def listed(rows: DataFrame, percent: int, x: int | None, keep) -> DataFrame:
-    """(key, light, row, n) of the lists of `rows`; `keep` says by numpy which keys to send on."""
+    """(key, light, row, n, pos) of the lists of `rows`; `pos` is the place of a single n-gram in its prefix.
+
+    `keep` says by numpy which keys to send on.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
             for row, n, prefix in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 for light, keys in zip((True, False), list_keys(prefix.values.to_numpy(), n, percent, x)):
-                    keys = keys[keep(keys)]
-                    for to, v in zip(out, (keys, np.full(len(keys), light), np.full(len(keys), row), np.full(len(keys), n))):
+                    pos = np.flatnonzero(keep(keys))
+                    for to, v in zip(out, (keys[pos], np.full(len(pos), light), np.full(len(pos), row), np.full(len(pos), n), pos)):
                         to.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *v])) for v, t in zip(out, (np.int64, bool, np.int64, np.int64))],
-                                             names=["key", "light", "row", "n"])
+            kinds = (np.int64, bool, np.int64, np.int64, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, t), *v])) for v, t in zip(out, kinds)],
+                                             names=["key", "light", "row", "n", "pos"])
 
-    return rows.filter("n > 0").select("row", "n", "prefix").mapInArrow(run, "key long, light boolean, row long, n long")
+    return rows.filter("n > 0").select("row", "n", "prefix").mapInArrow(run, "key long, light boolean, row long, n long, pos long")
 
 
 def boundary(pairs: dict[int, float], scans: dict[int, float], percent: int) -> int:
@@ -195,7 +202,7 @@ def in_map(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def postings(rows: DataFrame, nodes: DataFrame, percent: int, bits: int = 1 << 25) -> tuple[int, DataFrame]:
-    """The boundary, and the inverted lists of two nodes or more: (key, light, node, n, weight).
+    """The boundary, and the inverted lists of two nodes or more: (key, light, node, n, pos, weight).
 
     Most n-grams of a 2-prefix are in one set only. Keys are counted first; then a bit map of the
     repeated ones (4 MB) goes to the tasks, and only what it lets through is dealt by key. A node's
@@ -333,7 +340,7 @@ def cross(lists: DataFrame, percent: int, x: int) -> DataFrame:
     may be far cannot be linked, and a node that was checked against the other one need not be again.
     """
     side = lambda node: lists.select("key", "light", F.col("node").alias(node), *[
-        F.col(c).alias(f"{s}{node}") for c, s in (("n", "n"), ("comp", "c"), ("partner", "p"), ("far", "f"), ("top", "t"), ("last", "l"))])
+        F.col(c).alias(f"{s}{node}") for c, s in (("n", "n"), ("comp", "c"), ("partner", "p"), ("far", "f"), ("top", "t"), ("last", "l"), ("pos", "i"))])
     left, right = side("a"), side("b")
     most = 1 - percent / 100 + 1e-9
     apart_ = (F.col("pa") == F.col("pb")) & (F.abs(F.col("fa") - F.col("fb")) > most)
@@ -342,13 +349,21 @@ def cross(lists: DataFrame, percent: int, x: int) -> DataFrame:
     fit = (F.col("ca") != F.col("cb")) & (100 * F.col("na") >= percent * F.col("nb")) & (
         (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
     # Of the node whose prefix ends first, all that is shared and in its prefix is in the other's prefix, too.
-    room = F.when(F.col("la") <= F.col("lb"), F.col("ta")).otherwise(F.col("tb")) >= _needed(percent)
-    fit = fit & (F.col("light") | ((F.col("nb") > x) & room)) & near
-    first = F.when(F.col("la") <= F.col("lb"), F.col("na")).otherwise(F.col("nb")).alias("nf")
-    met = left.join(right, ["key", "light"]).filter(fit).groupBy("a", "b", "na", "nb", first).agg(F.count("*").alias("shared"))
-    tail = F.floor((percent * F.col("nf") + 99) / 100) - 1
-    enough = (F.col("nb") <= x) | (F.col("shared") >= _needed(percent) - tail)
-    return met.filter(enough & _enough(percent, x)).select("a", "b", "na", "nb")
+    of = lambda c: F.when(F.col("la") <= F.col("lb"), F.col(f"{c}a")).otherwise(F.col(f"{c}b"))
+    room = of("t") >= _needed(percent)
+    # A link must share a number of its prefix, `least`. The last places, which hold the most common
+    # n-grams, can hold as many of these as there are such places: pairs are made in the lists of the
+    # places before and must share the others there.
+    tail = F.floor((percent * of("n") + 99) / 100) - 1
+    least = F.greatest(F.lit(1), _needed(percent) - tail)
+    last = F.floor((least - 1) / SKIPPED)
+    early = of("i") < of("n") - tail - last
+    fit = fit & (F.col("light") | ((F.col("nb") > x) & room & early)) & near
+    met = left.join(right, ["key", "light"]).filter(fit).withColumn("least", least - last).groupBy("a", "b", "na", "nb", "least").agg(
+        F.count("*").alias("shared"))
+    two = F.greatest(F.lit(2), _needed(percent) - F.greatest(*[F.floor((percent * F.col(s) + 99) / 100) - 2 for s in ("na", "nb")]))
+    enough = F.when(F.col("nb") <= x, F.col("shared") >= two * (two - 1) / 2).otherwise(F.col("shared") >= F.col("least"))
+    return met.filter(enough).select("a", "b", "na", "nb")
 
 
 def labelled(rows: DataFrame, nodes: DataFrame, of: DataFrame) -> DataFrame:
