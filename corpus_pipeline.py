@@ -22,12 +22,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component of the n-gram Jaccard join.
+    """The document with the smallest doc_id of each component of near copies: five-word Jaccard of 0.8 or more.
 
     Texts without words are linked with nothing and stay. Rows that repeat a doc_id become one; rows
     without a doc_id stay, as nothing tells which one of a group would be theirs.
     """
-    found = jaccard.join(docs)
+    found = jaccard.join(docs, n=5, percent=80)
     keep = found.filter((F.col("doc_id") == F.col("component_id")) | (F.col("n_shingles") == 0)).select("doc_id").distinct()
     return docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]).unionByName(
         docs.filter(F.col("doc_id").isNull()))

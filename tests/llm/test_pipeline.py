@@ -68,3 +68,25 @@ def test_toxic_go(spark):
     toxic, clean = ([r["doc_id"] in left for r in labels if r["toxic"] == t] for t in (1, 0))
     # Some documents that are labelled toxic were turned into junk and hold no toxic word any more.
     assert sum(toxic) < 0.15 * len(toxic) and clean.count(False) <= 0.002 * len(clean)
+
+
+def near(rows, n=5, percent=80):
+    """Smallest id of each component of near copies, by comparing all pairs."""
+    words = {i: t.lower().split() for i, t in rows}
+    sets = {i: {tuple(w[j:j + n]) for j in range(max(1, len(w) - n + 1))} for i, w in words.items()}
+    low = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+    return sorted(set(low.values()))
+
+
+def test_near_copies_by_five_words(spark, make):
+    text = [f"w{i}" for i in range(122)]
+    rows = corpus(5) + [(1000, " ".join(text[:100])), (1001, " ".join(text))]
+    got = sorted(r["doc_id"] for r in STAGE["ngram_jaccard_join"](spark, make(rows + rows[:5]), SF).collect())
+    # 96 of 118 five-word shingles are shared, and 97 of 119 four-word ones, less than 0.85.
+    assert got == near(rows) and 1001 not in got
+    edges = Counter(r["doc_id"] for r in STAGE["ngram_jaccard_join"](spark, make(EDGES), SF).collect())
+    assert edges == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 1, 8: 1, None: 2}
