@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from edges import EDGES, SCHEMA
 from tradeloom.llm import langid, quality, queries, toxicity
 from tradeloom.llm.common import table
@@ -51,6 +52,25 @@ def test_toxicity_edges(spark, make):
     assert toxicity.score(spark.createDataFrame([], SCHEMA), chain).count() == 0
 
 
+def test_nothing_learnt_rejects_nothing(spark, make, tmp_path):
+    docs = make(EDGES + [(100 + i, "good calm text" if i % 3 else "bad idiot text") for i in range(60)])
+    for k, labels in enumerate(([], [(9999, 0, 1), (9998, 1, 0)], [(100 + i, None, None) for i in range(60)], [(100 + i, 1, 1) for i in range(60)])):
+        sf = f"{tmp_path}/{k}"
+        spark.createDataFrame(labels, LABELS).write.parquet(f"{sf}/labels.parquet")
+        docs.select("doc_id", "text").write.parquet(f"{sf}/documents.parquet")
+        left = corpus_pipeline.reject_toxic(spark, docs, sf)
+        assert left.count() == docs.count() and left.columns == docs.columns, labels[:1]
+        assert queries.op3(spark, sf).filter("not toxic").count() == docs.count(), labels[:1]
+
+
+def test_labels_missing_in_one_category(spark, make):
+    docs = make(EDGES + [(100 + i, "good calm text" if i % 3 else "bad idiot text") for i in range(60)])
+    labels = spark.createDataFrame([(100 + i, None, 0 if i % 3 else 1) for i in range(60)], LABELS)
+    chain = toxicity.train(docs, labels, queries.CATEGORIES)
+    assert chain.learnt == (False, True, False)
+    assert toxicity.reject(docs, chain, "toxic").count() == len(EDGES) + 40
+
+
 def test_quality_held_out(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     rows = quality.quality(docs, labels).join(labels, "doc_id").filter("held_out").collect()

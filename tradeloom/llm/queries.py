@@ -139,8 +139,9 @@ def toxic_chain(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.C
 @query("op3_toxicity_chain")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs, toxic_chain(spark, sf_dir, docs))
-    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+    chain = toxic_chain(spark, sf_dir, docs)
+    learnt = chain.learnt[chain.categories.index("toxic")]
+    return toxicity.score(docs, chain).withColumn("toxic", F.lit(learnt) & (F.col("p_toxic") >= 0.5))
 
 
 @query("op5_one_bit_search")

@@ -24,11 +24,16 @@ def words(text: str | None) -> set[str]:
 
 @dataclass(frozen=True)
 class Chain:
-    """Categories in order, the vocabulary, and weights: vocabulary, earlier categories, constant."""
+    """Categories in order, the vocabulary, and weights: vocabulary, earlier categories, constant.
+
+    `learnt` says for each category whether the labels held it and its opposite; if not, its
+    probability tells nothing.
+    """
 
     categories: tuple[str, ...]
     vocabulary: tuple[str, ...]
     weights: tuple[np.ndarray, ...]
+    learnt: tuple[bool, ...]
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Probabilities (text, category)."""
@@ -75,21 +80,26 @@ def fit_chain(hits: list[list[int]], labels: np.ndarray, size: int, folds: np.nd
     """Weights of each category's model, in order.
 
     A later model sees the earlier categories as probabilities. Those of its training rows come from
-    models that did not see the row (one for each fold), as at prediction time.
+    models that did not see the row (one for each fold), as at prediction time. A row without a
+    label (nan) of a category is left out of that category's models only.
     """
     flat, rows = _flat(hits)
     dense, weights = np.zeros((len(hits), 0)), []
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(float)
-        weights.append(logistic(flat, rows, size, dense, y, l2))
+        known = ~np.isnan(y)
+
+        def fitted(some: np.ndarray) -> np.ndarray:
+            keep, new = some[rows], np.cumsum(some) - 1
+            return logistic(flat[keep], new[rows[keep]], size, dense[some], y[some], l2)
+
+        weights.append(fitted(known))
         if c + 1 == labels.shape[1]:
             break
         unseen = np.zeros(len(hits))
         for fold in np.unique(folds):
             inside = folds != fold
-            keep = inside[rows]
-            new = np.cumsum(inside) - 1
-            w = logistic(flat[keep], new[rows[keep]], size, dense[inside], y[inside], l2)
+            w = fitted(inside & known)
             z = np.bincount(rows, w[flat], len(hits)) + dense @ w[size:-1] + w[-1]
             unseen[~inside] = 1 / (1 + np.exp(-np.clip(z[~inside], -500, 500)))
         dense = np.column_stack([dense, unseen])
@@ -100,16 +110,16 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most:
           least: int = 5, sure: float = 15.0, folds: int = 3, seed: str = "toxic") -> Chain:
     """Chain for `categories` (name -> SQL condition over the columns of `labels`), fitted on a bounded sample.
 
-    About `most` labelled documents are taken by a hash of doc_id; rows whose condition is null or
-    whose doc_id is null are not labelled. Of all words of the sample the `terms` that tell each
+    About `most` labelled documents are taken by a hash of doc_id; rows whose doc_id is null are not
+    labelled, and where a condition is null the row is not labelled for that category. Of all words of the sample the `terms` that tell each
     category apart best, by chi-squared, are the vocabulary, if they are in `least` documents or more and
     their chi-squared is `sure` or more. Where labels repeat for
     a document, the largest counts. Without labelled rows every probability is one half.
     """
     names = list(categories)
     flags = [F.expr(f"cast({c} as int)").alias(f"_y{i}") for i, c in enumerate(categories.values())]
-    known = labels.select(F.col("doc_id").cast("long").alias("_id"), *flags).dropna().groupBy("_id").agg(
-        *[F.max(f"_y{i}").alias(f"_y{i}") for i in range(len(names))])
+    known = labels.select(F.col("doc_id").cast("long").alias("_id"), *flags).dropna(subset=["_id"]).dropna("all", subset=[f"_y{i}" for i in range(len(names))])
+    known = known.groupBy("_id").agg(*[F.max(f"_y{i}").alias(f"_y{i}") for i in range(len(names))])
     share = min(1.0, most / max(1, known.count()))
     known = known.filter(unit(F.col("_id"), seed) < share).withColumn("_fold", F.floor(unit(F.col("_id"), f"{seed}-fold") * folds).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -122,15 +132,17 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most:
 
     kept = [f"_y{i}" for i in range(len(names))] + ["_fold"]
     bagged = written(sample.select("text", *kept).mapInArrow(bags, "bag array<string>, " + ", ".join(f"{c} int" for c in kept)), "bags")
-    total = bagged.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in kept[:-1]]).first()
+    total = bagged.agg(*[F.count(c) for c in kept[:-1]], *[F.coalesce(F.sum(c), F.lit(0)) for c in kept[:-1]]).first()
+    totals = [(float(total[i]), float(total[len(names) + i])) for i in range(len(names))]
+    learnt = tuple(0 < p < n for n, p in totals)
     used = bagged.select(F.explode("bag").alias("w"), *kept[:-1]).groupBy("w").agg(
-        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in kept[:-1]]).filter(F.col("n") >= least)
+        *[F.count(c).alias(f"n{c}") for c in kept[:-1]], *[F.sum(c).alias(c) for c in kept[:-1]])
     vocabulary: set[str] = set()
     for i, c in enumerate(kept[:-1]):
-        n, p = float(total[0]), float(total[i + 1])
-        expected = F.col("n") * p / max(n, 1.0)
-        chi = (F.col(c) - expected) ** 2 / F.greatest(expected * (1 - F.col("n") / (n + 1)), F.lit(1e-9))
-        vocabulary |= {r[0] for r in used.select("w", chi.alias("chi")).filter(F.col("chi") >= sure).orderBy(F.desc("chi"), "w").limit(terms).collect()}
+        n, p = totals[i]
+        expected = F.col(f"n{c}") * p / max(n, 1.0)
+        chi = (F.col(c) - expected) ** 2 / F.greatest(expected * (1 - F.col(f"n{c}") / (n + 1)), F.lit(1e-9))
+        vocabulary |= {r[0] for r in used.filter(F.col(f"n{c}") >= least).select("w", chi.alias("chi")).filter(F.col("chi") >= sure).orderBy(F.desc("chi"), "w").limit(terms).collect()}
     terms_ = tuple(sorted(vocabulary))
     index = {w: i for i, w in enumerate(terms_)}
 
@@ -141,9 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], most:
 
     rows = bagged.mapInArrow(marks, "hit array<int>, " + ", ".join(f"{c} int" for c in kept)).orderBy("_fold", *kept[:-1], "hit").toPandas()
     if not len(rows):
-        return Chain(tuple(names), (), tuple(np.zeros(i + 1) for i in range(len(names))))
-    weights = fit_chain(rows["hit"].tolist(), rows[kept[:-1]].to_numpy(), len(terms_), rows["_fold"].to_numpy())
-    return Chain(tuple(names), terms_, weights)
+        return Chain(tuple(names), (), tuple(np.zeros(i + 1) for i in range(len(names))), learnt)
+    weights = fit_chain(rows["hit"].tolist(), rows[kept[:-1]].to_numpy(float), len(terms_), rows["_fold"].to_numpy())
+    return Chain(tuple(names), terms_, weights, learnt)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -160,11 +172,17 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def reject(docs: DataFrame, chain: Chain, category: str, at: float = 0.5) -> DataFrame:
-    """The rows of `docs`, all columns, whose probability of `category` is below `at`."""
+    """The rows of `docs`, all columns, whose probability of `category` is below `at`.
+
+    Null and empty texts stay, and every row does where the labels did not tell the category apart.
+    """
     c = chain.categories.index(category)
+    if not chain.learnt[c]:
+        return docs
 
     @F.pandas_udf("double")
     def probability(text):
         return text.__class__(chain.scores([t if isinstance(t, str) else None for t in text])[:, c], index=text.index, dtype=float)
 
-    return docs.filter(probability(F.col("text").cast("string")) < at)
+    text = F.col("text").cast("string")
+    return docs.filter(text.isNull() | (text == "") | (probability(text) < at))
