@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import pytest
 
@@ -59,6 +60,27 @@ def test_links_equal_brute_force(make):
         assert sorted(got[i], key=str) == sorted([(secrets.KINDS[k], s, e) for k, s, e in want], key=str)
 
 
+def test_every_distance_at_every_place(spark):
+    """A secret of 200 code points with an identifier 199, 200 or 201 before or behind it, wherever cells begin."""
+    part = lambda kind, start, end: {"kind": kind, "start": start, "end": end}
+    rows = []
+    for at in range(1000, 1200):
+        for gap in (199, 200, 201):
+            rows.append((len(rows), gap, [part(0, at, at + 200)], [part(3, at + 200 + gap, at + 210 + gap)]))
+            rows.append((len(rows), gap, [part(0, at, at + 200)], [part(3, at - gap - 10, at - gap)]))
+    rows.append((len(rows), 200, [part(0, 0, 200)], [part(3, 400, 410)]))
+    parts = "array<struct<kind:int,start:int,end:int>>"
+    found = spark.createDataFrame(rows, f"scope long, scope2 long, base {parts}, weak {parts}")
+    got = Counter(r["scope"] for r in secrets.links(found).select("scope").collect())
+    assert got == {i: 1 for i, gap, *_ in rows if gap <= 200}
+
+
+def test_long_key_with_a_late_digit():
+    key = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-_+/=abcdefgh7"
+    assert len(key) == 66 and secrets.weak_spans(f"x {key} y", []) == [(4, 2, 68)]
+    assert secrets.weak_spans(f"x {key[:-1]} 7", []) == []
+
+
 def test_edges(spark, make):
     rows = EDGES + [(20, f"token={HEX} " * 3), (20, f"token={HEX} " * 3), (21, f"user=bob {KEY} " * 500)]
     got = secrets.find_secrets(make(rows)).collect()

@@ -27,7 +27,7 @@ ROLES = {"assign": "S", "access": "I", "hex": "S", "id": "I", "key": "S", "endpo
 
 WEAK = {
     "id": re.compile(r"""(?ai)\b(?:user(?:_?name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,}"""),
-    "key": re.compile(r"(?a)(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{0,60}[0-9])[A-Za-z0-9+/_=-]{20,}"),
+    "key": re.compile(r"(?a)(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"),
     "endpoint": re.compile(r"""(?ai)\b(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x00-\x20"'<>]{3,}|\b\d{1,3}(?:\.\d{1,3}){3}:\d{2,5}\b"""),
 }
 
@@ -94,8 +94,9 @@ def links(found: DataFrame, reach: int = 200) -> DataFrame:
     """Pairs of complementary parts at most `reach` code points apart in one scope.
 
     Complementary are identifier and secret, and endpoint and secret. It is an interval join on
-    cells of `reach` code points: a secret goes to the cells that it or its reach touches, the other
-    part to those it covers, and a pair is made in the first cell they share. Parts of one kind do
+    cells of `reach` code points: a secret goes to the cells that it or its reach touches, from the
+    last code point of a part that ends `reach` before it to the first of one that starts `reach`
+    behind it, the other part to those it covers, and a pair is made in the first cell they share. Parts of one kind do
     not overlap, so the pairs of a cell are bounded by its width, however long a text is.
     """
     scopes = found.filter((F.size("weak") > 0) & (F.size("weak") + F.size("base") > 1))
@@ -103,7 +104,7 @@ def links(found: DataFrame, reach: int = 200) -> DataFrame:
     roles = F.element_at(F.array(*[F.lit(ROLES[k]) for k in KINDS]), F.col("p.kind") + 1)
     rows = one.select("scope", "scope2", F.explode("parts").alias("p")).select("scope", "scope2", "p", roles.alias("role"))
     cell = lambda c: F.floor(c / F.lit(reach)).cast("long")
-    low, high = F.greatest(F.col("p.start") - reach, F.lit(0)), F.col("p.end") - 1 + reach
+    low, high = F.greatest(F.col("p.start") - reach - 1, F.lit(0)), F.col("p.end") + reach
     left = rows.filter("role = 'S'").select("scope", "scope2", F.col("p").alias("secret"), cell(low).alias("s_first"),
                                             F.explode(F.sequence(cell(low), cell(high))).alias("cell"))
     right = rows.filter("role != 'S'").select("scope", "scope2", F.col("p").alias("other"), cell(F.col("p.start")).alias("o_first"),
