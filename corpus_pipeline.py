@@ -24,13 +24,16 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each component of near copies: five-word Jaccard of 0.8 or more.
 
-    Texts without words are linked with nothing and stay. Rows that repeat a doc_id become one; rows
-    without a doc_id stay, as nothing tells which one of a group would be theirs.
+    Texts without words are linked with nothing and stay. Rows that repeat doc_id and text become
+    one; rows of one doc_id with different texts are judged one by one, and of those in one component
+    the smallest hash of a text stays. Rows without a doc_id stay, as nothing tells which one of a
+    group would be theirs.
     """
-    found = jaccard.join(docs, n=5, percent=80)
-    keep = found.filter((F.col("doc_id") == F.col("component_id")) | (F.col("n_shingles") == 0)).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]).unionByName(
-        docs.filter(F.col("doc_id").isNull()))
+    found = jaccard.grouped(docs, n=5, percent=80).filter(F.col("doc_id").isNotNull())
+    first = found.filter("n_shingles > 0").groupBy("group").agg(F.min(F.struct("doc_id", "th")).alias("f")).select("f.doc_id", "f.th")
+    keep = first.unionByName(found.filter("n_shingles = 0").select("doc_id", "th").distinct()).toDF("doc_id", "_th")
+    rows = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string"))).join(keep, ["doc_id", "_th"], "left_semi")
+    return rows.dropDuplicates(["doc_id", "_th"]).select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,3 +90,12 @@ def test_near_copies_by_five_words(spark, make):
     assert got == near(rows) and 1001 not in got
     edges = Counter(r["doc_id"] for r in STAGE["ngram_jaccard_join"](spark, make(EDGES), SF).collect())
     assert edges == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 7: 1, 8: 1, None: 2}
+
+
+def test_one_id_with_different_texts(spark, make):
+    text = lambda k: " ".join(f"t{k}w{j}" for j in range(60))
+    # Id 5 has a text of its own, a copy of the text of 3, and two copies of one another; 6 has a null and an empty text.
+    rows = [(3, text(0)), (5, text(1)), (5, text(0)), (5, text(2)), (5, text(2) + " more"), (5, text(1)), (6, None), (6, ""), (6, ""), (7, text(1))]
+    got = [(r["doc_id"], r["text"]) for r in STAGE["ngram_jaccard_join"](spark, make(rows), SF).collect()]
+    assert Counter(d for d, _ in got) == {3: 1, 5: 2, 6: 2}
+    assert {(3, text(0)), (5, text(1)), (6, None), (6, "")} < set(got) and (5, text(0)) not in got

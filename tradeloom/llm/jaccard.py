@@ -280,12 +280,19 @@ def _enough(percent: int, x: int) -> Column:
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of `docs`.
+    """(doc_id, n_shingles, component_id) for every row of `docs`: see `grouped`."""
+    return grouped(docs, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id, th, group) for every row of `docs`.
 
     Two sets link when 100 * intersection >= percent * union. component_id is the smallest doc_id
     that links reach. A text without words is linked with nothing and has its own doc_id. Repeated
     rows are members of one class and all come out. A null doc_id is kept and never the smallest
-    unless it is alone. Columns other than doc_id and text are ignored.
+    unless it is alone. Columns other than doc_id and text are ignored. `th` is the hash of the text
+    and `group` names the component, also where a doc_id is repeated with other texts; it is null for
+    a text without words.
     """
     found = prefixes(docs, common_shingles(docs, n), n, percent).withColumn("row", F.monotonically_increasing_id())
     rows = written(found, "prefixes")
@@ -369,9 +376,10 @@ def cross(lists: DataFrame, percent: int, x: int) -> DataFrame:
 def labelled(rows: DataFrame, nodes: DataFrame, of: DataFrame) -> DataFrame:
     member = of.union(of.select("root", "root").distinct()).toDF("node", "root")
     low = member.join(nodes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component"))
-    comp = member.join(low, "root").select("node", "component")
+    comp = member.join(low, "root").select("node", "root", "component")
     classes = nodes.select("node", "sig1", "sig2", "low").join(comp, "node", "left").select(
-        F.col("sig1").alias("c1"), F.col("sig2").alias("c2"), F.coalesce("component", "low").alias("component"))
+        F.col("sig1").alias("c1"), F.col("sig2").alias("c2"), F.coalesce("component", "low").alias("component"),
+        F.coalesce("root", "node").alias("group"))
     out = rows.join(classes, (F.col("sig1") == F.col("c1")) & (F.col("sig2") == F.col("c2")), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(
-        F.col("doc_id")).alias("component_id"))
+        F.col("doc_id")).alias("component_id"), "th", "group")
