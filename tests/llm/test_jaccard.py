@@ -67,6 +67,22 @@ def test_join_equals_all_pairs(make, seed):
     assert got == plain(rows)
 
 
+@pytest.mark.parametrize("seed", [0, 3])
+def test_links_equal_all_pairs(make, seed):
+    """Every link between different sets, also inside groups of copies."""
+    rows = corpus(seed)
+    low = {}
+    for i, t in rows:
+        low.setdefault(frozenset(grams(t)), i)
+    want = {(a, b): len(s & t) / len(s | t) for s, a in low.items() for t, b in low.items()
+            if a < b and 100 * len(s & t) >= 85 * len(s | t)}
+    got = [(r["a_doc_id"], r["b_doc_id"], r["jaccard"]) for r in jaccard.pairs(make(rows)).collect()]
+    # A spanning forest has fewer.
+    assert len(want) > len(low) - len({v[1] for v in plain(rows).values()})
+    assert len(got) == len(want) and {p[:2] for p in got} == set(want)
+    assert all(abs(j - want[a, b]) < 1e-9 for a, b, j in got)
+
+
 @pytest.mark.parametrize("x", [0, 12, 64])
 def test_any_boundary_gives_the_same(make, monkeypatch, x):
     monkeypatch.setattr(jaccard, "measured", lambda rows, percent: x)

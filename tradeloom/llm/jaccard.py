@@ -280,7 +280,10 @@ def _enough(percent: int, x: int) -> Column:
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of `docs`: see `grouped`."""
+    """(doc_id, n_shingles, component_id) for every row of `docs`: see `grouped`.
+
+    Only components are found; inside one most links are never made. `pairs` gives the links.
+    """
     return grouped(docs, n, percent).select("doc_id", "n_shingles", "component_id")
 
 
@@ -294,11 +297,7 @@ def grouped(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     and `group` names the component, also where a doc_id is repeated with other texts; it is null for
     a text without words.
     """
-    found = prefixes(docs, common_shingles(docs, n), n, percent).withColumn("row", F.monotonically_increasing_id())
-    rows = written(found, "prefixes")
-    nodes = written(rows.filter("n > 0").groupBy("sig1", "sig2").agg(
-        F.min("doc_id").alias("low"), F.min(F.struct("row", "doc_id", "th", "last")).alias("of"),
-    ).select(F.col("of.row").alias("node"), "sig1", "sig2", "low", "of.doc_id", "of.th", "of.last"), "nodes")
+    rows, nodes = classes(docs, n, percent)
     x, lists = postings(rows, nodes, percent)
     lists = lists.withColumn("comp", F.col("node"))
     # One partner for each node; then components are few, and what they could still share is checked in full.
@@ -309,6 +308,33 @@ def grouped(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     return labelled(rows, nodes, stars(links))
 
 
+def classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their prefixes, and a node for each different set of n-grams."""
+    found = prefixes(docs, common_shingles(docs, n), n, percent).withColumn("row", F.monotonically_increasing_id())
+    rows = written(found, "prefixes")
+    return rows, written(rows.filter("n > 0").groupBy("sig1", "sig2").agg(
+        F.min("doc_id").alias("low"), F.min(F.struct("row", "doc_id", "th", "last")).alias("of"),
+    ).select(F.col("of.row").alias("node"), "sig1", "sig2", "low", "of.doc_id", "of.th", "of.last"), "nodes")
+
+
+def pairs(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """(a_doc_id, b_doc_id, jaccard): every link between two different sets of n-grams.
+
+    A set is named by the smallest doc_id of the rows that have it. No pair is left out because its
+    sets are in one component already, so a group of k different near copies gives up to k * k / 2 rows.
+    """
+    rows, nodes = classes(docs, n, percent)
+    x, lists = postings(rows, nodes, percent)
+    alpha = F.floor((percent * F.col("n") + 99) / 100)
+    tops = lists.groupBy("node", "n").agg(F.count(F.when(~F.col("light"), 1)).alias("c")).select("node", (alpha - 1 + F.col("c")).alias("top"))
+    every = lists.join(tops.join(nodes.select("node", "last"), "node"), "node").withColumns({
+        "comp": F.col("node"), "partner": F.lit(None).cast("long"), "far": F.lit(None).cast("double")})
+    found = verified(docs, nodes, cross(written(every, "every"), percent, x), n, percent, "links").filter("linked")
+    low = nodes.select("node", "low")
+    out = found.join(low.toDF("a", "la"), "a").join(low.toDF("b", "lb"), "b")
+    return out.select(F.least("la", "lb").alias("a_doc_id"), F.greatest("la", "lb").alias("b_doc_id"), (1 - F.col("far")).alias("jaccard"))
+
+
 def partners(lists: DataFrame, percent: int, x: int) -> DataFrame:
     """For each node the node of another component that it meets most as the heaviest of a list.
 
