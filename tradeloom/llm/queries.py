@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import ann, jaccard, langid, mixing, packing, quality, rules, secrets, sharding, toxicity
+from tradeloom.llm import ann, jaccard, langid, mixing, packing, quality, rules, secrets, sharding, toxicity, winnowing
 from tradeloom.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,39 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_score")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), p AS (
+  SELECT DISTINCT item_id, m, unnest(list_transform(range(1, len(w) - m + 2), lambda a: array_to_string(w[a:a + m - 1], ' '))) AS g
+  FROM (SELECT *, least(10, len(w)) AS m FROM i WHERE len(w) > 0)
+), r AS (
+  SELECT doc_id, m, unnest(range(0, len(w) - m + 1)) AS a,
+         unnest(list_transform(range(1, len(w) - m + 2), lambda a: array_to_string(w[a:a + m - 1], ' '))) AS g
+  FROM d, (SELECT DISTINCT m FROM p) WHERE len(w) >= m
+), h AS (
+  SELECT doc_id, r.m, a, item_id FROM r JOIN p ON r.g = p.g AND r.m = p.m
+), n AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + m)) AS q FROM h) GROUP BY doc_id
+), c AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY encode(k)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(d.w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
+@query("op11_winnowing", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
