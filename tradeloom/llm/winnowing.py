@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.common import written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words becomes a space, and A-Z small letters, in one pass; regular expressions take far longer.
+PARTING = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words of a text handled at once. Longer texts are cut into overlapping blocks, which no window notices.
@@ -29,15 +30,9 @@ KEY = ["_k1", "_k2"]
 
 
 def words(text: Column) -> Column:
-    """Words of a text; A-Z in small letters; none where the text is null."""
-    found = F.regexp_extract_all(F.translate(text.cast("string"), UPPER, LOWER), F.lit(WORD), F.lit(0))
-    return F.coalesce(found, F.array().cast("array<string>"))
-
-
-def n_words(text: Column) -> Column:
-    """Number of `words`, without making small letters."""
-    found = F.regexp_extract_all(text.cast("string"), F.lit(WORD.replace(r"\x60", r"\x40\x5B-\x60")), F.lit(0))
-    return F.coalesce(F.size(found), F.lit(0)).cast("long")
+    """Words of a text, the runs of `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` once A-Z are small letters; none where it is null."""
+    plain = F.translate(text.cast("string"), UPPER + PARTING, LOWER + " " * len(PARTING))
+    return F.coalesce(F.array_remove(F.split(plain, " "), ""), F.array().cast("array<string>"))
 
 
 def key(doc_id: Column, text: Column) -> list[Column]:
@@ -148,7 +143,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     spans = spans.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
     named = hits.select(*KEY, "c").distinct().join(members, "c").select(*KEY, "item_id").distinct()
     named = named.groupBy(*KEY).agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
-    rows = docs.select(F.col("doc_id"), *key(F.col("doc_id"), F.col("text")), n_words(F.col("text")).alias("n_words"))
+    rows = docs.select(F.col("doc_id"), *key(F.col("doc_id"), F.col("text")), F.size(words(F.col("text"))).cast("long").alias("n_words"))
     rows = rows.join(spans.join(named, KEY, "left"), KEY, "left")
     zero = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("n"))
     n_hit = F.aggregate(F.col("spans"), zero, lambda a, x: F.struct(
