@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import ann, jaccard, langid, lexical, mixing, packing, quality, rules, secrets, sharding, toxicity, winnowing
+from tradeloom.llm import ann, jaccard, langid, lexical, mixing, packing, quality, rules, secrets, sharding, spelling, toxicity, winnowing
 from tradeloom.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,44 @@ QUALIFY rank <= 10
 @query("op12_automaton_search", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256)) AS i)
+), r AS (
+  SELECT doc_id, w, count(*) AS n, encode(coalesce(doc_id::VARCHAR, '') || ':' || w) AS b FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w
+    FROM documents) WHERE len(w) >= 6 GROUP BY doc_id, w
+), h AS (
+  SELECT w, n, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, octet_length(b)), lambda k: ('0x' || substr(hex(b), 2 * k + 1, 2))::BIGINT)),
+                               lambda c, x: xor(t[xor(c, x) % 256 + 1], c >> 8)), 4294967295) AS h
+  FROM r, crc
+), v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, (h % len(w))::BIGINT) || substr(w, (h % len(w))::BIGINT + 2) ELSE w END AS word, n FROM h)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), d AS (
+  SELECT word, n, word AS k, 0 AS i FROM v
+  UNION ALL SELECT word, n, unnest(list_transform(range(1, len(word) + 1), lambda i: substr(word, 1, i - 1) || substr(word, i + 1))),
+                   unnest(range(1, len(word) + 1)) FROM v
+), p AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM d AS a JOIN d AS b USING (k)
+  WHERE a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)
+), f AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS top, max(other_n) AS top_n FROM p GROUP BY word
+), g AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top_n >= 5 * v.n THEN top END AS form, CASE WHEN top_n >= 5 * v.n THEN top_n END AS form_n
+  FROM v LEFT JOIN f USING (word)
+), w(word, cur) AS (
+  SELECT word, word FROM g UNION ALL SELECT w.word, g.form FROM w JOIN g ON g.word = w.cur WHERE g.form IS NOT NULL
+)
+SELECT g.word, g.form, w.cur AS root, g.n, g.n_near, g.form_n
+FROM g JOIN w ON w.word = g.word JOIN g AS last ON last.word = w.cur AND last.form IS NULL
+"""
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
