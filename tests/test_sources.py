@@ -2,6 +2,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradeloom.session import shared_dir
 from tradeloom.sources import landing, sinks
@@ -83,6 +84,17 @@ def test_load_and_replace_slices(spark, tmp_path, rows):
     assert rows(spark.read.parquet(str(tmp_path / "u"))) == [("C", 6), ("C", 7)]
 
 
+def test_a_failing_load_leaves_the_asked_slices(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    sinks.replace_slices(frame(spark, ("A", 1), ("B", 2)), path, ["owner"])
+    bad = frame(spark, ("A", 9)).withColumn("n", F.raise_error(F.lit("no match")).cast("int"))
+    with pytest.raises(Exception, match="no match"):
+        sinks.replace_slices(bad, path, ["owner"], slices=[{"owner": "A"}, {"owner": "B"}])
+    assert rows(spark.read.parquet(path), "owner", "n") == [("A", 1), ("B", 2)]
+    sinks.replace_slices(frame(spark, ("A", 3)), path, ["owner"], hot_files=3, slices=[{"owner": "A"}, {"owner": "B"}, {"owner": "A"}])
+    assert rows(spark.read.parquet(path), "owner", "n") == [("A", 3)]
+
+
 def test_require_rows(spark, tmp_path):
     df, path = frame(spark, ("A", 1)), str(tmp_path / "r")
     sinks.write_split(df, path, 10, empty="no data")

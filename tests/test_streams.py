@@ -2,7 +2,11 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
 from tradeloom.operators import dedup
+from tradeloom.sources import published
 from tradeloom.streaming import changes
 
 SCHEMA = "k string, ts timestamp_ntz, v int"
@@ -77,3 +81,46 @@ def test_a_run_replaces_its_earlier_try(spark, tmp_path, rows):
         changes.replace_run(stream, target, str(tmp_path / f"try{attempt}"), "run")
     assert rows(spark.read.parquet(target), "k", "v", "run") == [
         (k, v, run) for k, v in (("a", 1), ("a", 2), ("b", 3)) for run in (6, 7)]
+
+
+def test_compacting_a_log_without_rows(spark, tmp_path, rows):
+    folder, log, check = (str(tmp_path / n) for n in ("in", "log", "check"))
+    assert changes.compact(spark, log, str(tmp_path / "b0"), ["k"], ["ts", "v"]) is None
+    land(spark, folder, [])
+    changes.change_log(changes.landed(spark, folder, SCHEMA), log, check, ["k"], ["ts", "v"]).awaitTermination()
+    assert changes.compact(spark, log, str(tmp_path / "b1"), ["k"], ["ts", "v"]) is None
+    with pytest.raises(ValueError, match="no change was logged"):
+        changes.current(spark, log, ["k"], ["ts", "v"])
+    land(spark, folder, batches()[0])
+    changes.change_log(changes.landed(spark, folder, SCHEMA), log, check, ["k"], ["ts", "v"]).awaitTermination()
+    base = changes.compact(spark, log, str(tmp_path / "b2"), ["k"], ["ts", "v"])
+    # Nothing came behind the base, so it stays, and the state is read from it alone.
+    assert changes.compact(spark, log, str(tmp_path / "b3"), ["k"], ["ts", "v"], base) == base
+    assert rows(changes.current(spark, log, ["k"], ["ts", "v"], base), "k", "v") == [("a", 2), ("b", 3)]
+
+
+def _run(spark, source, run):
+    return changes.landed(spark, source, SCHEMA, files_per_batch=1).selectExpr("k", "v", f"{run} as run")
+
+
+@pytest.mark.parametrize("kind", ["replace", "publish"])
+def test_pulls_that_are_empty_or_missing_or_fail(spark, tmp_path, rows, kind):
+    full, empty, none, target = (str(tmp_path / n) for n in ("full", "empty", "none", "out"))
+    land(spark, full, batches()[0])
+    land(spark, empty, [])
+    (tmp_path / "none").mkdir()
+    load = changes.replace_run if kind == "replace" else changes.publish_run
+    now = lambda: rows(spark.read.parquet(target) if kind == "replace" else published.read(spark, target), "k", "v", "run")
+    three = lambda run: [("a", 1, run), ("a", 2, run), ("b", 3, run)]
+    for run in (6, 7):
+        load(_run(spark, full, run), target, str(tmp_path / f"t{run}"), "run", run)
+    both = sorted(three(6) + three(7), key=str)
+    assert now() == both
+    load(_run(spark, none, 7), target, str(tmp_path / "t8"), "run", 7)
+    assert now() == both
+    failing = _run(spark, full, 7).withColumn("v", F.raise_error(F.lit("broken pull")).cast("int"))
+    with pytest.raises(Exception, match="broken pull"):
+        load(failing, target, str(tmp_path / "t9"), "run", 7)
+    assert now() == both
+    load(_run(spark, empty, 7), target, str(tmp_path / "t10"), "run", 7)
+    assert now() == three(6)

@@ -13,6 +13,7 @@ from tradeloom.functions.numbers import MONEY, money
 from tradeloom.functions.times import iso_ts
 from tradeloom.operators.dedup import latest_version
 from tradeloom.operators.state import replace_from, upsert
+from tradeloom.sources import published
 
 ORDER_KEY = ["source", "owner", "order_key", "sku"]
 ORDER_COLUMNS = [
@@ -67,11 +68,25 @@ def apply_orders(old: DataFrame, staged: list[DataFrame], date_from) -> DataFram
     Versions are ranked before the range is cut: a key whose latest version lies before `date_from`
     has left the range, and an older version of it must not come back.
     """
-    new = staged[0]
-    for rows in staged[1:]:
-        new = new.unionByName(rows)
     day = F.col("order_ts").cast("date")
-    return replace_from(old, latest_version(new, ORDER_KEY, "change_ts"), day, date_from)
+    return replace_from(old, latest_version(_union(staged), ORDER_KEY, "change_ts"), day, date_from)
+
+
+def load_orders(path: str, staged: list[DataFrame], date_from) -> int:
+    """`apply_orders` on a fact published by `day`: only days from `date_from` on are written.
+
+    Days of that range that the staged rows do not reach any more are cleared. No old row is read.
+    """
+    new = latest_version(_union(staged), ORDER_KEY, "change_ts").withColumn("day", F.col("order_ts").cast("date"))
+    limit = as_value(date_from).cast("date")
+    return published.publish(new.filter(F.col("day") >= limit), path, ["day"], gone=F.col("day") >= limit)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for rows in frames[1:]:
+        out = out.unionByName(rows)
+    return out
 
 
 def wb_stock(staged: DataFrame) -> DataFrame:
@@ -112,12 +127,26 @@ def apply_stock(old: DataFrame, staged: list[DataFrame], stock_date) -> DataFram
     its own source, see `apply_stock_of`.
     """
     on = as_value(stock_date).cast("date")
-    new = staged[0]
-    for rows in staged[1:]:
-        new = new.unionByName(rows)
+    return old.filter(F.coalesce(F.col("stock_date") != on, F.lit(True))).unionByName(_stock_sums(_union(staged), on))
+
+
+def _stock_sums(staged: DataFrame, on) -> DataFrame:
     keys = [c for c in STOCK_COLUMNS if c != "quantity"]
-    sums = new.filter(F.col("stock_date") == on).groupBy(*keys).agg(F.sum("quantity").cast(MONEY).alias("quantity"))
-    return old.filter(F.coalesce(F.col("stock_date") != on, F.lit(True))).unionByName(sums)
+    return staged.filter(F.col("stock_date") == on).groupBy(*keys).agg(F.sum("quantity").cast(MONEY).alias("quantity"))
+
+
+def load_stock(path: str, staged: list[DataFrame], stock_date, source: str | None = None) -> int:
+    """`apply_stock` on a fact published by date and source: only the slices of that date are written.
+
+    With `source` only those of that source, as `apply_stock_of` does. Sources of the date that were
+    not staged any more are cleared. No old row is read.
+    """
+    on = as_value(stock_date).cast("date")
+    rows, gone = _stock_sums(_union(staged), on), F.col("stock_date") == on
+    if source is not None:
+        mine = F.col("source").eqNullSafe(F.lit(source))
+        rows, gone = rows.filter(mine), gone & mine
+    return published.publish(rows, path, ["stock_date", "source"], gone=gone)
 
 
 def apply_stock_of(old: DataFrame, staged: DataFrame, stock_date, source: str) -> DataFrame:
@@ -144,6 +173,12 @@ def apply_ads(old: DataFrame, staged: DataFrame, report_date, days: int = 60) ->
     return replace_from(old, staged, "report_date", F.date_sub(as_value(report_date).cast("date"), days))
 
 
+def load_ads(path: str, staged: DataFrame, report_date, days: int = 60) -> int:
+    """`apply_ads` on a fact published by `report_date`: only the days of the range are written."""
+    inside = F.col("report_date") >= F.date_sub(as_value(report_date).cast("date"), days)
+    return published.publish(staged.filter(inside), path, ["report_date"], gone=inside)
+
+
 def with_items(rows: DataFrame, barcodes: DataFrame) -> DataFrame:
     """Add `item`: the item of the barcode, else the barcode, else the SKU.
 

@@ -5,6 +5,8 @@ All of them can run again after a failure: a slice is written whole, never added
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,16 +20,25 @@ def replace_slices(df: DataFrame, path: str, keys: list[str], hot_files: int | N
                    slices: list[dict] | None = None) -> None:
     """Replace the slices (owner, transaction, day) present in `df`; others stay.
 
-    `slices` lists those that were asked for, by their key values: they are cleared first, so one
-    that came back empty does not keep its old rows. A run that stops in between can run again. A slice is spread over `hot_files` writers where given, so one owner with
+    `slices` lists those that were asked for, by their key values: one that came back empty is
+    cleared, after the rows are written, so a load that fails leaves the old rows. Between the two
+    steps a reader may see rows of an emptied slice; `published.publish` shows all slices of a load at
+    once. A slice is spread over `hot_files` writers where given, so one owner with
     most of the rows does not end up in a single task.
     """
     if hot_files:
         spread = [F.col(k) for k in keys] + [F.pmod(F.xxhash64(*df.columns), F.lit(hot_files))]
         df = df.repartition(*spread)
-    for one in slices or []:
-        _clear(df.sparkSession, path, {k: one[k] for k in keys})
+    seen = Observation()
+    if slices:
+        matched = [F.when(reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(one[k])) for k in keys]), F.lit(i)) for i, one in enumerate(slices)]
+        # Rows count as theirs once each; no more numbers than slices were asked for are gathered.
+        df = df.observe(seen, F.collect_set(F.coalesce(*matched)).alias("found"))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    found = set(seen.get["found"]) if slices else set()
+    for i, one in enumerate(slices or []):
+        if i not in found and not any(slices[j] == one for j in found):
+            _clear(df.sparkSession, path, {k: one[k] for k in keys})
 
 
 def _clear(spark: SparkSession, path: str, values: dict) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom.operators.dedup import last_wins
+from tradeloom.sources import published, sinks
 
 BATCH = "batch"
 LATE = "45 days"
@@ -38,13 +39,25 @@ def change_log(changes: DataFrame, log: str, checkpoint: str, keys: list[str], o
         .trigger(availableNow=True).start()
 
 
+def _batches(spark: SparkSession, log: str) -> list[int]:
+    """Numbers of the batches that left rows in a log, by its folders."""
+    head = f"{BATCH}="
+    return sorted(int(n[len(head):]) for n in published.names(spark, log) if n.startswith(head))
+
+
 def _versions(spark: SparkSession, log: str, base: tuple[str, int] | None) -> DataFrame:
     """Rows of the base, if any, and of the log's batches behind it; the folders before are not read."""
-    rows = spark.read.parquet(log)
+    known = _batches(spark, log)
     if base is None:
-        return rows
+        if not known:
+            raise ValueError(f"no change was logged at {log}")
+        return spark.read.parquet(log)
     path, upto = base
-    return spark.read.parquet(path).select(*rows.columns).unionByName(rows.filter(F.col(BATCH) > upto))
+    rows = spark.read.parquet(path)
+    if not known or known[-1] <= upto:
+        return rows
+    later = spark.read.parquet(log)
+    return rows.select(*later.columns).unionByName(later.filter(F.col(BATCH) > upto))
 
 
 def current(spark: SparkSession, log: str, keys: list[str], order: list, base: tuple[str, int] | None = None) -> DataFrame:
@@ -56,16 +69,19 @@ def current(spark: SparkSession, log: str, keys: list[str], order: list, base: t
 
 
 def compact(spark: SparkSession, log: str, target: str, keys: list[str], order: list,
-            base: tuple[str, int] | None = None) -> tuple[str, int]:
+            base: tuple[str, int] | None = None) -> tuple[str, int] | None:
     """Write the state up to the newest batch of the log as a new base in the folder `target`.
 
     Later reads need the new base and later batches only; the log's older partitions
-    and the base before it can then be removed by whoever owns the folders.
+    and the base before it can then be removed by whoever owns the folders. Where the log holds
+    nothing behind the base, the base stays as it is, which is none at the start.
     """
-    upto = spark.read.parquet(log).agg(F.max(BATCH)).first()[0]
-    rows = _versions(spark, log, base).filter(F.col(BATCH) <= upto)
+    known = _batches(spark, log)
+    if not known or (base is not None and known[-1] <= base[1]):
+        return base
+    rows = _versions(spark, log, base).filter(F.col(BATCH) <= known[-1])
     last_wins(rows, keys, [*order, BATCH]).write.mode("overwrite").parquet(target)
-    return target, int(upto)
+    return target, known[-1]
 
 
 def distinct_changes(changes: DataFrame, keys: list[str], change: str, late: str = LATE) -> DataFrame:
@@ -85,21 +101,47 @@ def append_run(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
         .outputMode("append").trigger(availableNow=True).start()
 
 
-def replace_run(rows: DataFrame, target: str, checkpoint: str, run: str) -> None:
-    """Load one pull and replace what earlier tries of the same run left behind.
+def _pulled(rows: DataFrame, checkpoint: str) -> DataFrame | None:
+    """All rows of one pull, staged beside its checkpoint; None where no file had landed.
 
-    The micro-batches are staged beside the checkpoint, which is that of this try; a batch that runs
-    again replaces itself there. When all have arrived, the runs that were staged are overwritten
-    in the target as a whole, so batches of an earlier try that had more of them do not stay.
+    A batch that runs again replaces itself there. Batches are counted by marks of their own, so a
+    pull whose files hold no row is told from one without files, also after the driver was lost.
     """
-    staged = f"{checkpoint.rstrip('/')}-rows"
+    staged, marks = f"{checkpoint.rstrip('/')}-rows", f"{checkpoint.rstrip('/')}-batches"
+    spark = rows.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn(BATCH, F.lit(number)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(staged)
+        spark.range(1).write.mode("overwrite").parquet(f"{marks}/{BATCH}={number}")
 
     rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start().awaitTermination()
+    if not _batches(spark, marks):
+        return None
+    if not _batches(spark, staged):
+        return spark.createDataFrame([], rows.schema)
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema.fields)}, {BATCH} int"
-    rows.sparkSession.read.schema(schema).parquet(staged).drop(BATCH).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(target)
+    return spark.read.schema(schema).parquet(staged).drop(BATCH)
+
+
+def replace_run(rows: DataFrame, target: str, checkpoint: str, run: str, value=None) -> None:
+    """Load one pull and replace what earlier tries of the same run left behind.
+
+    The micro-batches are staged beside the checkpoint, which is that of this try. When all have
+    arrived, the runs that were staged are overwritten in the target as a whole, so batches of an
+    earlier try that had more of them do not stay. With `value`, the run that was asked for, a
+    pull whose files hold no row clears that run. A pull without files changes nothing.
+    """
+    staged = _pulled(rows, checkpoint)
+    if staged is not None:
+        sinks.replace_slices(staged, target, [run], slices=None if value is None else [{run: value}])
+
+
+def publish_run(rows: DataFrame, path: str, checkpoint: str, run: str, value=None) -> int | None:
+    """`replace_run` on a published table: readers see the old run or the new one, never a part.
+
+    Returns the version, or None where no file had landed. A pull that fails publishes nothing.
+    """
+    staged = _pulled(rows, checkpoint)
+    return None if staged is None else published.publish(staged, path, [run], slices=None if value is None else [{run: value}])
