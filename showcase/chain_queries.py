@@ -17,16 +17,16 @@ from tradeloom.sources import landing, sinks
 SPAN = 150
 
 
-def _codes(spark, sf):
+def codes(spark, sf):
     return table(spark, sf, "part").selectExpr("lpad(p_partkey, 13, '0') as barcode", "concat('P', p_partkey) as item_id")
 
 
 def _orders(spark, sf):
-    return facts.report_orders(fact_orders(spark, sf), _codes(spark, sf))
+    return facts.report_orders(fact_orders(spark, sf), codes(spark, sf))
 
 
 def _stock(spark, sf):
-    return facts.report_stock(fact_stock(spark, sf), _codes(spark, sf))
+    return facts.report_stock(fact_stock(spark, sf), codes(spark, sf))
 
 
 _ITEM = "coalesce(item_id, x.barcode, x.sku) AS item"

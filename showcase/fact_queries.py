@@ -23,7 +23,7 @@ _OLD = """old AS (SELECT 'OLD' AS source, o_orderpriority AS owner, CAST(o_order
     'OLD' AS schema, CAST(NULL AS VARCHAR) AS barcode FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01')"""
 
 
-def _old_orders(spark, sf):
+def old_orders(spark, sf):
     return table(spark, sf, "orders").selectExpr(
         "'OLD' as source", "o_orderpriority as owner", "cast(o_orderkey as string) as order_key",
         "cast(o_custkey as string) as sku", "o_orderdate as order_ts", "o_orderdate as change_ts",
@@ -79,6 +79,10 @@ def _fact_sql(wb_rows: str, ozon: bool) -> str:
 
 @query("fact_orders", _fact_sql("l_extendedprice AS amount, l_returnflag = 'R' AS is_cancelled", True))
 def fact_orders(spark, sf):
+    return facts.apply_orders(old_orders(spark, sf), staged_orders(spark, sf), FROM)
+
+
+def staged_orders(spark, sf):
     """Sources are asked for the range that will be replaced, so the scan skips older orders.
 
     A later version of some keys, staged as well, lies before the range.
@@ -89,7 +93,7 @@ def fact_orders(spark, sf):
     pages = postings.latest_postings(feeds.fbo(lines.filter("l_linestatus = 'F'"), "owner"))
     staged_ozon = postings.flatten_fbo(pages, F.col("owner"), RUN, FROM)
     from_wb = facts.wb_orders(staged_wb)
-    return facts.apply_orders(_old_orders(spark, sf), [from_wb, _moved(from_wb), facts.ozon_orders(staged_ozon)], FROM)
+    return [from_wb, _moved(from_wb), facts.ozon_orders(staged_ozon)]
 
 
 def _moved(rows):
@@ -105,7 +109,7 @@ def fact_sales(spark, sf):
     docs = feeds.wb_sales(lines, "o_orderdate", "l_shipdate", "owner")
     staged = wb.sale_lines(docs, F.col("owner"), RUN, FROM)
     new = facts.wb_sales(staged)
-    return facts.apply_orders(_old_orders(spark, sf), [new, _moved(new)], FROM)
+    return facts.apply_orders(old_orders(spark, sf), [new, _moved(new)], FROM)
 
 
 _OLD_STOCK = """old AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS stock_date, 'KZ' AS source,
@@ -113,7 +117,7 @@ _OLD_STOCK = """old AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS sto
     1.0::DOUBLE AS quantity FROM orders)"""
 
 
-def _old_stock(spark, sf):
+def old_stock(spark, sf):
     return table(spark, sf, "orders").selectExpr(
         "cast(o_orderdate as date) as stock_date", "'KZ' as source", "o_orderpriority as owner", "'OLD' as warehouse",
         "cast(o_custkey as string) as sku", "cast(null as string) as barcode",
@@ -132,6 +136,10 @@ def _old_stock(spark, sf):
     UNION ALL SELECT '2001-11-30', source, owner, warehouse, sku, barcode,
         CAST(sum(CAST(q AS DECIMAL(18,2))) AS DOUBLE) FROM new GROUP BY source, owner, warehouse, sku, barcode""")
 def fact_stock(spark, sf):
+    return facts.apply_stock(old_stock(spark, sf), staged_stock(spark, sf), STOCK_DAY)
+
+
+def staged_stock(spark, sf):
     line = feeds.line_items(spark, sf)
     barcodes = table(spark, sf, "part").selectExpr("p_partkey as sku", "concat('bc-', p_partkey) as barcode")
     from_wb = wb.stock_lines(feeds.wb_stock(line.filter("l_linestatus = 'O'")), OWNER, RUN, STOCK_DAY)
@@ -140,8 +148,7 @@ def fact_stock(spark, sf):
     item = """named_struct('id', case l_returnflag when 'A' then cast(l_partkey as string) when 'N' then ' ' end,
         'quantity', l_quantity)"""
     from_erp = erp.stock_rows(feeds.erp_pages(line, item, schemas.ERP_STOCK_PAGE), RUN, STOCK_DAY)
-    staged = [facts.wb_stock(from_wb), facts.ozon_stock(from_ozon), facts.erp_stock(from_erp)]
-    return facts.apply_stock(_old_stock(spark, sf), staged, STOCK_DAY)
+    return [facts.wb_stock(from_wb), facts.ozon_stock(from_ozon), facts.erp_stock(from_erp)]
 
 
 @query("fact_stock_kz", f"""
@@ -151,8 +158,11 @@ def fact_stock(spark, sf):
         lpad(CAST(l_partkey AS VARCHAR), 13, '0'), CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)
         FROM lineitem GROUP BY ALL""")
 def fact_stock_kz(spark, sf):
-    staged = stock.kz_stock_lines(feeds.kz_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY)
-    return facts.apply_stock_of(_old_stock(spark, sf), facts.kz_stock(staged), STOCK_DAY, "KZ")
+    return facts.apply_stock_of(old_stock(spark, sf), staged_kz_stock(spark, sf), STOCK_DAY, "KZ")
+
+
+def staged_kz_stock(spark, sf):
+    return facts.kz_stock(stock.kz_stock_lines(feeds.kz_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY))
 
 
 @query("dictionary_upsert", """
@@ -192,13 +202,17 @@ def dictionary_upsert(spark, sf):
         WHERE o_orderdate < TIMESTAMP '2001-09-01'""")
 def ad_fact(spark, sf):
     """60 days before 31 October 2001 are replaced."""
-    staged = advertising.order_rows(feeds.ad_orders(feeds.line_items(spark, sf)), OWNER, "doc") \
-        .select("report_date", "sku", "ordered_qnt", "sum_price")
+    staged = staged_ads(spark, sf)
     old = table(spark, sf, "orders").selectExpr(
         "cast(o_orderdate as date) as report_date", "'old' as sku", "1 as ordered_qnt", "o_totalprice as sum_price")
     return facts.apply_ads(old, staged, date(2001, 10, 31))
 
 
+def staged_ads(spark, sf):
+    return advertising.order_rows(feeds.ad_orders(feeds.line_items(spark, sf)), OWNER, "doc") \
+        .select("report_date", "sku", "ordered_qnt", "sum_price")
+
+
 @query("stock_items", """
     WITH dim AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 13, '0') AS barcode, min(p_name) AS item_id FROM part
         WHERE p_size > 10 GROUP BY 1)

@@ -427,7 +427,9 @@ def warehouse_dimension(spark, sf):
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")) \
         .selectExpr("concat('WH ', s_suppkey) as code", "'WB' as source", "r_name as cluster")
     rows = wb.stock_lines(feeds.wb_stock(feeds.line_items(spark, sf)), OWNER, RUN, STOCK_DAY)
-    return insert_warehouses(dim, rows, "WB")
+    # Some rows name no warehouse at all; a second insert of the same rows adds nothing.
+    rows = rows.withColumn("warehouse_name", F.explode(F.expr("if(quantity = 1, array(warehouse_name, null), array(warehouse_name))")))
+    return insert_warehouses(insert_warehouses(dim, rows, "WB"), rows, "WB")
 
 
 _DETAIL = {

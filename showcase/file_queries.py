@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from showcase import feeds
 from showcase.feed_queries import _DETAIL, OWNER, RUN, SINCE, STOCK_DAY
-from showcase.registry import ORACLES, new_folder, query, table
+from showcase.registry import ORACLES, broken, fails, new_folder, query, table
 from tradeloom.operators import advertising, postings, prices, products, realization, state, stock, wb
 from tradeloom.sources import landing, sinks
 
@@ -61,11 +61,15 @@ def landed_kz_stock(spark, sf):
 
 
 @query("landed_products", """
-    SELECT owner, CAST(p_partkey + 1 AS VARCHAR) AS sku, CASE WHEN p_size > 25 THEN 'late-' ELSE 'bc-' END || owner || p_partkey AS barcode
-    FROM part, (SELECT 'BUILDING' AS owner UNION ALL SELECT 'MACHINERY') WHERE p_size > 10""")
+    WITH o AS (SELECT * FROM part, (SELECT 'BUILDING' AS owner UNION ALL SELECT 'MACHINERY') WHERE owner = 'BUILDING' OR p_size > 5),
+    d AS (SELECT *, 1 AS day, 'bc-' AS code FROM o UNION ALL SELECT *, 2, 'late-' FROM o WHERE p_size > 25),
+    e AS (SELECT owner, p_partkey, day, code, p_partkey + 1 AS sku FROM d
+        UNION ALL SELECT owner, p_partkey, day, code, p_partkey + 2 FROM d WHERE p_size <= 10)
+    SELECT owner, CAST(sku AS VARCHAR) AS sku, code || owner || p_partkey AS barcode FROM e
+    QUALIFY row_number() OVER (PARTITION BY owner, sku ORDER BY day DESC, p_partkey DESC) = 1""")
 def landed_products(spark, sf):
     """Pages of two load days in folders of day and owner; the later day repeats some products with another barcode."""
-    folder, parts = new_folder(spark, "products"), feeds.owned_parts(spark, sf).filter("p_size > 10")
+    folder, parts = new_folder(spark, "products"), feeds.owned_parts(spark, sf)
     for day, rows, code in ((1, parts, "bc-"), (2, parts.filter("p_size > 25"), "late-")):
         pages = feeds.products(rows, "owner", barcode=f"concat('{code}', owner, p_partkey)").drop("page")
         pages.withColumn("day", F.lit(day)).write.mode("append").partitionBy("day", "owner").json(folder)
@@ -111,12 +115,16 @@ def _owned_orders(spark, sf):
     SELECT * FROM ({_OWNED_DAYS}) WHERE owner_code NOT IN ('BUILDING', 'MACHINERY')
     UNION ALL SELECT owner_code, id, -amount FROM ({_OWNED_DAYS}) WHERE owner_code = 'BUILDING'""")
 def replaced_files(spark, sf):
-    """Load all owners, then replace the slices of two of them, one of which comes back empty."""
+    """Load all owners, then replace the slices of two of them, one of which comes back empty.
+
+    An earlier try of that load fails half-way and leaves the slices as they were.
+    """
     folder = new_folder(spark, "slices")
     rows = _owned_orders(spark, sf)
     sinks.replace_slices(rows, folder, ["owner_code"], hot_files=8)
     fresh = rows.filter("owner_code = 'BUILDING'").withColumn("amount", -F.col("amount"))
     asked = [{"owner_code": "BUILDING"}, {"owner_code": "MACHINERY"}]
+    fails(lambda: sinks.replace_slices(broken(fresh, "amount"), folder, ["owner_code"], hot_files=8, slices=asked))
     sinks.replace_slices(fresh, folder, ["owner_code"], hot_files=8, slices=asked)
     return spark.read.parquet(folder)
 

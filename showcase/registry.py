@@ -25,6 +25,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+BROKEN = "a field of this load cannot be read"
+
+
+def broken(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose column cannot be read: a load of them fails while it is written."""
+    return df.withColumn(column, F.raise_error(F.lit(BROKEN)).cast(df.schema[column].dataType))
+
+
+def fails(load: Callable[[], object]) -> None:
+    """Run a load of broken rows; it must not get through."""
+    try:
+        load()
+    except Exception as x:
+        if BROKEN not in str(x):
+            raise
+    else:
+        raise AssertionError("a broken load got through")
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and times as text: types every client prints alike."""
     def one(field: T.StructField):

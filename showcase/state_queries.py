@@ -140,11 +140,14 @@ def last_transaction(spark, sf):
 
 @query("key_batches", """
     WITH k AS (SELECT DISTINCT c_mktsegment AS owner, l_partkey AS sku FROM lineitem
-        JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+        JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        UNION ALL SELECT DISTINCT NULL, l_partkey FROM lineitem WHERE l_linestatus = 'O'),
     n AS (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY sku % 64, sku) - 1 AS place FROM k)
     SELECT owner, sku, place // 999 AS batch, CAST(place % 999 AS INT) AS position FROM n""")
 def key_batches(spark, sf):
-    keys = feeds.owned_lines(spark, sf).select("owner", F.col("l_partkey").alias("sku"))
+    """Open lines come without an owner as well."""
+    keys = feeds.owned_lines(spark, sf).select(
+        F.explode(F.expr("if(l_linestatus = 'O', array(owner, null), array(owner))")).alias("owner"), F.col("l_partkey").alias("sku"))
     return incremental.key_batches(keys, "owner", "sku", 999, spread=F.col("sku"), buckets=64)
 
 
@@ -211,13 +214,16 @@ _KINDS = """log AS (SELECT 'r' || user_id AS uuid, event_id AS seq, CASE event_t
         LEFT JOIN log a ON a.seq = s.c LEFT JOIN log b ON b.seq = s.e LEFT JOIN log d ON d.seq = s.p
         LEFT JOIN log f ON f.seq = s.x LEFT JOIN log g ON g.seq = s.l""")
 def ledger_state(spark, sf):
-    log = table(spark, sf, "events").selectExpr(
+    return state.request_ledger(request_log(spark, sf))
+
+
+def request_log(spark, sf):
+    return table(spark, sf, "events").selectExpr(
         "concat('r', user_id) as uuid", "event_id as seq",
         "case event_type when 'signup' then 'created' when 'error' then 'failed' when 'purchase' then 'loaded'"
         " else 'polled' end as kind", "concat('own', event_id) as owner_code", "event_type as type",
         "concat('st', event_id) as status", "if(value > 50, concat('link', event_id), null) as link",
         "if(value < 20, concat('err', event_id), null) as error", "concat('file', event_id) as file_name")
-    return state.request_ledger(log)
 
 
 @query("ledger_latest", """SELECT 'r' || user_id AS uuid, max(event_id) AS seq,

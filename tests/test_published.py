@@ -126,6 +126,23 @@ def test_orders_by_day_equal_the_rewritten_fact(spark, tmp_path, rows):
     assert {f.parts[2] for f in files(path).keys() - before.keys()} == {"day=2024-03-02", "day=2024-03-04"}
 
 
+def test_orders_by_month_carry_the_days_before(spark, tmp_path, rows):
+    path, columns = str(tmp_path / "f"), ["order_key", "order_ts", "amount"]
+    first = orders(spark, ("a", "2024-02-09", 1), ("b", "2024-03-01", 1), ("c", "2024-03-20", 1), ("d", "2024-04-02", 1), ("e", "2024-05-05", 1))
+    second = orders(spark, ("c", "2024-03-20", 5), ("x", "2024-03-05", 6), ("y", "2024-04-30", 7))
+    facts.load_orders(path, [first], date(2024, 1, 1), "month")
+    want = rows(facts.apply_orders(published.read(spark, path).drop("day", "month"), [second], date(2024, 3, 10)), *columns)
+    before = files(path)
+    facts.load_orders(path, [second], date(2024, 3, 10), "month")
+    assert rows(published.read(spark, path), *columns) == want and [w[0] for w in want] == ["a", "b", "c", "y"]
+    assert {f.parts[2] for f in files(path).keys() - before.keys()} == {"month=2024-03-01", "month=2024-04-01"}
+
+
+def test_rows_without_an_order_key_are_all_kept(spark, tmp_path, rows):
+    data = [("a", "2024-03-01", 1), ("a", "2024-03-01", 2), (None, "2024-03-01", 1), (None, "2024-03-01", 2), (None, "2024-03-01", 2)]
+    assert rows(facts.latest_orders([orders(spark, *data)]), "order_key", "amount") == rows(orders(spark, data[1], data[2], data[3]), "order_key", "amount")
+
+
 def test_stock_of_one_date_and_source(spark, tmp_path, rows):
     path = str(tmp_path / "s")
 

@@ -153,3 +153,20 @@ def test_apply_ads(spark, rows):
     d = spark.createDataFrame([(date(2024, 1, 30), 1), (date(2024, 1, 31), 2)], "report_date date, n int")
     new = spark.createDataFrame([(date(2024, 1, 1), 8), (date(2024, 3, 1), 9)], "report_date date, n int")
     assert rows(facts.apply_ads(d, new, date(2024, 3, 31)), "n") == [(1,), (9,)]
+
+
+def test_rows_of_open_transactions_do_not_count(spark, tmp_path, rows):
+    data = [("2024-01-01", t, q) for t, q in ((1, 1), (2, 10), (3, 100), (9, 1000), (None, 5))]
+    orders = spark.createDataFrame(data, "day string, transaction_id int, q int").selectExpr(
+        "cast(day as date) as day", "'o' as owner", "'WB' as source", "'s' as sku", "cast(q as decimal(18,2)) as quantity",
+        "cast(q as decimal(18,2)) as amount", "false as is_cancelled", "transaction_id")
+    orders.write.partitionBy("transaction_id").parquet(str(tmp_path / "o"))
+    ledger = spark.createDataFrame([(1, "COMPLETED"), (2, "RUNNING"), (3, "COMPLETED"), (4, "FAILED")], "id int, status string") \
+        .withColumn("start_date", F.lit("2024-01-02").cast("date"))
+    ledger.write.parquet(str(tmp_path / "l"))
+    ledger, stored = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "o"))
+    for report in (daily.orders_by_day(stored, ledger, 3, loaded_by="transaction_id"), daily.orders_by_last_completed(stored, ledger, loaded_by="transaction_id")):
+        assert rows(report.selectExpr("orders", "cast(quantity as int)")) == [(2, 101)]
+        assert "dynamicpruning" in report._jdf.queryExecution().executedPlan().toString()
+    assert rows(daily.orders_by_day(stored, ledger, 2, loaded_by="transaction_id")) == []
+    assert rows(daily.orders_by_day(stored, ledger, 3).select("orders")) == [(5,)]

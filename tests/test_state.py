@@ -4,7 +4,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tradeloom.operators import dedup, incremental, lookup, state
+from tradeloom.operators import dedup, incremental, lookup, partials, state
+from tradeloom.sources import published
 
 
 def df(spark, schema, *data):
@@ -163,3 +164,45 @@ def test_before_transaction(spark, rows):
     tx = df(spark, "id int, start_date timestamp_ntz", (5, datetime(2024, 1, 2, 23)), (6, datetime(2024, 1, 3)))
     assert rows(state.before_transaction(days, tx, "d", 5)) == [(date(2024, 1, 2),)]
     assert len(rows(state.before_transaction(days, tx, "d", 99))) == 2
+
+
+def test_a_null_owner_keeps_its_keys(spark, rows):
+    data = [(o, k) for o in ("a", None) for k in range(7)] + [(None, 3), ("b", None)]
+    got = incremental.key_batches(spark.createDataFrame(data, "owner string, sku int"), "owner", "sku", 3, buckets=4)
+    assert rows(got, "owner", "sku") == sorted({(o, k) for o, k in data}, key=str)
+    assert rows(got.filter("owner is null"), "batch", "position") == sorted([(i // 3, i % 3) for i in range(7)], key=str)
+
+
+def test_a_null_warehouse_names_none(spark, rows):
+    dim = spark.createDataFrame([("A", "WB", "north")], "code string, source string, cluster string")
+    seen = spark.createDataFrame([(None,), ("A",), ("C",)], "warehouse_name string")
+    for _ in range(2):
+        dim = lookup.insert_warehouses(dim, seen, "WB")
+    assert rows(dim) == [("A", "WB", "north"), ("C", "WB", "NONE")]
+
+
+def test_folded_ledger(spark, tmp_path, rows):
+    path, columns = str(tmp_path / "l"), "uuid string, seq int, kind string, owner_code string, type string, status string, link string, error string, file_name string"
+    events = [("u", 1, "created", "o", "t", "s1", None, None, None), ("u", 2, "polled", None, None, "s2", "l", "e", None), ("v", 3, "failed", None, None, "s3", None, "x", None),
+              ("u", 4, "polled", None, None, "s4", None, None, None), ("v", 5, "created", "p", "t", "s5", None, None, None), ("u", 6, "loaded", None, None, None, None, None, "f")]
+    log = spark.createDataFrame(events, columns)
+    want = rows(state.request_ledger(log), *partials.LEDGER)
+    for n, some in enumerate(([5, 2], [1, 6], [3], [4])):
+        part = partials.ledger_partial(log.filter(F.col("seq").isin(some)))
+        assert partials.add(part, path, n) is not None
+        partials.add(part, path, n)
+        if n in (1, 2):
+            assert partials.fold(spark, path, partials.ledger_merge) is not None
+            assert partials.add(part, path, n) is None
+            assert partials.fold(spark, path, partials.ledger_merge) is None
+    assert rows(partials.ledger_state(partials.parts(spark, path)), *partials.LEDGER) == want
+    # The base is one slice; only the batch behind it is beside it.
+    assert rows(published.manifest(spark, path).select("batch", "is_base")) == [(2, True), (3, False)]
+
+
+def test_folded_counts(spark, tmp_path, rows):
+    path, lines = str(tmp_path / "c"), spark.createDataFrame([("a", n) for n in range(9)] + [(None, 9), ("b", 10)], "owner string, n int")
+    for n in range(3):
+        partials.add(partials.count_partial(lines.filter(F.col("n") % 3 == n), ["owner"]), path, n)
+        partials.fold(spark, path, partials.count_merge)
+    assert rows(partials.count_merge(partials.parts(spark, path))) == rows(incremental.feed_counts(lines, ["owner"]))

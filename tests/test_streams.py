@@ -4,10 +4,11 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.operators import dedup
 from tradeloom.sources import published
-from tradeloom.streaming import changes
+from tradeloom.streaming import changes, late
 
 SCHEMA = "k string, ts timestamp_ntz, v int"
 T0 = datetime(2024, 1, 1)
@@ -124,3 +125,50 @@ def test_pulls_that_are_empty_or_missing_or_fail(spark, tmp_path, rows, kind):
     assert now() == both
     load(_run(spark, empty, 7), target, str(tmp_path / "t10"), "run", 7)
     assert now() == three(6)
+
+
+LATE_SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("ts", T.TimestampType()), T.StructField("v", T.IntegerType())])
+
+
+def _late_land(spark, folder, *data):
+    some = [(k, None if d is None else T0 + timedelta(days=d, minutes=m), v) for k, d, m, v in data]
+    spark.createDataFrame(some, LATE_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_late_rows_go_to_their_own_side(spark, tmp_path, rows):
+    folder, work = str(tmp_path / "in"), str(tmp_path / "w")
+    landings = [
+        [("a", 50, 0, 1), ("b", 1, 0, 2), ("n", None, 0, 3), ("a", 50, 0, 1)],  # the first batch has no mark, so nothing in it is late
+        [("a", 50, 0, 1), ("edge", 5, 0, 4), ("in", 5, 1, 5), ("b", 1, 0, 2), ("n", None, 0, 3)],
+        [("c", 60, 0, 6), ("in", 5, 1, 5)],
+        [("d", 15, 0, 7), ("d", 15, 1, 8), ("c", 60, 0, 6)],
+    ]
+    for landing in landings:
+        _late_land(spark, folder, *landing)
+        stream = changes.landed(spark, folder, LATE_SCHEMA)
+        kept, target = late.distinct_run(stream, work, ["k"], "ts", days=45)
+    # Nothing new has landed: both sides stay.
+    late.distinct_run(changes.landed(spark, folder, LATE_SCHEMA), work, ["k"], "ts", days=45)
+    assert rows(spark.read.parquet(kept).filter("ts is not null"), "k", "v") == [("a", 1), ("b", 2), ("c", 6), ("d", 8), ("in", 5)]
+    assert rows(late.late_rows(spark, target, LATE_SCHEMA), "k", "v", "batch") == [("b", 2, 1), ("d", 7, 3), ("edge", 4, 1)]
+
+
+def test_a_batch_that_runs_again_splits_alike(spark, tmp_path, rows):
+    folder, work = str(tmp_path / "in"), str(tmp_path / "w")
+    for landing in ([("a", 50, 0, 1)], [("b", 1, 0, 2), ("c", 60, 0, 3)]):
+        _late_land(spark, folder, *landing)
+        late.split(changes.landed(spark, folder, LATE_SCHEMA), f"{work}/s", f"{work}/c", "ts").awaitTermination()
+    before = rows(late.late_rows(spark, f"{work}/s", LATE_SCHEMA))
+    (tmp_path / "w" / "c" / "commits" / "1").unlink()  # the driver was lost before batch 1 was noted as done
+    for crc in (tmp_path / "w" / "c" / "commits").glob(".1.crc"):
+        crc.unlink()
+    late.split(changes.landed(spark, folder, LATE_SCHEMA), f"{work}/s", f"{work}/c", "ts").awaitTermination()
+    assert rows(late.late_rows(spark, f"{work}/s", LATE_SCHEMA)) == before and len(before) == 1
+    assert spark.read.parquet(f"{work}/s").count() == 3
+
+
+def test_no_late_rows(spark, tmp_path):
+    folder, work = str(tmp_path / "in"), str(tmp_path / "w")
+    (tmp_path / "in").mkdir()
+    kept, target = late.distinct_run(changes.landed(spark, folder, LATE_SCHEMA), work, ["k"], "ts")
+    assert late.late_rows(spark, target, LATE_SCHEMA).count() == 0

@@ -77,16 +77,17 @@ def key_batches(df: DataFrame, owner: str, key: str, size: int, spread: Column |
     fits a task, as one chooses the number of shuffle partitions.
 
     The counts are made where the rows are numbered, so both sides of the join are
-    one plan down to the same shuffle, which runs once.
+    one plan down to the same shuffle, which runs once. A null owner is an owner like any other.
     """
     place_of = F.pmod(spread if spread is not None else F.xxhash64(key), F.lit(buckets)).cast("int")
     # never null, so the join below adds no filter to one side and both sides share one shuffle of the keys
-    keys = df.select(owner, key).distinct().withColumn("_bucket", F.coalesce(place_of, F.lit(0)))
-    slot = Window.partitionBy(owner, "_bucket")
+    keys = df.select(owner, key).distinct().withColumns({"_bucket": F.coalesce(place_of, F.lit(0)), "_owner": F.struct(owner)})
+    slot = Window.partitionBy("_owner", "_bucket")
     numbered = keys.withColumns({"_row": F.row_number().over(slot.orderBy(key)), "_n": F.count(F.lit(1)).over(slot)})
-    before = Window.partitionBy(owner).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = numbered.filter("_row = 1").select(owner, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    return numbered.join(shift, [owner, "_bucket"]).select(owner, key, F.expr(f"(_shift + _row - 1) div {int(size)}").alias("batch"),
+    before = Window.partitionBy("_owner").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shift = numbered.filter("_row = 1").select("_owner", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    # a struct of a null is no null, so a plain join finds it
+    return numbered.join(shift, ["_owner", "_bucket"]).select(owner, key, F.expr(f"(_shift + _row - 1) div {int(size)}").alias("batch"),
                            F.expr(f"cast((_shift + _row - 1) % {int(size)} as int)").alias("position"))
 
 

@@ -59,8 +59,8 @@ def offer_ids(rows: DataFrame, offers: DataFrame, name: str = "offer_name") -> D
 
 
 def new_warehouses(rows: DataFrame, dim: DataFrame, source: str, code: str = "warehouse_name") -> DataFrame:
-    """Warehouses seen in `rows` but not in the dimension; their cluster is NONE."""
-    seen = rows.select(F.col(code).alias("code"), F.lit(source).alias("source"))
+    """Warehouses seen in `rows` but not in the dimension; their cluster is NONE. A null code names none."""
+    seen = rows.filter(F.col(code).isNotNull()).select(F.col(code).alias("code"), F.lit(source).alias("source"))
     return missing(seen, dim, ["code", "source"]).withColumn("cluster", F.lit("NONE"))
 
 

@@ -194,13 +194,28 @@ def _orders_of(orders: DataFrame, started: DataFrame, ts: str | None) -> DataFra
     ).withColumnRenamed("day", "report_date")
 
 
-def orders_by_day(orders: DataFrame, transactions: DataFrame, tx, ts: str | None = None) -> DataFrame:
-    """Orders of the day before a completed transaction started, per owner, source and SKU."""
+def committed(rows: DataFrame, transactions: DataFrame, tx: str = "transaction_id") -> DataFrame:
+    """Rows that a completed transaction loaded.
+
+    Where rows are stored in a folder per transaction, the ledger is read first and only the folders
+    of completed transactions after it (dynamic partition pruning).
+    """
+    done = transactions.filter(F.col("status") == "COMPLETED").select(F.col("id").alias("_done"))
+    return rows.join(done, rows[tx] == done["_done"], "left_semi")
+
+
+def orders_by_day(orders: DataFrame, transactions: DataFrame, tx, ts: str | None = None, loaded_by: str | None = None) -> DataFrame:
+    """Orders of the day before a completed transaction started, per owner, source and SKU.
+
+    `loaded_by` names the column that holds the transaction which loaded a row; rows of transactions
+    that are not completed, or that the ledger does not know, then do not count.
+    """
     done = (F.col("id") == as_value(tx)) & (F.col("status") == "COMPLETED")
-    return _orders_of(orders, transactions.filter(done), ts)
+    kept = orders if loaded_by is None else committed(orders, transactions, loaded_by)
+    return _orders_of(kept, transactions.filter(done), ts)
 
 
-def orders_by_last_completed(orders: DataFrame, transactions: DataFrame, ts: str | None = None) -> DataFrame:
+def orders_by_last_completed(orders: DataFrame, transactions: DataFrame, ts: str | None = None, loaded_by: str | None = None) -> DataFrame:
     """The same for the completed transaction of the highest id."""
     last = transactions.filter(F.col("status") == "COMPLETED").agg(F.max_by("start_date", "id").alias("start_date"))
-    return _orders_of(orders, last, ts)
+    return _orders_of(orders if loaded_by is None else committed(orders, transactions, loaded_by), last, ts)

@@ -62,6 +62,18 @@ def wb_sales(staged: DataFrame) -> DataFrame:
     )
 
 
+def latest_orders(staged: list[DataFrame]) -> DataFrame:
+    """Latest version per order key and SKU.
+
+    Rows without an order key are nobody's version: each stays, and only rows that are equal in all
+    columns, as overlapping pages bring them, are one.
+    """
+    rows = _union(staged)
+    own = F.when(F.col("order_key").isNull(), F.struct(*rows.columns)).alias("_own")
+    ties = [c for c in rows.columns if c not in (*ORDER_KEY, "change_ts")]
+    return latest_version(rows.select("*", own), [*ORDER_KEY, "_own"], "change_ts", ties).drop("_own")
+
+
 def apply_orders(old: DataFrame, staged: list[DataFrame], date_from) -> DataFrame:
     """New order or sales fact: days before `date_from` stay, later days hold the latest staged versions.
 
@@ -69,17 +81,32 @@ def apply_orders(old: DataFrame, staged: list[DataFrame], date_from) -> DataFram
     has left the range, and an older version of it must not come back.
     """
     day = F.col("order_ts").cast("date")
-    return replace_from(old, latest_version(_union(staged), ORDER_KEY, "change_ts"), day, date_from)
+    return replace_from(old, latest_orders(staged), day, date_from)
+
+
+def _load_days(path: str, new: DataFrame, day: str, first, grain: str) -> int:
+    """Publish the rows of `new` from the day `first` on; days of that range without rows are cleared.
+
+    Slices are the days, or the weeks, months, quarters or years (`grain`) of a column of that name.
+    Of a longer slice that begins before `first`, the earlier days are carried over; no other old row is read.
+    """
+    spark, limit, at = new.sparkSession, as_value(first).cast("date"), F.col(day)
+    if grain == "day":
+        return published.publish(new.filter(at >= limit), path, [day], gone=at >= limit)
+    start = F.trunc(limit, grain)
+    rows = new.filter(at >= limit).withColumn(grain, F.trunc(at, grain))
+    if published.versions(spark, path):
+        rows = rows.unionByName(published.read(spark, path).filter((F.col(grain) == start) & (at < limit)))
+    return published.publish(rows, path, [grain], gone=F.col(grain) >= start)
 
 
-def load_orders(path: str, staged: list[DataFrame], date_from) -> int:
-    """`apply_orders` on a fact published by `day`: only days from `date_from` on are written.
+def load_orders(path: str, staged: list[DataFrame], date_from, grain: str = "day") -> int:
+    """`apply_orders` on a fact published by the day of the order: only slices from `date_from` on are written.
 
-    Days of that range that the staged rows do not reach any more are cleared. No old row is read.
+    `grain` sets their length, see `_load_days`. Rows without a time are in no slice.
     """
-    new = latest_version(_union(staged), ORDER_KEY, "change_ts").withColumn("day", F.col("order_ts").cast("date"))
-    limit = as_value(date_from).cast("date")
-    return published.publish(new.filter(F.col("day") >= limit), path, ["day"], gone=F.col("day") >= limit)
+    new = latest_orders(staged).withColumn("day", F.col("order_ts").cast("date"))
+    return _load_days(path, new, "day", date_from, grain)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -173,10 +200,9 @@ def apply_ads(old: DataFrame, staged: DataFrame, report_date, days: int = 60) ->
     return replace_from(old, staged, "report_date", F.date_sub(as_value(report_date).cast("date"), days))
 
 
-def load_ads(path: str, staged: DataFrame, report_date, days: int = 60) -> int:
-    """`apply_ads` on a fact published by `report_date`: only the days of the range are written."""
-    inside = F.col("report_date") >= F.date_sub(as_value(report_date).cast("date"), days)
-    return published.publish(staged.filter(inside), path, ["report_date"], gone=inside)
+def load_ads(path: str, staged: DataFrame, report_date, days: int = 60, grain: str = "day") -> int:
+    """`apply_ads` on a fact published by `report_date`: only the slices of the window are written."""
+    return _load_days(path, staged, "report_date", F.date_sub(as_value(report_date).cast("date"), days), grain)
 
 
 def with_items(rows: DataFrame, barcodes: DataFrame) -> DataFrame:

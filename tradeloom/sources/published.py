@@ -40,6 +40,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, where nothing has landed yet."""
+    at, fs = _hadoop(spark, path)
+    fs.mkdirs(at)
+
+
 def _appear(spark: SparkSession, source: str, target: str) -> None:
     """Rename that fails where the target is there already."""
     jvm, gateway = spark._jvm, spark.sparkContext._gateway

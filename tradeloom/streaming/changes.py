@@ -39,7 +39,7 @@ def change_log(changes: DataFrame, log: str, checkpoint: str, keys: list[str], o
         .trigger(availableNow=True).start()
 
 
-def _batches(spark: SparkSession, log: str) -> list[int]:
+def batches(spark: SparkSession, log: str) -> list[int]:
     """Numbers of the batches that left rows in a log, by its folders."""
     head = f"{BATCH}="
     return sorted(int(n[len(head):]) for n in published.names(spark, log) if n.startswith(head))
@@ -47,7 +47,7 @@ def _batches(spark: SparkSession, log: str) -> list[int]:
 
 def _versions(spark: SparkSession, log: str, base: tuple[str, int] | None) -> DataFrame:
     """Rows of the base, if any, and of the log's batches behind it; the folders before are not read."""
-    known = _batches(spark, log)
+    known = batches(spark, log)
     if base is None:
         if not known:
             raise ValueError(f"no change was logged at {log}")
@@ -76,7 +76,7 @@ def compact(spark: SparkSession, log: str, target: str, keys: list[str], order:
     and the base before it can then be removed by whoever owns the folders. Where the log holds
     nothing behind the base, the base stays as it is, which is none at the start.
     """
-    known = _batches(spark, log)
+    known = batches(spark, log)
     if not known or (base is not None and known[-1] <= base[1]):
         return base
     rows = _versions(spark, log, base).filter(F.col(BATCH) <= known[-1])
@@ -117,9 +117,9 @@ def _pulled(rows: DataFrame, checkpoint: str) -> DataFrame | None:
 
     rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start().awaitTermination()
-    if not _batches(spark, marks):
+    if not batches(spark, marks):
         return None
-    if not _batches(spark, staged):
+    if not batches(spark, staged):
         return spark.createDataFrame([], rows.schema)
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema.fields)}, {BATCH} int"
     return spark.read.schema(schema).parquet(staged).drop(BATCH)
