@@ -46,3 +46,9 @@ def test_edges(spark):
                    (20, 4, 40, -1.0), (40, 1, 0, -1.0), (40, 2, 1, -1.0), (40, 3, 3, -1.0), (40, 4, 20, -1.0)]
     assert ann.search(df.limit(0), "id % 20 = 0").count() == 0
     assert ann.search(df.filter("vec_id = 1"), "id % 20 = 0").count() == 0
+
+
+def test_vectors_of_one_id_are_rows_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [9.0, 0.0]), (20, [9.0, 0.0]), (1, [1.0, 0.0]), (1, [3.0, 1.0]), (2, [-1.0, 5.0])]
+    got = sorted((r["query_id"], r["score"], r["rank"], r["vec_id"]) for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "id % 20 = 0").collect())
+    assert got == sorted([(20, 9.0, 1, 20), (20, 3.0, 2, 1), (20, 1.0, 3, 1), (20, -1.0, 4, 2), (20, 27.0, 1, 1), (20, 9.0, 2, 1), (20, 9.0, 3, 20), (20, -9.0, 4, 2)])
