@@ -115,6 +115,20 @@ def test_shingles():
     assert len({jaccard.shingles(t)[0] for t in ("a", "a a", "a a a", "a a a a")}) == 4
 
 
+def test_a_boundary_above_the_first_sizes(make, monkeypatch):
+    """Longer texts that hold the same words: lists of single n-grams are long, those of subsets are not."""
+    rng = random.Random(4)
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(i, " ".join(f"{a} {b}" for a, b in zip(rng.sample(shared, 40), rng.sample(shared, 40)))) for i in range(120)]
+    rows += [(200 + i, t) for i, (_, t) in enumerate(rows[:10])]
+    monkeypatch.setattr(jaccard, "SAMPLED", 1)
+    found, _ = jaccard.classes(make(rows), 1, 85)
+    low, high = jaccard.measured(found, 85, 4), jaccard.measured(found, 85, 1000)
+    assert low == high
+    pairs = {30: 10.0, 80: 2000.0, 300: 20.0, 900: 9e9}
+    assert jaccard.boundary(pairs, {30: 1e3, 80: 1e4, 300: 1e6, 900: 1.0}, 85) == 300
+
+
 def test_boundary():
     cheap, dear = {7: 1.0, 8: 1.0}, {7: 100.0, 8: 100.0, 9: 10.0}
     assert jaccard.boundary(cheap, dear, 85) == 64 or jaccard.boundary(cheap, dear, 85) >= 9

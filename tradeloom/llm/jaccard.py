@@ -19,6 +19,7 @@ every link that can still matter.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,21 +121,24 @@ def prefixes(docs: DataFrame, common: np.ndarray, n: int, percent: int) -> DataF
 #: Of the shared n-grams that a link needs in a prefix, one in so many is not looked for when pairs are made.
 SKIPPED = 2
 
-#: Sets above this size are never light: they have more subsets than any list is long.
-LARGEST_LIGHT = 64
+#: Sets up to this size are measured as light ones at first, larger ones where that may pay.
+FIRST_LIGHT = 64
 
+#: Costs are those of one key in so many.
+SAMPLED = 64
 
-def list_keys(prefix: np.ndarray, n: int, percent: int, x: int | None) -> tuple[np.ndarray, np.ndarray]:
+
+def list_keys(prefix: np.ndarray, n: int, percent: int, x: int | None, upto: int = FIRST_LIGHT) -> tuple[np.ndarray, np.ndarray]:
     """(subset keys, single keys) under which a set of size n with this 2-prefix is listed, for boundary x.
 
-    Without a boundary both kinds are made, for measuring. Sets below 6 n-grams (at 85 percent) link
+    Without a boundary both kinds are made, subsets for sizes up to `upto`, for measuring. Sets below 6 n-grams (at 85 percent) link
     with equal ones only, which are one node already, and are listed nowhere.
     """
     none = prefix[:0]
     if n * (100 - percent) < percent:
         return none, none
     two = none
-    if n <= (LARGEST_LIGHT if x is None else x):
+    if n <= (upto if x is None else x):
         i, j = np.triu_indices(len(prefix), 1)
         u = prefix.view(np.uint64)
         two = ((u[i] * _MULT[0]) ^ ((u[j] + _MULT[1]) * _MULT[2])).view(np.int64)
@@ -142,7 +146,7 @@ def list_keys(prefix: np.ndarray, n: int, percent: int, x: int | None) -> tuple[
     return two, prefix[:n - (percent * n + 99) // 100 + 1] if near else none
 
 
-def listed(rows: DataFrame, percent: int, x: int | None, keep) -> DataFrame:
+def listed(rows: DataFrame, percent: int, x: int | None, keep, upto: int = FIRST_LIGHT) -> DataFrame:
     """(key, light, row, n, pos) of the lists of `rows`; `pos` is the place of a single n-gram in its prefix.
 
     `keep` says by numpy which keys to send on.
@@ -151,7 +155,7 @@ def listed(rows: DataFrame, percent: int, x: int | None, keep) -> DataFrame:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             for row, n, prefix in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                for light, keys in zip((True, False), list_keys(prefix.values.to_numpy(), n, percent, x)):
+                for light, keys in zip((True, False), list_keys(prefix.values.to_numpy(), n, percent, x, upto)):
                     pos = np.flatnonzero(keep(keys))
                     for to, v in zip(out, (keys[pos], np.full(len(pos), light), np.full(len(pos), row), np.full(len(pos), n), pos)):
                         to.append(v)
@@ -162,27 +166,50 @@ def listed(rows: DataFrame, percent: int, x: int | None, keep) -> DataFrame:
     return rows.filter("n > 0").select("row", "n", "prefix").mapInArrow(run, "key long, light boolean, row long, n long, pos long")
 
 
+def subsets(n: int, percent: int) -> int:
+    """2-subsets of the 2-prefix of a set of size n."""
+    k = n - (percent * n + 99) // 100 + 2
+    return k * (k - 1) // 2
+
+
 def boundary(pairs: dict[int, float], scans: dict[int, float], percent: int) -> int:
     """Largest size of a light set, 0 for none; costs by size.
 
     `pairs`: rows met in the lists of 2-subsets; `scans`: rows met in those of single n-grams. Light
     sets that a heavy one may link with are in both, which the cost of a boundary counts.
     """
-    best, least = 0, sum(scans.values())
-    for x in range(1, LARGEST_LIGHT + 1):
-        cost = sum(c for n, c in pairs.items() if n <= x) + sum(c for n, c in scans.items() if 100 * n >= percent * (x + 1))
+    best, least, light = 0, sum(scans.values()), 0.0
+    by_size = sorted(scans)
+    left = np.concatenate([np.cumsum([scans[n] for n in by_size][::-1])[::-1], [0.0]])
+    for x in sorted({*pairs, *scans}):
+        light += pairs.get(x, 0.0)
+        # Singles are scanned by sizes n with 100 n >= percent (x + 1).
+        cost = light + left[bisect_left(by_size, -(-percent * (x + 1) // 100))]
         if cost < least:
             best, least = x, cost
     return best
 
 
-def measured(rows: DataFrame, percent: int) -> int:
-    """The boundary by the lists of one key in 64, over all rows."""
-    some = written(listed(rows, percent, None, lambda k: k % 64 == 0), "sampled")
-    length = some.groupBy("key", "light").agg(F.count("*").alias("c"))
-    size = F.least("n", F.lit(LARGEST_LIGHT * 2)).alias("n")
-    cost = some.join(length, ["key", "light"]).groupBy("light", size).agg(F.sum("c").alias("c")).collect()
-    return boundary(*({r["n"]: float(r["c"]) for r in cost if r["light"] == kind} for kind in (True, False)), percent)
+def measured(rows: DataFrame, percent: int, first: int = FIRST_LIGHT) -> int:
+    """The boundary by the lists of one key in 64, over all rows.
+
+    Any size may be the boundary. Subsets are listed up to the size `first`; larger sets count with
+    what they cost at least, each subset meeting its own row. Only where a boundary could pay even so
+    are larger sets listed, up to twice that size, and so on. One number for each size is collected.
+    """
+    many = {r["n"]: r["c"] for r in rows.filter("n > 0").groupBy("n").agg(F.count("*").alias("c")).collect()}
+    while True:
+        some = written(listed(rows, percent, None, lambda k: k % SAMPLED == 0, first), "sampled")  # noqa: B023
+        length = some.groupBy("key", "light").agg(F.count("*").alias("c"))
+        cost = some.join(length, ["key", "light"]).groupBy("light", "n").agg(F.sum("c").alias("c")).collect()
+        pairs, scans = ({r["n"]: float(r["c"]) for r in cost if r["light"] == kind} for kind in (True, False))
+        for n, c in many.items():
+            if n > first and n * (100 - percent) >= percent:
+                pairs[n] = c * subsets(n, percent) / SAMPLED
+        x = boundary(pairs, scans, percent)
+        if x <= first:
+            return x
+        first = 2 * x
 
 
 def bit_map(values: DataFrame, name: str, bits: int) -> np.ndarray:
