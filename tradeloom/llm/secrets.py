@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.llm.common import slices, written
+from tradeloom.llm.common import free, slices, written
 
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -154,20 +154,21 @@ def mask(docs: DataFrame, by: str = "<secret>", reach: int = 200) -> DataFrame:
     All columns stay, `n_chars` follows the new text where there is one. Only texts with spans are
     looked up, and no document is dropped.
     """
-    spans = find_secrets(docs, reach).filter(F.size("spans") > 0)
-    spans = spans.groupBy("scope", "scope2").agg(F.first("spans").alias("_spans")).withColumnsRenamed({"scope": "_r1", "scope2": "_r2"})
-    keyed = docs.withColumns({"_scope": scope_of("text")[0], "_scope2": scope_of("text")[1]})
-    rows = keyed.join(spans, (F.col("_scope") == F.col("_r1")) & (F.col("_scope2") == F.col("_r2")), "left")
+    scope, scope2, r1, r2, spans, text = free(docs, "_scope", "_scope2", "_r1", "_r2", "_spans", "_text")
+    found = find_secrets(docs, reach).filter(F.size("spans") > 0)
+    found = found.groupBy("scope", "scope2").agg(F.first("spans").alias(spans)).withColumnsRenamed({"scope": r1, "scope2": r2})
+    keyed = docs.withColumns({scope: scope_of("text")[0], scope2: scope_of("text")[1]})
+    rows = keyed.join(found, (F.col(scope) == F.col(r1)) & (F.col(scope2) == F.col(r2)), "left")
     names = docs.columns
 
     @F.pandas_udf(T.StringType())
     def cut(text, spans):
         return text.combine(spans, lambda t, s: t if s is None or t is None else replaced(t, s, by))
 
-    new = rows.withColumn("_text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans")))
-    size = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast("long")) if "n_chars" in names else None
+    new = rows.withColumn(text, F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut("text", spans)))
+    size = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long")) if "n_chars" in names else None
     return new.select(*[
-        F.col("_text").alias("text") if c == "text" else size.alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in names])
+        F.col(text).alias("text") if c == "text" else size.alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in names])
 
 
 def replaced(text: str, spans, by: str) -> str:
