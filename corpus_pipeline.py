@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import jaccard, mixing, queries, secrets, toxicity
-from tradeloom.llm.common import table, written
+from tradeloom.llm.common import free, table, written
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +31,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = jaccard.grouped(docs, n=5, percent=80).filter(F.col("doc_id").isNotNull())
     first = found.filter("n_shingles > 0").groupBy("group").agg(F.min(F.struct("doc_id", "th")).alias("f")).select("f.doc_id", "f.th")
-    keep = first.unionByName(found.filter("n_shingles = 0").select("doc_id", "th").distinct()).toDF("doc_id", "_th")
-    rows = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string"))).join(keep, ["doc_id", "_th"], "left_semi")
-    return rows.dropDuplicates(["doc_id", "_th"]).select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    (th,) = free(docs, "_th")
+    keep = first.unionByName(found.filter("n_shingles = 0").select("doc_id", "th").distinct()).toDF("doc_id", th)
+    rows = docs.withColumn(th, F.xxhash64(F.col("text").cast("string"))).join(keep, ["doc_id", th], "left_semi")
+    return rows.dropDuplicates(["doc_id", th]).select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +48,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat doc_id, source and text are one document of their joint size; when it is
     taken, all of them are.
     """
-    key = [F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.xxhash64("text").alias("_t")]
-    sized = docs.select(*key, mixing.n_words(F.col("text")).alias("size")).groupBy("_i", "_s", "_t").agg(F.sum("size").alias("size"))
-    taken = mixing.mix(written(sized.select(F.struct("_i", "_t").alias("doc_id"), F.col("_s").alias("source"), "size"), "sizes"))
-    taken = taken.filter("copies > 0").select("doc_id._i", "doc_id._t", F.col("source").alias("_s"), F.col("copies").alias("_n"))
-    same = docs["doc_id"].eqNullSafe(F.col("_i")) & docs["source"].eqNullSafe(F.col("_s")) & (F.xxhash64(docs["text"]) == F.col("_t"))
-    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.expr("array_repeat(0, cast(_n as int))")))
+    i, src, th, n, copy = free(docs, "_i", "_s", "_t", "_n", "_copy")
+    key = [F.col("doc_id").alias(i), F.col("source").alias(src), F.xxhash64("text").alias(th)]
+    sized = docs.select(*key, mixing.n_words(F.col("text")).alias("size")).groupBy(i, src, th).agg(F.sum("size").alias("size"))
+    taken = mixing.mix(written(sized.select(F.struct(i, th).alias("doc_id"), F.col(src).alias("source"), "size"), "sizes"))
+    taken = taken.filter("copies > 0").select(f"doc_id.{i}", f"doc_id.{th}", F.col("source").alias(src), F.col("copies").alias(n))
+    same = docs["doc_id"].eqNullSafe(F.col(i)) & docs["source"].eqNullSafe(F.col(src)) & (F.xxhash64(docs["text"]) == F.col(th))
+    rows = docs.join(taken, same).withColumn(copy, F.explode(F.expr(f"array_repeat(0, cast({n} as int))")))
     return rows.select(docs.columns)
 
 
