@@ -195,21 +195,27 @@ def measured(rows: DataFrame, percent: int, first: int = FIRST_LIGHT) -> int:
 
     Any size may be the boundary. Subsets are listed up to the size `first`; larger sets count with
     what they cost at least, each subset meeting its own row. Only where a boundary could pay even so
-    are larger sets listed, up to twice that size, and so on. One number for each size is collected.
+    are larger sets listed, up to twice that size, and so on; then of so few keys that about one row a
+    set is listed. One number for each size is collected.
     """
     many = {r["n"]: r["c"] for r in rows.filter("n > 0").groupBy("n").agg(F.count("*").alias("c")).collect()}
-    while True:
-        some = written(listed(rows, percent, None, lambda k: k % SAMPLED == 0, first), "sampled")  # noqa: B023
+    fewest = {n: c * subsets(n, percent) / SAMPLED for n, c in many.items() if n * (100 - percent) >= percent}
+
+    def met(one_in: int) -> list[dict[int, float]]:
+        """Rows met in the lists of subsets and of single n-grams, by size, as one key in `SAMPLED` would meet them."""
+        some = written(listed(rows, percent, None, lambda k: k % one_in == 0, first), "sampled")
         length = some.groupBy("key", "light").agg(F.count("*").alias("c"))
         cost = some.join(length, ["key", "light"]).groupBy("light", "n").agg(F.sum("c").alias("c")).collect()
-        pairs, scans = ({r["n"]: float(r["c"]) for r in cost if r["light"] == kind} for kind in (True, False))
-        for n, c in many.items():
-            if n > first and n * (100 - percent) >= percent:
-                pairs[n] = c * subsets(n, percent) / SAMPLED
-        x = boundary(pairs, scans, percent)
+        return [{r["n"]: r["c"] * one_in / SAMPLED for r in cost if r["light"] == kind} for kind in (True, False)]
+
+    pairs, scans = met(SAMPLED)
+    while True:
+        x = boundary({**{n: c for n, c in fewest.items() if n > first}, **pairs}, scans, percent)
         if x <= first:
             return x
         first = 2 * x
+        one_in = SAMPLED * max(1, round(sum(c for n, c in fewest.items() if n <= first) / max(1, sum(many.values()))))
+        pairs = met(one_in)[0]
 
 
 def bit_map(values: DataFrame, name: str, bits: int) -> np.ndarray:
