@@ -136,6 +136,29 @@ def split_files(spark, sf):
     return spark.read.parquet(folder)
 
 
+@query("capped_files", _OWNED_DAYS)
+def capped_files(spark, sf):
+    """The same in files of at most 64 KB, whatever the rows' sizes."""
+    folder = new_folder(spark, "capped")
+    sinks.write_capped(_owned_orders(spark, sf), folder, 64 << 10)
+    assert max(r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).groupBy().max("length").collect()) <= 64 << 10
+    return landing.good(landing.staged_text(spark, folder, "owner_code string, id long, amount double")).drop("piece")
+
+
+@query("split_pages", f"""SELECT 'good' AS side, CAST(o_orderkey AS VARCHAR) AS id, o_custkey AS quantity FROM orders WHERE o_orderkey % 5 <> 0
+    UNION ALL SELECT 'bad', CAST(o_orderkey AS VARCHAR), NULL FROM orders WHERE o_orderkey % 5 = 0""")
+def split_pages(spark, sf):
+    """Pages of which each fifth cannot be read: parsed once, both kinds kept in folders of their own."""
+    folder = new_folder(spark, "split-pages")
+    page = "'{{\"items\":[{{\"id\":\"' || o_orderkey || '\",\"quantity\":' || if(o_orderkey % 5 = 0, '[', '') || o_custkey || '}}]}}'".format()
+    table(spark, sf, "orders").selectExpr(f"{page} as value").write.text(f"{folder}/landed")
+    landing.split(landing.pages(spark, f"{folder}/landed", "erp_stock", lines=True), f"{folder}/good", f"{folder}/bad")
+    good = spark.read.parquet(f"{folder}/good").select(F.lit("good").alias("side"), F.explode("items").alias("i"))
+    bad = spark.read.parquet(f"{folder}/bad").select(
+        F.lit("bad").alias("side"), F.regexp_extract(landing.CORRUPT, '"id":"([0-9]+)"', 1).alias("id"), F.lit(None).cast("bigint").alias("quantity"))
+    return good.select("side", F.col("i.id").alias("id"), F.col("i.quantity").cast("bigint").alias("quantity")).unionByName(bad)
+
+
 @query("exported_report", f"""SELECT owner_code AS "Организация", CAST(id AS VARCHAR) AS "Номер строки",
     CAST(amount AS VARCHAR) AS "Сумма продаж (возвратов)" FROM ({_OWNED_DAYS})""")
 def exported_report(spark, sf):

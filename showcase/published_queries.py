@@ -22,7 +22,7 @@ from showcase.fact_queries import (
 from showcase.feed_queries import STOCK_DAY
 from showcase.registry import ORACLES, broken, fails, new_folder, query, table
 from showcase.state_queries import request_log
-from tradeloom.operators import partials
+from tradeloom.operators import lookup, partials
 from tradeloom.plans import daily, facts
 from tradeloom.sources import published
 
@@ -198,3 +198,23 @@ def feed_counts_folded(spark, sf):
         if n == 1:
             partials.fold(spark, path, partials.count_merge)
     return partials.count_merge(partials.parts(spark, path))
+
+
+@query("missing_keys", """
+    SELECT count(*) AS missing_rows, min(l_partkey)::VARCHAR AS first_key, max(l_partkey)::VARCHAR AS last_key, 'stopped' AS load
+    FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 3)""")
+def missing_keys(spark, sf):
+    """Lines are looked up among parts of which some are missing: the load is stopped with a report of all of them."""
+    path = new_folder(spark, "looked-up")
+    lines = table(spark, sf, "lineitem").selectExpr("l_partkey as sku", "l_quantity as quantity", "l_linestatus as status")
+    dim = table(spark, sf, "part").filter("p_size > 3").selectExpr("p_partkey as sku", "p_brand as brand")
+    rows, report = lookup.matched(lines, dim, ["sku"], examples=1)
+    published.publish(spark.createDataFrame([], rows.schema), path, ["status"])
+    try:
+        published.publish(rows, path, ["status"], check=report.check)
+        load = "published"
+    except lookup.MissingKeys:
+        load = "stopped" if not published.read(spark, path).count() else "half published"
+    lost = lookup.missing(lines, dim, ["sku"])
+    return lost.agg(F.lit(report.get()["rows"]).alias("missing_rows"), F.min("sku").cast("string").alias("first_key"),
+                    F.max("sku").cast("string").alias("last_key"), F.lit(load).alias("load"))

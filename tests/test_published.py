@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tradeloom.operators import lookup
 from tradeloom.plans import facts
 from tradeloom.sources import published
 
@@ -166,3 +167,17 @@ def test_ads_of_the_window(spark, tmp_path, rows):
     facts.load_ads(path, some((1, 1), (4, 2), (5, 3)), date(2024, 1, 31), days=60)
     facts.load_ads(path, some((1, 8), (5, 9)), date(2024, 5, 10), days=60)
     assert rows(published.read(spark, path).selectExpr("month(report_date)", "n")) == [(1, 1), (5, 9)]
+
+
+def test_a_load_with_missing_keys_names_them_and_publishes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    left = frame(spark, ("a", 1, 1), ("b", 1, 2), ("x", 1, 3), ("x", 2, 4), ("y", 1, 5), (None, 1, 6))
+    dim = spark.createDataFrame([("a", "A"), ("b", "B")], "owner string, name string")
+    found, report = lookup.matched(left.filter("owner in ('a', 'b')"), dim, ["owner"])
+    published.publish(found, path, ["owner"], check=report.check)
+    assert report.get() == {"rows": 0, "keys": 0, "examples": []}
+    found, report = lookup.matched(left, dim, ["owner"])
+    with pytest.raises(lookup.MissingKeys, match="4 rows of about 3 keys have no match for owner, such as"):
+        published.publish(found, path, ["owner"], check=report.check)
+    assert report.get()["examples"] and set(report.get()["examples"]) <= {"x", "y", "(null)"}
+    assert published.versions(spark, path) == [1] and published.read(spark, path).count() == 2

@@ -125,3 +125,28 @@ def test_split_files_lose_no_row(spark, tmp_path):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_capped_files(spark, tmp_path, rows):
+    path, limit = str(tmp_path / "c"), 1000
+    sizes = [1 + i * 7 % 60 for i in range(900)] + [90, 99, 100, 101, 300, 499, 500, 501, 990, 994] * 6
+    data = [(i, "é" * (n // 2) if i % 3 == 0 else "x" * n) for i, n in enumerate(sizes)] + [(2000, None), (2001, ""), (2002, 'a\t"b')]
+    df = spark.createDataFrame(data, "id int, t string").repartition(5)
+    sinks.write_capped(df, path, limit)
+    found = [f.stat().st_size for f in Path(path).rglob("*.txt")]
+    assert max(found) <= limit and sum(found) > 10 * limit
+    # Most files are well filled where rows are small.
+    assert sum(s > 800 for s in found) >= 20
+    back = landing.staged_text(spark, path, "id int, t string").filter("_corrupt is null")
+    assert rows(back, "id", "t") == sorted(((i, t or None) for i, t in data), key=str)
+    with pytest.raises(Exception, match="larger than 50 bytes"):
+        sinks.write_capped(df, str(tmp_path / "d"), 50)
+    sinks.write_capped(df.limit(0), str(tmp_path / "e"), 50)
+    assert not list((tmp_path / "e").rglob("*.txt")) or sum(f.stat().st_size for f in (tmp_path / "e").rglob("*.txt")) == 0
+
+
+def test_readable_and_unreadable_pages_in_folders(spark, land, tmp_path, rows):
+    folder = land("x", {"items": [{"id": "1", "quantity": 2}]}, '{"items": [broken', {"items": []})
+    landing.split(landing.pages(spark, folder, "erp_stock"), str(tmp_path / "good"), str(tmp_path / "bad"))
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 2
+    assert [r[0].split("|")[2] for r in rows(spark.read.parquet(str(tmp_path / "bad")), "page")] == ["p1.json"]

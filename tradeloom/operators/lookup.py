@@ -6,7 +6,7 @@ measured size is below the threshold and otherwise shuffle, splitting hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradeloom.functions.text import is_blank, name_id
@@ -22,6 +22,50 @@ def require(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return joined.filter(F.coalesce(F.col(_HIT), problem)).drop(_HIT)
 
 
+class MissingKeys(LookupError):
+    """Rows of a finished load had no match."""
+
+
+class Report:
+    """What a `matched` lookup found missing; known when its rows have been written.
+
+    rows: rows without a match; keys: about how many different keys they had (exact below some
+    hundred); examples: some of the keys, at most as many as were asked for, in order.
+    """
+
+    def __init__(self, on: list[str], seen: Observation):
+        self.on, self._seen = on, seen
+
+    def get(self) -> dict:
+        """Waits for the rows to be written, once."""
+        got = self._seen.get
+        some = sorted({v for k, v in got.items() if k.startswith("example") and v is not None})
+        return {"rows": got["rows"], "keys": max(got["keys"], len(some)), "examples": some}
+
+    def check(self) -> None:
+        """Fail with all that is known, where anything was missing."""
+        got = self.get()
+        if got["rows"]:
+            raise MissingKeys(f"{got['rows']} rows of about {got['keys']} keys have no match for {'/'.join(self.on)}, "
+                              f"such as {', '.join(got['examples'])}")
+
+
+def matched(left: DataFrame, right: DataFrame, on: list[str], examples: int = 10) -> tuple[DataFrame, Report]:
+    """Inner lookup of a unique key, and a report of the left rows that found none.
+
+    The rows are counted in the pass that writes them. Examples are the least key of each of
+    `examples` hash classes, so the report's size does not grow with the data. Hand `Report.check` to
+    `published.publish`, and a load with missing keys names them and publishes nothing. The report is
+    that of the first action on the rows.
+    """
+    joined = left.join(right.withColumn(_HIT, F.lit(True)), on, "left")
+    key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("(null)")) for c in on])
+    lost, seen = F.when(F.col(_HIT).isNull(), key), Observation()
+    kinds = [F.min(F.when(F.pmod(F.xxhash64(lost), F.lit(examples)) == i, lost)).alias(f"example{i}") for i in range(examples)]
+    joined = joined.observe(seen, F.count(lost).alias("rows"), F.approx_count_distinct(lost).alias("keys"), *kinds)
+    return joined.filter(F.col(_HIT)).drop(_HIT), Report(on, seen)
+
+
 def missing(left: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
     """Distinct keys of `left` that the dimension does not hold yet."""
     return left.select(*on).distinct().join(dim.select(*on), on, "left_anti")

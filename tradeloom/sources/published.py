@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,13 +93,16 @@ def _any_of(slices: list[dict], keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, one, F.lit(False))
 
 
-def publish(df: DataFrame, path: str, keys: list[str], gone: Column | None = None, slices: list[dict] | None = None) -> int:
+def publish(df: DataFrame, path: str, keys: list[str], gone: Column | None = None, slices: list[dict] | None = None,
+            check: Callable[[], None] | None = None) -> int:
     """Publish the rows of `df` as the new content of their slices; return the version.
 
     Slices that `gone`, a condition over the keys, holds for and those listed in `slices` are
     cleared as well where the load brings no rows for them. All others stay as they are and are not
     read. Rows are spread over writers by their slice; AQE gives a large slice several of them and puts
     small ones together. A null key is a slice of its own, and so is an empty text, which reads as null.
+
+    `check` runs when the rows are written and nothing is published yet; what it raises stops the load.
     """
     spark, known = df.sparkSession, versions(df.sparkSession, path)
     number = known[-1] + 1 if known else 1
@@ -108,6 +112,8 @@ def publish(df: DataFrame, path: str, keys: list[str], gone: Column | None = Non
     load = f"{number:012d}-{uuid.uuid4().hex}"
     target = f"{path}/data/{LOAD}={load}"
     df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(target)
+    if check is not None:
+        check()
 
     written = spark.read.schema(df.schema).parquet(target).select(*keys).distinct()
     label = F.lit(load).alias(LOAD, metadata={_SCHEMA: df.schema.json()})

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -94,6 +94,30 @@ def write_split(df: DataFrame, path: str, rows_per_file: int, empty: str | None
         raise ValueError(empty)
 
 
+def write_capped(df: DataFrame, path: str, file_bytes: int = 30 << 20, sep: str = "\t") -> None:
+    """Delimited text without header in files of at most `file_bytes` bytes; every row lands in one of them.
+
+    A row's size is that of its encoded line. Within each partition of `df` the sizes are summed up
+    as the rows come, and the sum numbers the pieces, so no task sees more than the rows of some
+    partitions and none of them is counted first. Rows are cut apart by size, as a piece may pass its
+    mark by one row: those of up to a tenth of the limit go into pieces of nine tenths, those of up to
+    a half into pieces of a half, and larger ones lie alone. A row above the limit fails the job.
+    """
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"sep": sep, "escape": '"', "emptyValue": "", "nullValue": ""})
+    sized = df.select(line.alias("value"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    size = F.octet_length("value").cast("long") + 1
+    problem = F.raise_error(F.concat(F.lit(f"a row is larger than {file_bytes} bytes: "), F.left("value", F.lit(200)))).cast("long")
+    sized = sized.withColumn("size", F.when(size <= file_bytes, size).otherwise(problem))
+    kind = F.when(F.col("size") * 10 <= file_bytes, 0).when(F.col("size") * 2 <= file_bytes, 1).otherwise(2)
+    before = Window.partitionBy("part", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sized.withColumn("kind", kind).withColumns({
+        "sum": F.coalesce(F.sum("size").over(before), F.lit(0)), "nr": F.row_number().over(Window.partitionBy("part", "kind").orderBy("at"))})
+    step = F.when(F.col("kind") == 0, file_bytes - file_bytes // 10).otherwise(file_bytes - file_bytes // 2)
+    number = F.when(F.col("kind") == 2, F.col("nr")).otherwise(F.floor(F.col("sum") / step))
+    named = sums.select("value", F.concat_ws("-", "part", "kind", number).alias("piece"))
+    named.write.mode("overwrite").partitionBy("piece").text(path)
+
+
 def rows_per_file(row_bytes: int, file_bytes: int = 30 << 20) -> int:
     """Rows of about `row_bytes` that make a file of about `file_bytes`."""
     return max(1, file_bytes // max(1, row_bytes))
