@@ -11,18 +11,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.files import report_period, report_scheme
+from tradeloom.sources import blocks
 from tradeloom.sources.schemas import AD_SHEET, FEEDS
 
 CORRUPT = "_corrupt"
 
 
-def pages(spark: SparkSession, path: str, feed: str, lines: bool = False) -> DataFrame:
+def pages(spark: SparkSession, path: str, feed: str, lines: bool = False, split: bool = False) -> DataFrame:
     """Rows of a JSON feed plus `page`, which orders them: see `ordinal`.
 
     Set `lines` where a file holds one document per line; such files are split
-    between tasks. Unreadable documents keep their text in `_corrupt`.
+    between tasks. Set `split` for large files of one array; they are split as well, but owner folders
+    become no column. Unreadable documents keep their text in `_corrupt`.
     """
     schema, whole_file = FEEDS[feed]
+    if split:
+        return blocks.json_rows(spark, path, schema, CORRUPT)
     reader = spark.read.schema(f"{schema}, {CORRUPT} string").options(
         mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine=str(whole_file and not lines).lower()
     )
@@ -68,9 +72,13 @@ def strict(df: DataFrame) -> DataFrame:
     return df.filter(F.when(F.col(CORRUPT).isNull(), True).otherwise(problem.cast("boolean"))).drop(CORRUPT)
 
 
-def kz_stock_file(spark: SparkSession, path: str) -> DataFrame:
-    """KZ stock export: comma separated, header with Russian names, all text."""
-    return spark.read.options(header="true", quote='"', escape='"', multiLine="true").csv(path)
+def kz_stock_file(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
+    """KZ stock export: comma separated, header with Russian names, all text.
+
+    With `split`, a large file is read by several tasks; the plain reader gives the names only.
+    """
+    whole = spark.read.options(header="true", quote='"', escape='"', multiLine="true").csv(path)
+    return blocks.delimited(spark, path, whole.columns) if split else whole
 
 
 def labelled_section(spark: SparkSession, path: str, section: int, schema: str, sep: str = ";") -> DataFrame:
