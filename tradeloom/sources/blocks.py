@@ -5,17 +5,22 @@ byte: whether a quote opens or closes a text depends on all bytes before it. Her
 pieces at a separator, which Spark does for every byte block by itself, and each piece is summed up by
 what it does to a reader that comes to it outside a quoted text and to one that comes inside. These
 effects are put together in order, first the pieces of a block, then the blocks of a file (one row a
-block), so every piece learns how a reader of the whole file comes to it. Records that lie in one piece
-are done then; only the pieces of the others are grouped by their record.
+block), so every piece learns how a reader of the whole file comes to it. The files are read three times:
+for the effects of the blocks, for the records that cross blocks (at most one for each) and for all others,
+which are put together where their block already lies. What the first two find is small and written to
+the shared folder.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tradeloom.session import shared_dir
+
 _PLACE = ["_file", "_block", "_at"]
 
 
@@ -26,6 +31,13 @@ def _pieces(spark: SparkSession, path: str, sep: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_at"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows by way of a written table: what they come from is computed once."""
+    folder = f"{shared_dir(df.sparkSession)}/blocks-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def _turned(df: DataFrame, within: list[str], order: str) -> DataFrame:
     """Add `_from_out` and `_from_in`: the state before a row, if the group was entered outside or inside.
 
@@ -43,17 +55,27 @@ def _turned(df: DataFrame, within: list[str], order: str) -> DataFrame:
     return df.withColumns({"_from_out": state(False), "_from_in": state(True)}).drop("_turns", "_set")
 
 
-def _entered(df: DataFrame, *sums: Column) -> DataFrame:
+def _entered(df: DataFrame, adds: dict[str, Column]) -> DataFrame:
     """Add `_inside`: whether a reader of the whole file comes to the piece inside a quoted text.
 
-    `sums` are made per block, for a block that is entered outside and inside, and come with the block.
+    `adds` names what a piece adds to a running number by the state it is entered in, "out" or "in"; with it come
+    `_sum`, that number before the piece, and `_final`, whether the block is the last one of its file.
     """
+    own = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
     df = _turned(df, ["_file", "_block"], "_at")
     leaves = lambda c: F.when(F.col(c), F.col("_in")).otherwise(F.col("_out"))
-    blocks = df.groupBy("_file", "_block").agg(
-        F.max_by(leaves("_from_out"), "_at").alias("_out"), F.max_by(leaves("_from_in"), "_at").alias("_in"), *sums)
-    entry = _turned(blocks, ["_file"], "_block").drop("_out", "_in", "_from_in").withColumnRenamed("_from_out", "_entry")
-    return df.join(entry, ["_file", "_block"]).withColumn("_inside", F.when(F.col("_entry"), F.col("_from_in")).otherwise(F.col("_from_out")))
+    added = lambda c: F.when(F.col(c), adds["in"]).otherwise(adds["out"])
+    blocks = _kept(df.groupBy("_file", "_block").agg(
+        F.max_by(leaves("_from_out"), "_at").alias("_out"), F.max_by(leaves("_from_in"), "_at").alias("_in"),
+        F.sum(added("_from_out")).alias("_sum_out"), F.sum(added("_from_in")).alias("_sum_in")))
+    entry = _turned(blocks, ["_file"], "_block").withColumnRenamed("_from_out", "_entry")
+    entry = entry.withColumn("_all", F.when(F.col("_entry"), F.col("_sum_in")).otherwise(F.col("_sum_out"))).select(
+        "_file", "_block", "_entry", zero(F.sum("_all").over(up)).alias("_base"),
+        (F.col("_block") == F.max("_block").over(Window.partitionBy("_file"))).alias("_final"))
+    df = df.join(entry, ["_file", "_block"]).withColumn("_inside", F.when(F.col("_entry"), F.col("_from_in")).otherwise(F.col("_from_out")))
+    return df.withColumn("_sum", F.col("_base") + zero(F.sum(added("_inside")).over(own)))
 
 
 def _records(df: DataFrame, sep: str) -> DataFrame:
@@ -61,19 +83,26 @@ def _records(df: DataFrame, sep: str) -> DataFrame:
 
     `_head` tells the piece of a header, `_end` the last piece of a file; a record has what its pieces have.
     """
-    own = Window.partitionBy("_file", "_block").orderBy("_at")
-    begins = F.when(F.col("_start"), F.struct(*_PLACE))
-    df = df.withColumns({"_record": F.last(begins, ignorenulls=True).over(own), "_alone": F.col("_start") & F.lead("_start").over(own)})
-    # The pieces at a block's head belong to the last record that started in the blocks before: one row a block.
-    ends = df.groupBy("_file", "_block").agg(F.max(begins).alias("_last"))
-    up = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.withColumn("_carried", F.last("_last", ignorenulls=True).over(up)).drop("_last")
-    alone = df.filter("_alone").select(*_PLACE, "value", "_head", "_end")
-    parts = df.filter("_alone is null or not _alone").join(ends, ["_file", "_block"], "left") \
-        .select(F.coalesce("_record", "_carried").alias("_record"), F.struct("_block", "_at", "value").alias("_part"), "_head", "_end")
-    texts = F.transform(F.array_sort(F.collect_list("_part")), lambda p: p["value"])
-    whole = parts.groupBy("_record").agg(F.array_join(texts, sep).alias("value"), F.max("_head").alias("_head"), F.max("_end").alias("_end"))
-    return alone.unionByName(whole.select("_record.*", "value", "_head", "_end"))
+    block = Window.partitionBy("_file", "_block")
+    begins = F.when(F.col("_start"), F.col("_at"))
+    df = df.withColumns({"_from": F.max(begins).over(block.orderBy("_at")), "_last": F.max(begins).over(block)}) \
+        .select(*_PLACE, "value", "_head", "_end", "_from", "_last")
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_at", "value"))), lambda p: p["value"]), sep)
+    whole = [texts.alias("value"), F.max("_head").alias("_head"), F.max("_end").alias("_end")]
+    inner = df.filter("_from < _last").groupBy("_file", "_block", F.col("_from").alias("_at")).agg(*whole)
+    # The pieces at a block's head belong to the last record that began in the blocks before.
+    crossing = _kept(df.filter("_from is null or _from = _last"))
+    ends = crossing.filter("_last is not null").select("_file", F.col("_block").alias("_began"), F.col("_last").alias("_from")).distinct()
+    heads = crossing.filter("_from is null").select("_file", "_block").distinct()
+    up = Window.partitionBy("_file").orderBy("_began", "_kind").rowsBetween(Window.unboundedPreceding, -1)
+    marks = ends.withColumn("_kind", F.lit(1)).unionByName(
+        heads.select("_file", F.col("_block").alias("_began"), F.lit(None).cast("long").alias("_from"), F.lit(0).alias("_kind")))
+    record = F.struct(F.col("_began").alias("_block"), F.col("_from").alias("_at"))
+    carried = marks.withColumn("_carried", F.last(F.when(F.col("_kind") == 1, record), ignorenulls=True).over(up)) \
+        .filter("_kind = 0").select("_file", F.col("_began").alias("_block"), "_carried")
+    own = F.when(F.col("_from").isNotNull(), F.struct("_block", F.col("_from").alias("_at")))
+    outer = crossing.join(carried, ["_file", "_block"], "left").withColumn("_record", F.coalesce(own, "_carried"))
+    return inner.unionByName(outer.groupBy("_file", "_record").agg(*whole).select("_file", "_record.*", "value", "_head", "_end"))
 
 
 def delimited_records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -91,7 +120,7 @@ def delimited_records(spark: SparkSession, path: str, sep: str = ",") -> DataFra
     lines = lines.withColumns({"_out": F.col("value").rlike(rf"\A{rest}\z"), "_in": F.col("value").rlike(rf'\A{text}(?:"[^{d}]*+{d}{rest})?\z')})
     before = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.count(F.when(F.col("value") != "", F.lit(1))).over(before), F.lit(0))
-    lines = _entered(lines).withColumns({
+    lines = _entered(lines, {"out": F.lit(0), "in": F.lit(0)}).withColumns({
         "_start": ~F.col("_inside"), "_head": (F.col("_block") == 0) & (earlier == 0) & (F.col("value") != ""), "_end": F.lit(False)})
     return _records(lines, "\n").filter("value <> ''").drop("_end")
 
@@ -127,18 +156,9 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
     pieces = pieces.withColumns({"_out": left_open(F.col("_bare")), "_in": F.coalesce(left_open(F.col("_tail")), F.lit(True))})
     pieces = pieces.withColumns({
         "_d_out": depth(F.col("_bare"), F.col("_out")), "_d_in": F.coalesce(depth(F.col("_tail"), F.col("_in")), F.lit(0))}).drop("_bare", "_tail")
-    adds = lambda c: F.when(F.col(c), F.col("_d_in")).otherwise(F.col("_d_out"))
-    known = _entered(pieces, F.sum(adds("_from_out")).alias("_sum_out"), F.sum(adds("_from_in")).alias("_sum_in"))
-    block = F.when(F.col("_entry"), F.col("_sum_in")).otherwise(F.col("_sum_out"))
-    up = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    base = known.groupBy("_file", "_block").agg(F.first(block).alias("_adds")).select(
-        "_file", "_block", F.coalesce(F.sum("_adds").over(up), F.lit(0)).alias("_base"),
-        (F.col("_block") == F.max("_block").over(Window.partitionBy("_file"))).alias("_final"))
-    own = Window.partitionBy("_file", "_block").orderBy("_at")
-    depth_here = F.coalesce(F.sum(adds("_inside")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    known = known.withColumns({"_depth": depth_here, "_next": F.lead("_at").over(own)}).join(base, ["_file", "_block"])
-    known = known.withColumns({"_start": ~F.col("_inside") & (F.col("_base") + F.col("_depth") <= 1), "_head": F.lit(False),
-                               "_end": F.col("_final") & F.col("_next").isNull()})
+    known = _entered(pieces, {"out": F.col("_d_out"), "in": F.col("_d_in")})
+    following = F.lead("_at").over(Window.partitionBy("_file", "_block").orderBy("_at"))
+    known = known.withColumns({"_start": ~F.col("_inside") & (F.col("_sum") <= 1), "_head": F.lit(False), "_end": F.col("_final") & following.isNull()})
     whole = _records(known, "}")
     cut_off = F.col("_end") & F.col("value").rlike(r"\A[\x{feff}\s]*+[\[,]")  # an array does not end with a brace
     brace = F.when(cut_off, "").otherwise("}")
