@@ -52,15 +52,43 @@ def test_packed_query(spark, make):
     assert queries.packed(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_islands_beat_plain_best_fit(spark):
-    rng = np.random.default_rng(4)
-    sizes = np.concatenate([rng.integers(1, 2049, 3000), np.full(50, 2048), np.full(200, 700)])
+@pytest.mark.parametrize("sizes, saved", [
+    (np.random.default_rng(4).integers(300, 1000, 2000), 12),  # about three a bin: best fit leaves gaps
+    (np.concatenate([np.random.default_rng(4).integers(1, 2049, 1500), np.full(50, 2048), np.full(200, 700)]), 0),
+])
+def test_islands_beat_plain_best_fit(spark, sizes, saved):
     items = spark.createDataFrame([(int(i), int(s)) for i, s in enumerate(sizes)], "item long, length long")
-    rows = packing.assign(items, shard_items=2000).join(items, "item").collect()
+    rows = packing.assign(items).join(items, "item").collect()
     assert len(rows) == len(sizes)
-    least = -(-int(sizes.sum()) // 2048)
-    used, plain = valid(rows), len(np.unique(packing.fresh(sizes, 2048, rng, 0.0)))
-    assert least <= used <= plain + 2
+    used, plain = valid(rows), len(np.unique(packing.fresh(sizes, 2048, np.random.default_rng(1), 0.0)))
+    assert packing.bound(sizes, 2048) <= used <= plain - saved
+
+
+def test_more_epochs_are_never_worse():
+    sizes, rng = np.random.default_rng(5).integers(300, 1000, 900), np.random.default_rng(1)
+    used = lambda p: int(p.max()) + 1
+    plain = packing.fresh(sizes, 2048, rng, 0.0)
+    first = packing.evolve(sizes, 2048, 1, [], steps=40)
+    guest = packing.evolve(sizes, 2048, 2, [], steps=40)
+    later = packing.evolve(sizes, 2048, 3, [first, guest], steps=40)
+    assert used(later) <= min(used(first), used(guest)) and max(used(first), used(guest)) <= used(plain)
+    assert used(later) < used(plain)
+
+
+def test_bound_against_all_packings():
+    def fewest(items, gaps, cap):
+        if not items:
+            return len(gaps)
+        tries = [fewest(items[1:], [*gaps[:i], g - items[0], *gaps[i + 1:]], cap) for i, g in enumerate(gaps) if g >= items[0]]
+        return min([*tries, fewest(items[1:], [*gaps, cap - items[0]], cap)])
+
+    rng = np.random.default_rng(8)
+    for cap in (10, 11):
+        for _ in range(60):
+            sizes = rng.integers(1, cap + 1, rng.integers(1, 7))
+            best, least = fewest([*sizes.tolist()], [], cap), packing.bound(sizes, cap)
+            assert -(-int(sizes.sum()) // cap) <= least <= best
+    assert packing.bound(np.array([], np.int64), 10) == 0
 
 
 def test_crossover_keeps_every_document():

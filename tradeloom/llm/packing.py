@@ -112,15 +112,43 @@ def fills(bin_of: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.bincount(bin_of, sizes)
 
 
+def bound(sizes: np.ndarray, cap: int) -> int:
+    """Bins that no solution can do without.
+
+    Items above half a bin lie apart. For each a up to half a bin, those above cap - a take no item of size a or more,
+    so the items from a to a half must go into what the other large ones leave or into further bins.
+    """
+    if not len(sizes):
+        return 0
+    number = np.bincount(sizes, minlength=cap + 1)
+    count, total = (np.concatenate([[0], np.cumsum(x)]) for x in (number, number * np.arange(cap + 1)))
+    a, half = np.arange(cap // 2 + 1), cap // 2 + 1  # below index i: sizes less than i
+    large = count[cap + 1] - count[half]
+    fitting = count[cap - a + 1] - count[half]
+    left = fitting * cap - (total[cap - a + 1] - total[half])
+    middle = total[half] - total[a]
+    return int(large + np.maximum(0, -(-(middle - left) // cap)).max())
+
+
 def fitness(bin_of: np.ndarray, sizes: np.ndarray, cap: int) -> float:
-    """Mean square fill: fewer bins are better, and of as many, the unevenly filled."""
-    return float(np.mean((fills(bin_of, sizes) / cap) ** 2))
+    """Mean of the eighth power of the fill, from 0 to 1: solutions of many full bins, whose crossing saves others."""
+    return float(np.mean((fills(bin_of, sizes) / cap) ** 8))
+
+
+def worth(bin_of: np.ndarray, sizes: np.ndarray, cap: int) -> float:
+    """Fewer bins are better, and of as many, the fitter ones."""
+    return fitness(bin_of, sizes, cap) - len(fills(bin_of, sizes)) if len(sizes) else 0.0
+
+
+def blurred(sizes: np.ndarray, rng: np.random.Generator, noise: float) -> np.ndarray:
+    """Decreasing order of sizes that are blurred by `noise`."""
+    return np.argsort(-sizes * (1 + noise * rng.random(len(sizes))), kind="stable")
 
 
 def fresh(sizes: np.ndarray, cap: int, rng: np.random.Generator, noise: float) -> np.ndarray:
-    """Best fit in decreasing order of sizes that are blurred by `noise`."""
+    """Best fit in decreasing order of blurred sizes."""
     bins = Bins(sizes, cap)
-    bins.fit(np.argsort(-sizes * (1 + noise * rng.random(len(sizes))), kind="stable"))
+    bins.fit(blurred(sizes, rng, noise))
     return bins.bin_of
 
 
@@ -128,33 +156,40 @@ def cross(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, cap: int, rng: np.ran
     """Child of `a` with well-filled bins of `b`.
 
     Bins of `a` that share a document with an injected bin go; their other documents are displaced
-    and, like those of the emptiest bins, put back by best fit, largest first.
+    and, like those of a share of the emptiest bins, put back by best fit, the largest about first. How
+    many bins go and how far the order is blurred is drawn anew for every child.
     """
     fill_a, fill_b = fills(a, sizes), fills(b, sizes)
-    full = np.flatnonzero(fill_b >= np.quantile(fill_b, 0.5))
+    full = np.flatnonzero(fill_b >= np.quantile(fill_b, 0.9))
     inject = np.zeros(len(fill_b), bool)
-    inject[rng.choice(full, max(1, len(full) // 8), replace=False)] = True
+    inject[rng.choice(full, max(1, len(full) // 2), replace=False)] = True
     new = inject[b]
     gone = np.zeros(len(fill_a), bool)
     gone[a[new]] = True
-    gone |= (fill_a < np.quantile(fill_a, 0.05)) | (rng.random(len(fill_a)) < 0.02)
+    gone |= (fill_a < np.quantile(fill_a, 0.3 * rng.random())) & (rng.random(len(fill_a)) < 0.7)
     bins = Bins(sizes, cap)
     bins.keep(b, np.flatnonzero(new))
     bins.keep(a, np.flatnonzero(~gone[a] & ~new))
     rest = np.flatnonzero(gone[a] & ~new)
-    bins.fit(rest[np.argsort(-sizes[rest], kind="stable")])
+    bins.fit(rest[blurred(sizes[rest], rng, 2 * rng.random())])
     return bins.bin_of
 
 
-def evolve(sizes: np.ndarray, cap: int, seed: int, elites: list[np.ndarray], size: int = 6, steps: int = 40) -> np.ndarray:
-    """Best solution of a steady population after `steps` crossovers, or at once when no bin can be saved."""
-    rng = np.random.default_rng(seed)
-    least = -(-int(sizes.sum()) // cap)
-    people = [*elites, *[fresh(sizes, cap, rng, 0.0 if i == 0 and not elites else 0.1 * i) for i in range(size - len(elites))]]
+def evolve(sizes: np.ndarray, cap: int, seed: int, elites: list[np.ndarray], size: int = 8, steps: int = 150) -> np.ndarray:
+    """Best solution met by a steady population in `steps` crossovers, or at once when no bin can be saved.
+
+    Never worse than any of `elites` nor, without them, than best fit decreasing.
+    """
+    rng, least = np.random.default_rng(seed), bound(sizes, cap)
+    people = list(elites)
+    for i in range(size - len(elites)):
+        people.append(fresh(sizes, cap, rng, 0.3 * i if not elites else 0.3 * (i + 1)))
+        if people[-1].max(initial=-1) + 1 <= least:
+            return people[-1]
     score = [fitness(p, sizes, cap) for p in people]
+    best = max(people, key=lambda p: worth(p, sizes, cap))
     for _ in range(steps):
-        best = int(np.argmax(score))
-        if people[best].max(initial=-1) + 1 <= least:
+        if best.max(initial=-1) + 1 <= least:
             break
         i, j = rng.choice(size, 2, replace=False)
         if score[i] < score[j]:
@@ -163,10 +198,11 @@ def evolve(sizes: np.ndarray, cap: int, seed: int, elites: list[np.ndarray], siz
         worst, got = int(np.argmin(score)), fitness(child, sizes, cap)
         if got > score[worst]:
             people[worst], score[worst] = child, got
-    return people[int(np.argmax(score))]
+            best = max(best, child, key=lambda p: worth(p, sizes, cap))
+    return best
 
 
-def assign(items: DataFrame, cap: int = 2048, shard_items: int = 16384, islands: int = 2, epochs: int = 2) -> DataFrame:
+def assign(items: DataFrame, cap: int = 2048, shard_items: int = 16384, islands: int = 3, epochs: int = 3) -> DataFrame:
     """(item, sequence_id, offset) for the rows (item, length) of `items`, lengths 1 to `cap`.
 
     Items of full length are sequences of their own. The others are dealt by a hash into shards of
@@ -189,7 +225,7 @@ def assign(items: DataFrame, cap: int = 2048, shard_items: int = 16384, islands:
             sizes = rows["length"].to_numpy(np.int64)
             elites = [rows[c].to_numpy(np.int64) for c in ("own", "guest") if rows[c].notna().all()]
             best = evolve(sizes, cap, int(key[0]) * 1000 + int(key[1]) * 10 + epoch, elites)
-            return rows[["item", "length", "shard", "island"]].assign(own=best, score=fitness(best, sizes, cap))
+            return rows[["item", "length", "shard", "island"]].assign(own=best, score=worth(best, sizes, cap))
 
         return step
 
