@@ -45,6 +45,55 @@ def test_em_finds_rules_that_fail_together():
     assert rules.fit({}) == ({}, pytest.approx(np.zeros((0, 2))), 0.5) or rules.fit({})[0] == {}
 
 
+def plain_em(votes, rounds):
+    """One document after the other, with plain sums and no patterns."""
+    q = []
+    for v in votes:
+        up, down = v.count("+"), v.count("-")
+        start = (up + 1) / (up + down + 2)
+        q.append(min(start, 0.2) if down else start)
+    for _ in range(rounds):
+        prior = (sum(q) + 1) / (len(q) + 2)
+        right = []
+        for r in range(len(votes[0])):
+            cast = [(v[r], p) for v, p in zip(votes, q) if v[r] != "."]
+            good = (sum(p for c, p in cast if c == "+") + 1) / (sum(p for _, p in cast) + 2)
+            bad = (sum(1 - p for c, p in cast if c == "-") + 1) / (sum(1 - p for _, p in cast) + 2)
+            right.append((bad, good))
+        new = []
+        for v in votes:
+            a, b = prior, 1 - prior
+            for c, (bad, good) in zip(v, right):
+                a *= {"+": good, "-": 1 - good, ".": 1}[c]
+                b *= {"+": 1 - bad, "-": bad, ".": 1}[c]
+            new.append(a / (a + b))
+        q = new
+    return q, right, prior
+
+
+@pytest.mark.parametrize("seed, rounds", [(0, 1), (1, 7), (2, 60)])
+def test_em_equals_plain_em(seed, rounds):
+    rng = np.random.default_rng(seed)
+    truth = rng.random(400) < 0.8
+    votes = ["".join(rng.choice(list("+-."), p=[.6, .1, .3] if t else [.2, .6, .2]) for _ in range(5)) for t in truth]
+    post, right, prior = rules.fit(dict(zip(*np.unique(votes, return_counts=True))), rounds)
+    want, want_right, want_prior = plain_em(votes, rounds)
+    assert np.allclose([post[v] for v in votes], want, atol=1e-6)
+    assert np.allclose(right, want_right, atol=1e-6) and prior == pytest.approx(want_prior, abs=1e-6)
+
+
+def test_accuracies_of_noisy_rules_are_found():
+    rng = np.random.default_rng(5)
+    truth, right = rng.random(20000) < 0.7, [0.95, 0.8, 0.7, 0.9]
+    votes = ["".join("." if rng.random() < 0.2 else "+" if (rng.random() < a) == t else "-" for a in right) for t in truth]
+    post, found, prior = rules.fit(dict(zip(*np.unique(votes, return_counts=True))), 500)
+    assert np.allclose(found, np.array(right)[:, None], atol=0.05) and abs(prior - 0.7) < 0.05
+    # Better than passing all rules, and than the majority of their votes.
+    judged = np.array([post[v] >= 0.5 for v in votes])
+    every, most = np.array(["-" not in v for v in votes]), np.array([v.count("+") > v.count("-") for v in votes])
+    assert (judged == truth).mean() > max((every == truth).mean(), (most == truth).mean())
+
+
 def test_edges(spark, make):
     got = rules.weak_quality(make(EDGES)).collect()
     assert len(got) == len(EDGES)
