@@ -26,6 +26,17 @@ def test_recall_and_scores(spark):
         assert abs(r["score"] - float(x[r["query_id"]] @ x[r["vec_id"]])) < 1e-9
 
 
+def test_rounds_of_queries_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x, ids = rng.standard_normal((300, 16)), np.arange(300)
+    center, turn = x.mean(0), ann.rotation(16)
+    args = (ids, ids, x, *ann.encode(x, center, turn), ids[:50], ids[:50], x[:50], center, turn, 5, 9.0)
+    once = ann.nearest_in_block(*args)
+    monkeypatch.setattr(ann, "ROUND", 7)
+    assert ann.nearest_in_block(*args) == once
+    assert {(q, i) for q, _, i, _ in once} == {(q, i) for q, _, i in plain(list(zip(ids.tolist(), x)), 5, lambda i: i < 50)}
+
+
 def test_estimate_is_within_its_bound():
     rng = np.random.default_rng(1)
     x, q = rng.standard_normal((3000, 64)), rng.standard_normal((20, 64))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tradeloom.llm.common import unit, written
 
 
+#: Queries whose estimates a task holds at once.
+ROUND = 256
+
+
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
     """Random orthogonal matrix, the same for every task."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -53,15 +57,17 @@ def nearest_in_block(ids: np.ndarray, names: np.ndarray, x: np.ndarray, codes: n
     A vector of the query's name is the query itself and no neighbour.
 
     The best estimates are reranked first; their k-th exact score is what any other vector's
-    estimate plus bound must reach to be reranked, too.
+    estimate plus bound must reach to be reranked, too. Queries are estimated `ROUND` at a time.
     """
-    out, (guess, bound) = [], estimate(codes, length, own, queries, center, turn, sure)
-    top = min(2 * k, len(ids))
+    out, top = [], min(2 * k, len(ids))
     for i, q in enumerate(queries):
-        first = np.argpartition(-guess[i], top - 1)[:top]
+        if i % ROUND == 0:
+            guesses, bounds = estimate(codes, length, own, queries[i:i + ROUND], center, turn, sure)
+        guess, bound = guesses[i % ROUND], bounds[i % ROUND]
+        first = np.argpartition(-guess, top - 1)[:top]
         exact = (x[first] * q).sum(1)
         floor = np.sort(exact)[-min(k + 1, top)] if top > k else -np.inf
-        some = np.flatnonzero((guess[i] + bound[i] >= floor) & (names != q_names[i]))
+        some = np.flatnonzero((guess + bound >= floor) & (names != q_names[i]))
         exact = (x[some] * q).sum(1)
         best = np.lexsort((ids[some], -exact))[:k]
         out += zip([int(q_ids[i])] * len(best), [int(q_names[i])] * len(best), ids[some][best].tolist(), exact[best].tolist())
@@ -83,8 +89,8 @@ def vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.filter(F.size("v") == (sizes["d"] if sizes else 0))
 
 
-def search(rows: DataFrame, queries: str, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, block: int = 4096,
-           query_block: int = 1024, sample: int = 10000, sure: float = 2.5) -> DataFrame:
+def search(rows: DataFrame, queries: str, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, block: int = 8192,
+           query_block: int = 4096, sample: int = 10000, sure: float = 2.5) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` rows of largest inner product for each row that `queries` picks.
 
     `queries` is an SQL condition on `id`. The centre is the mean of about `sample` vectors, taken by
