@@ -39,6 +39,50 @@ def test_chain_uses_earlier_categories():
     assert ((p[:, 1] > 0.5) == first).mean() > 0.99
 
 
+def plain_logistic(x, y, l2):
+    """Newton steps on the whole matrix; the constant is not penalised."""
+    w, ridge = np.zeros(x.shape[1]), l2 * np.r_[np.ones(x.shape[1] - 1), 0]
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-x @ w))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x / len(y) + np.diag(ridge) + 1e-12 * np.eye(len(w))
+        w = w - np.linalg.solve(hessian, x.T @ (p - y) / len(y) + ridge * w)
+    return w
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_chain_equals_plain_chain(seed):
+    rng, l2 = np.random.default_rng(seed), 1e-2
+    marks = rng.random((600, 12)) < 0.3
+    first = rng.random(600) < 1 / (1 + np.exp(1 - 2.0 * marks[:, 0] - 1.5 * marks[:, 1]))
+    second = rng.random(600) < 1 / (1 + np.exp(2 - 2.5 * first - 1.0 * marks[:, 2]))
+    third = rng.random(600) < 1 / (1 + np.exp(2 - 1.5 * second - 1.5 * first))
+    labels, folds = np.stack([first, second, third], 1).astype(float), rng.integers(0, 3, 600)
+    labels[rng.random(labels.shape) < 0.1] = np.nan
+    hits = [np.flatnonzero(m).tolist() for m in marks]
+    got = toxicity.chained(hits, 12, toxicity.fit_chain(hits, labels, 12, folds, l2))
+
+    one, x, seen, out = np.ones((600, 1)), marks.astype(float), np.zeros((600, 0)), np.zeros((600, 0))
+    for c in range(3):
+        y, known = labels[:, c], ~np.isnan(labels[:, c])
+        w = plain_logistic(np.hstack([x, seen, one])[known], y[known], l2)
+        out = np.hstack([out, (1 / (1 + np.exp(-np.hstack([x, out, one]) @ w)))[:, None]])
+        unseen = np.zeros((600, 1))
+        for fold in range(3):
+            w = plain_logistic(np.hstack([x, seen, one])[known & (folds != fold)], y[known & (folds != fold)], l2)
+            unseen[folds == fold, 0] = 1 / (1 + np.exp(-np.hstack([x, seen, one])[folds == fold] @ w))
+        seen = np.hstack([seen, unseen])
+    assert np.abs(got - out).max() < 0.01
+
+
+def test_toxicity_held_out_at_a_larger_size(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    chain = toxicity.train(docs, labels.filter("doc_id % 4 != 0"), queries.CATEGORIES)
+    rows = toxicity.score(docs.join(labels.filter("doc_id % 4 = 0"), "doc_id", "left_semi"), chain).join(labels, "doc_id").collect()
+    hit = np.mean([r["p_toxic"] >= 0.5 for r in rows if r["toxic"] == 1])
+    clean = np.mean([r["p_toxic"] >= 0.5 for r in rows if r["toxic"] == 0])
+    assert clean < 0.01 and hit >= 0.6, (clean, hit)
+
+
 def test_toxicity_edges(spark, make):
     docs = make(EDGES + [(100 + i, "good calm text" if i % 3 else "bad idiot text") for i in range(60)])
     labels = [(100 + i, 1, 0 if i % 3 else 1) for i in range(60)] + [(100, 1, 1), (None, 1, 1), (101, None, None), (9999, 0, 1)]
@@ -143,6 +187,64 @@ def test_evidence_beyond_the_text(spark, make):
     assert got[202]["host"] is None
 
 
+def plain_fusion(rows, names, strength=4.0):
+    """Each row against all others, without sums that are made once."""
+    n = len(names)
+    whole = np.sum([r[-1] for r in rows], 0) + 1.0
+    whole /= whole.sum()
+
+    def share(at, level, parent):
+        others = [r[-1] for i, r in enumerate(rows) if i != at and r[level] == rows[at][level]]
+        return parent if rows[at][level] is None else (np.sum(others or [[0.0] * n], 0) + strength * parent) / (len(others) + strength)
+
+    out = []
+    for at, r in enumerate(rows):
+        w = np.maximum(r[-1], 1e-12) * share(at, 2, share(at, 3, whole)) * share(at, 5, whole) / whole * share(at, 4, whole) / whole
+        out.append((names[int(np.argmax(w))], w.max() / w.sum()))
+    return out
+
+
+ROWS = "doc_id long, page_id long, host string, domain string, suffix string, declared string, p array<double>"
+
+
+def judged(spark, rows, names):
+    got = langid.fuse(spark.createDataFrame(rows, ROWS), names).collect()
+    return [(r["lang"], r["text_lang"], r["confidence"]) for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_fusion_equals_plain_fusion(spark, seed):
+    rng, names = random.Random(seed), ("de", "en", "fr")
+    rows = []
+    for i in range(150):
+        p = np.array([rng.random() ** 3 + 1e-6 for _ in names])
+        pick = lambda *of: rng.choice([None, *of])
+        # One host holds more than a third of the rows.
+        rows.append((None, i, rng.choice(["a.x", "a.x", "b.x", "c.y", None]), pick("x", "y"), pick("de", "com", "fr"), pick("de", "en"), (p / p.sum()).tolist()))
+    for (lang, _, sure), (want, want_sure) in zip(judged(spark, rows, names), plain_fusion(rows, names)):
+        assert lang == want and sure == pytest.approx(want_sure, abs=1e-9)
+
+
+def test_each_kind_of_evidence_helps(spark):
+    """Texts that say little, and one other kind of evidence that is right nine times of ten."""
+    rng, names = np.random.default_rng(3), ("de", "en", "fr")
+    truth = rng.integers(0, 3, 600)
+    # A text's own language is only a little likelier.
+    p = rng.dirichlet(np.ones(3), 600) + 0.35 * np.eye(3)[truth]
+    p /= p.sum(1, keepdims=True)
+    said = np.where(rng.random(600) < 0.9, truth, rng.integers(0, 3, 600))
+    right = {}
+    for kind in ("none", "host", "domain", "suffix", "declared"):
+        keys = {"none": (None,) * 4, "host": (1, 0, 0, 0), "domain": (2, 1, 0, 0), "suffix": (0, 0, 1, 0), "declared": (0, 0, 0, 1)}[kind]
+        # Under `domain` each row has a host of its own, which its domain must speak for.
+        word = lambda k, i: None if not k else f"{names[said[i]]}{i if k == 2 else ''}"
+        rows = [(None, i, *[word(k, i) for k in keys], p[i].tolist()) for i in range(600)]
+        got = judged(spark, rows, names)
+        right[kind] = np.mean([lang == names[t] for (lang, _, _), t in zip(got, truth)])
+        assert np.mean([text == names[t] for (_, text, _), t in zip(got, truth)]) == np.mean(p.argmax(1) == truth)
+    assert all(right[k] > right["none"] + 0.05 for k in right if k != "none"), right
+
+
 @pytest.mark.parametrize("url, want", [
     ("https://A.b.Example.org:80/en/x", ("a.b.example.org", "example.org", "org/en")), ("http://x/", ("x", "x", "x")), ("nonsense", (None,) * 3),
     ("http://[bad", (None,) * 3), (None, (None,) * 3), ("http://h.fr/english", ("h.fr", "h.fr", "fr")),

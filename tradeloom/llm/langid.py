@@ -121,14 +121,15 @@ def evidence(docs: DataFrame, pages: DataFrame, model: Likelihood) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
-def fuse(rows: DataFrame, languages: tuple[str, ...], strength: float = 4.0) -> DataFrame:
+def fuse(rows: DataFrame, languages: tuple[str, ...], strength: float = 4.0, spread: int = 16) -> DataFrame:
     """Add `lang` and `confidence` to the rows of `evidence`.
 
     Prior: the host's share of each language, smoothed towards its domain's, that towards the whole's.
     Declared language and suffix weigh by how their rows' shares differ from the whole's, smoothed
     alike. Shares are sums of text posteriors, made by grouped aggregation (partial sums, so a hot
-    host is no hot task); a row's own posterior is taken out of every sum that judges it. Missing
-    evidence says nothing.
+    host is no hot task); a row's own posterior is taken out of every sum that judges it. The sums
+    are joined in `spread` copies, and the rows of a host are dealt among these. Missing evidence
+    says nothing.
     """
     n = len(languages)
     if not n:
@@ -137,9 +138,13 @@ def fuse(rows: DataFrame, languages: tuple[str, ...], strength: float = 4.0) ->
     total = rows.agg(*[F.sum(p(i)) for i in range(n)]).first()
     whole = [(x or 0.0) + 1.0 for x in total]
     whole = [x / sum(whole) for x in whole]
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "page_id", "p"), F.lit(spread)))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
+    plain = rows
     for level in ("host", "domain", "suffix", "declared"):
-        sums = rows.filter(F.col(level).isNotNull()).groupBy(level).agg(F.array(*[F.sum(p(i)) for i in range(n)]).alias(f"_{level}"))
-        rows = rows.join(sums.withColumnRenamed(level, f"_{level}_key"), F.col(level) == F.col(f"_{level}_key"), "left").drop(f"_{level}_key")
+        sums = plain.filter(F.col(level).isNotNull()).groupBy(level).agg(F.array(*[F.sum(p(i)) for i in range(n)]).alias(f"_{level}"))
+        sums = sums.select(F.col(level).alias("_key"), f"_{level}", salts.alias("_of"))
+        rows = rows.join(sums, (F.col(level) == F.col("_key")) & (F.col("_salt") == F.col("_of")), "left").drop("_key", "_of")
 
     def share(level: str, i: int, parent: Column) -> Column:
         others = F.greatest(F.element_at(f"_{level}", i + 1) - p(i), F.lit(0.0))
@@ -156,7 +161,7 @@ def fuse(rows: DataFrame, languages: tuple[str, ...], strength: float = 4.0) ->
     names = F.array(*[F.lit(x) for x in languages])
     top = lambda a: F.element_at(names, F.array_position(a, F.array_max(a)).cast("int"))
     return rows.withColumns({"lang": top(F.col("_w")), "text_lang": top(F.col("p")), "confidence": F.array_max("_w") / sure}).drop(
-        "p", "_w", "_host", "_domain", "_suffix", "_declared")
+        "p", "_w", "_salt", "_host", "_domain", "_suffix", "_declared")
 
 
 def identify(docs: DataFrame, pages: DataFrame, most: int = 20000) -> DataFrame:
