@@ -91,6 +91,17 @@ def test_any_boundary_gives_the_same(make, monkeypatch, x):
     assert got == plain(rows)
 
 
+@pytest.mark.parametrize("size", [1, 3])
+def test_lists_paired_in_blocks_give_the_same(make, monkeypatch, size):
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", size)
+    rows = corpus(6)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.join(make(rows)).collect()}
+    assert got == plain(rows)
+    sets = {frozenset(grams(t)) for _, t in rows if grams(t)}
+    links = sum(a is not b and 100 * len(a & b) >= 85 * len(a | b) for a in sets for b in sets) // 2
+    assert jaccard.pairs(make(rows)).count() == links
+
+
 def test_chain_of_links(make):
     """Each text is linked with the next one only; the ends share little."""
     words = [f"w{i}" for i in range(400)]

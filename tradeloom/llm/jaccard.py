@@ -121,6 +121,9 @@ def prefixes(docs: DataFrame, common: np.ndarray, n: int, percent: int) -> DataF
 #: Of the shared n-grams that a link needs in a prefix, one in so many is not looked for when pairs are made.
 SKIPPED = 2
 
+#: Nodes of one list that a task pairs with the rest of it.
+LIST_BLOCK = 512
+
 #: Sets up to this size are measured as light ones at first, larger ones where that may pay.
 FIRST_LIGHT = 64
 
@@ -360,7 +363,8 @@ def pairs(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     x, lists = postings(rows, nodes, percent)
     alpha = F.floor((percent * F.col("n") + 99) / 100)
     tops = lists.groupBy("node", "n").agg(F.count(F.when(~F.col("light"), 1)).alias("c")).select("node", (alpha - 1 + F.col("c")).alias("top"))
-    every = lists.join(tops.join(nodes.select("node", "last"), "node"), "node").withColumns({
+    sized = lists.join(lists.groupBy("key", "light").agg(_blocks()), ["key", "light"])
+    every = sized.join(tops.join(nodes.select("node", "last"), "node"), "node").withColumns({
         "comp": F.col("node"), "partner": F.lit(None).cast("long"), "far": F.lit(None).cast("double")})
     found = verified(docs, nodes, cross(written(every, "every"), percent, x), n, percent, "links").filter("linked")
     low = nodes.select("node", "low")
@@ -392,22 +396,33 @@ def apart(lists: DataFrame, nodes: DataFrame, links: DataFrame, checked: DataFra
     named = lists.drop("comp").join(stars(links), "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     named = named.join(checked.select(F.col("a").alias("node"), F.col("b").alias("partner"), "far"), "node", "left")
     named = written(named, "named")
-    mixed = named.groupBy("key", "light").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).filter("low != top")
-    kept = written(named.join(mixed.select("key", "light"), ["key", "light"]), "mixed")
+    mixed = named.groupBy("key", "light").agg(F.min("comp").alias("low"), F.max("comp").alias("top"), _blocks()).filter("low != top")
+    kept = written(named.join(mixed.select("key", "light", "blocks"), ["key", "light"]), "mixed")
     alpha = F.floor((percent * F.col("n") + 99) / 100)
     tops = kept.groupBy("node", "n").agg(F.count(F.when(~F.col("light"), 1)).alias("c")).select("node", (alpha - 1 + F.col("c")).alias("top"))
     return written(kept.join(tops.join(nodes.select("node", "last"), "node"), "node"), "apart")
 
 
+def _blocks() -> Column:
+    return F.ceil(F.count(F.lit(1)) / LIST_BLOCK).cast("int").alias("blocks")
+
+
 def cross(lists: DataFrame, percent: int, x: int) -> DataFrame:
     """All pairs of nodes of different components that share enough of their lists and may be near enough.
 
+    A list of several `blocks` is paired block by block: one side is dealt to the blocks, the other
+    one goes to each of them, so its pairs are made by as many tasks. Both sides of the other lists
+    are one shuffle.
+
     Jaccard distance is a metric: two nodes whose distances to one partner differ by more than a link
     may be far cannot be linked, and a node that was checked against the other one need not be again.
     """
-    side = lambda node: lists.select("key", "light", F.col("node").alias(node), *[
-        F.col(c).alias(f"{s}{node}") for c, s in (("n", "n"), ("comp", "c"), ("partner", "p"), ("far", "f"), ("top", "t"), ("last", "l"), ("pos", "i"))])
-    left, right = side("a"), side("b")
+    side = lambda rows, node, *part: rows.select("key", "light", F.col("node").alias(node), *[
+        F.col(c).alias(f"{s}{node}") for c, s in (("n", "n"), ("comp", "c"), ("partner", "p"), ("far", "f"), ("top", "t"), ("last", "l"), ("pos", "i"))], *part)
+    short, long = lists.filter("blocks = 1"), lists.filter("blocks > 1")
+    left = side(long, "a", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("part"))
+    right = side(long, "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
+    both = side(short, "a").join(side(short, "b"), ["key", "light"]).unionByName(left.join(right, ["key", "light", "part"]).drop("part"))
     most = 1 - percent / 100 + 1e-9
     apart_ = (F.col("pa") == F.col("pb")) & (F.abs(F.col("fa") - F.col("fb")) > most)
     known = (F.col("pa") == F.col("b")) | (F.col("pb") == F.col("a"))
@@ -425,7 +440,7 @@ def cross(lists: DataFrame, percent: int, x: int) -> DataFrame:
     last = F.floor((least - 1) / SKIPPED)
     early = of("i") < of("n") - tail - last
     fit = fit & (F.col("light") | ((F.col("nb") > x) & room & early)) & near
-    met = left.join(right, ["key", "light"]).filter(fit).withColumn("least", least - last).groupBy("a", "b", "na", "nb", "least").agg(
+    met = both.filter(fit).withColumn("least", least - last).groupBy("a", "b", "na", "nb", "least").agg(
         F.count("*").alias("shared"))
     two = F.greatest(F.lit(2), _needed(percent) - F.greatest(*[F.floor((percent * F.col(s) + 99) / 100) - 2 for s in ("na", "nb")]))
     enough = F.when(F.col("nb") <= x, F.col("shared") >= two * (two - 1) / 2).otherwise(F.col("shared") >= F.col("least"))
