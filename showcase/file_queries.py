@@ -16,11 +16,16 @@ from showcase.registry import ORACLES, broken, fails, new_folder, query, table
 from tradeloom.operators import advertising, postings, prices, products, realization, state, stock, wb
 from tradeloom.sources import landing, sinks
 
+FILE_DOCUMENTS = 200_000
+
 
 def _landed(spark, df, feed: str):
-    """Documents of a feed after a trip through JSON files, one document per line."""
+    """Documents of a feed after a trip through JSON files, one document per line.
+
+    The files are packed, as field names are most of their bytes; a packed file is read by one task, so its documents are bounded.
+    """
     folder = new_folder(spark, feed)
-    df.write.json(folder)
+    df.write.options(compression="gzip", maxRecordsPerFile=FILE_DOCUMENTS).json(folder)
     return landing.strict(landing.pages(spark, folder, feed, lines=True))
 
 
