@@ -180,8 +180,11 @@ _CATEGORY = "CASE WHEN p_size <= 5 THEN NULL ELSE p_type END"
         7 AS transaction_id
     FROM f WHERE rn = 1""")
 def product_rows(spark, sf):
-    """Two owners at once; they share SKUs and keep their own first row of each."""
-    part = feeds.owned_parts(spark, sf)
+    """Two owners at once; they share SKUs and keep their own first row of each.
+
+    One task reads a file of many parts, whose documents are many times as large, so the parts are dealt to tasks first.
+    """
+    part = feeds.owned_parts(spark, sf).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
     found = products.last_attributes(products.pick_attributes(feeds.attributes(part, "id", "owner")))
     return products.product_rows(feeds.products(part, "owner", barcode=_OWN_CODE), found, F.col("owner"), RUN)
 
