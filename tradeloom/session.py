@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Documents are many times as large as the rows they are made of behind a shuffle, and are sorted there.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # HotSpot leaves methods above 8000 bytes uncompiled. Wide nested projections exceed
     # that as one generated method; without the fusion they are split into small ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
