@@ -90,15 +90,17 @@ def staged_orders(spark, sf):
     lines = requested(feeds.owned_lines(spark, sf), "o_orderdate", FROM)
     wb_docs = feeds.wb_orders(lines.filter("l_linestatus = 'O'"), "o_orderdate", "l_shipdate", "owner")
     staged_wb = wb.order_lines(wb_docs, F.col("owner"), RUN, FROM)
-    pages = postings.latest_postings(feeds.fbo(lines.filter("l_linestatus = 'F'"), "owner"))
+    pages = postings.latest_postings(feeds.fbo(lines.filter("l_linestatus = 'F'"), "owner"), packed=False)
     staged_ozon = postings.flatten_fbo(pages, F.col("owner"), RUN, FROM)
-    from_wb = facts.wb_orders(staged_wb)
-    return [from_wb, _moved(from_wb), facts.ozon_orders(staged_ozon)]
+    return [_with_moved(facts.wb_orders(staged_wb)), facts.ozon_orders(staged_ozon)]
 
 
-def _moved(rows):
-    return rows.filter("region = 'region 2'").withColumns({
-        "order_ts": F.expr("order_ts - interval 4 year"), "change_ts": F.lit("2099-01-01").cast("timestamp_ntz")})
+def _with_moved(rows):
+    """The rows, and those of one region once more under another time; the lines are read and joined once for both."""
+    own = "struct(order_ts, change_ts)"
+    moved = "struct(order_ts - interval 4 year as order_ts, timestamp_ntz'2099-01-01 00:00:00' as change_ts)"
+    each = rows.select("*", F.expr(f"explode_outer(if(region = 'region 2', array({own}, {moved}), array({own})))").alias("_at"))
+    return each.select(*[F.col(f"_at.{c}").alias(c) if c in ("order_ts", "change_ts") else c for c in rows.columns])
 
 
 @query("fact_sales", _fact_sql("CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS amount,"
@@ -109,7 +111,7 @@ def fact_sales(spark, sf):
     docs = feeds.wb_sales(lines, "o_orderdate", "l_shipdate", "owner")
     staged = wb.sale_lines(docs, F.col("owner"), RUN, FROM)
     new = facts.wb_sales(staged)
-    return facts.apply_orders(old_orders(spark, sf), [new, _moved(new)], FROM)
+    return facts.apply_orders(old_orders(spark, sf), [_with_moved(new)], FROM)
 
 
 _OLD_STOCK = """old AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS stock_date, 'KZ' AS source,

@@ -48,19 +48,19 @@ def owned_lines(spark: SparkSession, sf: str) -> DataFrame:
 _FINANCE_ROW = (
     "named_struct('product_id', {sku}, 'commission_amount', {amount}, 'commission_percent', {percent},"
     " 'payout', l_extendedprice, 'old_price', l_extendedprice, 'total_discount_value', l_discount,"
-    " 'total_discount_percent', l_tax, 'client_price', " + CENTS.format("l_extendedprice") + ")"
+    " 'total_discount_percent', l_tax, 'client_price', _cents)"
 )
 _PRODUCT = (
     "named_struct('sku', {sku}, 'name', concat('part ', {sku}), 'quantity', cast({qty} as int),"
-    " 'offer_id', concat('of-', l_partkey), 'price', " + CENTS.format("{price}") + ")"
+    " 'offer_id', concat('of-', l_partkey), 'price', {price})"
 )
 
 
 def _posting(with_created: bool, number: str) -> Column:
     """A posting of none to three product lines; line 7 is empty and has no financial data."""
-    main = _PRODUCT.format(sku="l_partkey", qty="l_quantity", price="l_extendedprice")
-    side = _PRODUCT.format(sku="l_partkey + 1", qty="1", price="l_tax")
-    again = _PRODUCT.format(sku="l_partkey", qty="2", price="l_discount")
+    main = _PRODUCT.format(sku="l_partkey", qty="l_quantity", price="_cents")
+    side = _PRODUCT.format(sku="l_partkey + 1", qty="1", price=CENTS.format("l_tax"))
+    again = _PRODUCT.format(sku="l_partkey", qty="2", price=CENTS.format("l_discount"))
     products = (
         f"case when l_linenumber = 7 then array() when l_linenumber = 3 then array({main}, {side})"
         f" when l_linenumber = 4 then array({main}, {again}) when l_linenumber = 6 then array({main}, {side}, {main})"
@@ -88,6 +88,11 @@ def _posting(with_created: bool, number: str) -> Column:
     )""")
 
 
+def _priced(df: DataFrame) -> DataFrame:
+    """Lines with their price as text, which a posting holds up to six times; an empty posting has none."""
+    return df.withColumn("_cents", F.expr(f"if(l_linenumber = 7, null, {CENTS.format('l_extendedprice')})"))
+
+
 LINE_NUMBER = "concat(l_orderkey, '-', l_linenumber)"
 # Orders the documents of equal number; holds every column that tells them apart.
 PAGE = (
@@ -98,13 +103,13 @@ PAGE = (
 
 
 def fbo(df: DataFrame, *keep: str) -> DataFrame:
-    pages = df.select(*keep, F.expr(PAGE).alias("page"), F.array(_posting(True, LINE_NUMBER)).alias("result"))
+    pages = _priced(df).select(*keep, F.expr(PAGE).alias("page"), F.array(_posting(True, LINE_NUMBER)).alias("result"))
     return shaped(pages, schemas.FBO_PAGE)
 
 
 def fbs(df: DataFrame, *keep: str) -> DataFrame:
     page = F.struct(F.lit(False).alias("has_next"), F.array(_posting(False, LINE_NUMBER)).alias("postings"))
-    return shaped(df.select(*keep, page.alias("result")), schemas.FBS_PAGE)
+    return shaped(_priced(df).select(*keep, page.alias("result")), schemas.FBS_PAGE)
 
 
 _TIME = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss\")"

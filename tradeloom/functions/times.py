@@ -12,8 +12,9 @@ ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def drop_fraction(c: Column | str) -> Column:
-    """Remove fractional seconds in front of a closing Z."""
-    return F.regexp_replace(as_col(c), r"\.\d*Z$", "Z")
+    """Remove fractional seconds in front of a closing Z. Only a text with a point is searched."""
+    text = as_col(c)
+    return F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.\d*Z$", "Z")).otherwise(text)
 
 
 def iso_ts(c: Column | str, zulu: bool = False, fraction: bool = False) -> Column:
@@ -24,7 +25,9 @@ def iso_ts(c: Column | str, zulu: bool = False, fraction: bool = False) -> Colum
 
 def exact_ts(c: Column | str) -> Column:
     """Naive timestamp of ISO text with its fraction, if any; the Z is just a letter. For ordering only."""
-    return F.regexp_replace(as_col(c), "Z$", "").cast("timestamp_ntz")
+    text = as_col(c)
+    bare = F.when(F.endswith(text, F.lit("Z")), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(F.regexp_replace(text, "Z$", ""))
+    return bare.cast("timestamp_ntz")
 
 
 def day_start(v) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.common import as_value
+from tradeloom.functions.common import as_value, unpacked
 from tradeloom.functions.text import NIL_UUID, comma_number_or_zero, is_blank, names_any, unquoted
 from tradeloom.operators.dedup import first_wins
 
@@ -19,8 +19,8 @@ PLACE = ("page", "item_no")
 
 def _items(pages: DataFrame, placed: bool = False) -> DataFrame:
     if not placed:
-        return pages.select(F.explode("items").alias("i")).select("i.*")
-    return pages.select("page", F.posexplode("items").alias("item_no", "i")).select(*PLACE, "i.*")
+        return unpacked(pages, "items", "i").select("i.*")
+    return unpacked(pages, "items", "i", "item_no").select(*PLACE, "i.*")
 
 
 def item_rows(pages: DataFrame, run_id, placed: bool = False) -> DataFrame:

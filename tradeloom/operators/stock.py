@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.common import as_value
+from tradeloom.functions.common import as_value, unpacked
 from tradeloom.functions.text import before, comma_number, upper_or_none
 from tradeloom.operators.lookup import require
 from tradeloom.operators.products import owner_columns
@@ -85,7 +85,7 @@ def seller_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id, sto
 
 def analytics_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id, stock_date) -> DataFrame:
     """Analytics stock in the same columns; a SKU may lack a barcode."""
-    rows = pages.select("*", F.explode("result.rows").alias("r")).drop("result") \
+    rows = unpacked(pages, "result.rows", "r").drop("result", "_at") \
         .withColumn("sku", F.col("r.sku").cast("string"))
     codes, on = _codes(pages, barcodes)
     found = rows.join(codes, on, "left")
@@ -100,7 +100,7 @@ def analytics_stock_lines(pages: DataFrame, barcodes: DataFrame, owner, run_id,
 def older_stock_lines(pages: DataFrame, owner, stock_date) -> DataFrame:
     """Analytics stock in the older nine columns."""
     r = F.col("r")
-    return pages.select("*", F.explode("result.rows").alias("r")).select(
+    return unpacked(pages, "result.rows", "r").select(
         r["sku"].alias("sku"), r["item_code"].alias("item_code"), r["item_name"].alias("item_name"),
         r["free_to_sell_amount"].alias("free_to_sell"), r["promised_amount"].alias("promised"),
         r["reserved_amount"].alias("reserved"), upper_or_none(r["warehouse_name"]).alias("warehouse"),

@@ -71,7 +71,8 @@ def latest_orders(staged: list[DataFrame]) -> DataFrame:
     rows = _union(staged)
     own = F.when(F.col("order_key").isNull(), F.struct(*rows.columns)).alias("_own")
     ties = [c for c in rows.columns if c not in (*ORDER_KEY, "change_ts")]
-    return latest_version(rows.select("*", own), [*ORDER_KEY, "_own"], "change_ts", ties).drop("_own")
+    by = sorted(ORDER_KEY, key=lambda c: c != "order_key")
+    return latest_version(rows.select("*", own), [*by, "_own"], "change_ts", ties).drop("_own")
 
 
 def apply_orders(old: DataFrame, staged: list[DataFrame], date_from) -> DataFrame:
@@ -210,16 +211,21 @@ def with_items(rows: DataFrame, barcodes: DataFrame) -> DataFrame:
 
     A barcode of several items stands for the first of them.
     """
-    one = barcodes.groupBy("barcode").agg(F.min("item_id").alias("_item"))
-    # Rows without a barcode, which may be most, are neither shuffled nor looked up.
-    known = rows.filter(F.col("barcode").isNotNull()).join(one, ["barcode"], "left").select(*rows.columns, "_item")
-    bare = rows.filter(F.col("barcode").isNull()).withColumn("_item", F.lit(None).cast(one.schema["_item"].dataType))
-    return known.unionByName(bare).withColumn("item", F.coalesce("_item", "barcode", "sku")).drop("_item")
+    one = barcodes.groupBy("barcode").agg(F.min("item_id").alias("_item")).withColumn("_part", F.lit(0).cast("bigint"))
+    # Rows without a barcode, which may be most and match nothing, are dealt over all tasks. They are not
+    # taken apart from the others: what gives the rows, such as the ranking of a fact, would run twice.
+    part = F.when(F.col("barcode").isNull(), F.xxhash64(*rows.columns)).otherwise(F.lit(0).cast("bigint"))
+    found = rows.withColumn("_part", part).join(one, ["barcode", "_part"], "left")
+    return found.withColumn("item", F.coalesce("_item", "barcode", "sku")).select(*rows.columns, "item")
 
 
 def report_orders(fact: DataFrame, barcodes: DataFrame) -> DataFrame:
-    """Order or sales fact as the daily reports read it: with `day` and `item`."""
-    return with_items(fact, barcodes).withColumn("day", F.col("order_ts").cast("date"))
+    """Order or sales fact as the daily reports read it: with `day` and `item`.
+
+    A fact that stores the day keeps it: limits of a stored column reach the files, those of a cast do not.
+    """
+    found = with_items(fact, barcodes)
+    return found if "day" in fact.columns else found.withColumn("day", F.col("order_ts").cast("date"))
 
 
 def report_stock(fact: DataFrame, barcodes: DataFrame) -> DataFrame:
