@@ -8,6 +8,9 @@ symbols follows the size of the vocabulary.
 
 Reduced words are 64 bit numbers (a polynomial in an odd base), so that the neighbours of many
 words are made at once: a chance collision costs one comparison and loses nothing.
+
+Joins are merged, never broadcast: Spark takes the packed words for the size of their neighbourhoods,
+which are many times as large, and would gather them in the driver as long as the words are few enough.
 """
 
 from __future__ import annotations
@@ -176,7 +179,7 @@ def near(words: DataFrame, symbols: int | None = None) -> DataFrame:
                     [pa.array(made[good].view(np.int64)), batch.column(0).take(row), batch.column(1).take(row)], names=["key", "word", "n"])
 
     made = words.select("word", "n").mapInArrow(around, "key long, word string, n long")
-    met = made.join(keyed.toDF("key", "other", "other_n"), "key")
+    met = made.join(keyed.toDF("key", "other", "other_n").hint("merge"), "key")
     return met.filter(one_edit("word", "other")).select("word", "n", "other", "other_n")
 
 
@@ -192,7 +195,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = written(forms.toDF("word", "root"), "roots")
     while True:
         step = now.toDF("_w", "_r")
-        further = now.join(step, now["root"] == step["_w"], "left")
+        further = now.join(step.hint("merge"), now["root"] == step["_w"], "left")
         if not further.filter("_r is not null").limit(1).count():
             return now
         now = written(further.select("word", F.coalesce("_r", "root").alias("root")), "roots")
@@ -211,9 +214,9 @@ def variants(words: DataFrame, times: int = 5, symbols: int | None = None) -> Da
     words = written(words.select("word", "n"), "words")
     best = near(words, symbols).groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("w"))).alias("b"))
-    joined = words.join(best, "word", "left")
+    joined = words.join(best.hint("merge"), "word", "left")
     good = -F.col("b.n") >= times * F.col("n")
     formed = written(joined.select(
         "word", "n", F.when(good, F.col("b.w")).alias("form"), F.when(good, -F.col("b.n")).alias("form_n"), F.coalesce("n_near", F.lit(0)).alias("n_near")), "forms")
     root = roots(formed.filter("form is not null").select("word", "form"))
-    return formed.join(root, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return formed.join(root.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
