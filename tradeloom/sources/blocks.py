@@ -4,31 +4,33 @@ A delimited file with line breaks in quotes, or one JSON array, cannot be cut in
 byte: whether a quote opens or closes a text depends on all bytes before it. Here the file is cut into
 pieces at a separator, which Spark does for every byte block by itself, and each piece is summed up by
 what it does to a reader that comes to it outside a quoted text and to one that comes inside. These
-effects are put together in order, first the pieces of a block, then the blocks of a file (one row a
-block), so every piece learns how a reader of the whole file comes to it. The files are read four times:
-for the effects of the blocks, for where the records of a block begin first and last, for the records that cross
-blocks (at most one for each) and for all others, which are put together where their block already lies. Only the
-last time are texts shuffled. What the first three find is small and written to the shared folder.
+effects are put together in order, first the pieces of a block, where they are read, then the blocks of a file
+(one row a block), so every piece learns how a reader of the whole file comes to it. The files are read three times:
+for the effects of the blocks, for what of records crosses blocks (at most two parts of a block), and for all other
+records, which are put together where they are read. No text is shuffled but that of records that cross blocks. What the
+first two find is small and written to the shared folder; the effects are broadcast, one row a block.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.session import shared_dir
+from tradeloom.sources import pieces
 
-_PLACE = ["_file", "_block", "_at"]
+_PART = "value string, _file string, _block long, _at long, _head boolean, _end boolean"
 
 
 def _pieces(spark: SparkSession, path: str, sep: str) -> DataFrame:
     """Pieces of the files with their place; those of a block come from one task, in order."""
     return spark.read.option("lineSep", sep).text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"))
+        F.col("_metadata.file_block_length").alias("_length"), F.monotonically_increasing_id().alias("_at"))
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -55,50 +57,35 @@ def _turned(df: DataFrame, within: list[str], order: str) -> DataFrame:
     return df.withColumns({"_from_out": state(False), "_from_in": state(True)}).drop("_turns", "_set")
 
 
-def _entered(df: DataFrame, adds: dict[str, Column]) -> DataFrame:
-    """Add `_inside`: whether a reader of the whole file comes to the piece inside a quoted text.
+def _entered(read: DataFrame, effects: Callable) -> DataFrame:
+    """Add `_entry`, `_base` and `_final`: whether a reader of the whole file comes to the block inside a quoted text,
+    the depth it has there, and whether the block is the last one of its file.
 
-    `adds` names what a piece adds to a running number by the state it is entered in, "out" or "in"; with it come
-    `_sum`, that number before the piece, and `_final`, whether the block is the last one of its file.
+    The join is broadcast, as pieces must stay in order. Files that are cut into other blocks than before fail the job.
     """
-    own = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    row = "_file string, _block long, _length long, _out boolean, _in boolean, _sum_out long, _sum_in long"
+    blocks = _kept(read.drop("_at").mapInArrow(pieces.block_effects(effects), row))
     up = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    df = _turned(df, ["_file", "_block"], "_at")
-    leaves = lambda c: F.when(F.col(c), F.col("_in")).otherwise(F.col("_out"))
-    added = lambda c: F.when(F.col(c), adds["in"]).otherwise(adds["out"])
-    blocks = _kept(df.groupBy("_file", "_block").agg(
-        F.max_by(leaves("_from_out"), "_at").alias("_out"), F.max_by(leaves("_from_in"), "_at").alias("_in"),
-        F.sum(added("_from_out")).alias("_sum_out"), F.sum(added("_from_in")).alias("_sum_in")))
     entry = _turned(blocks, ["_file"], "_block").withColumnRenamed("_from_out", "_entry")
     entry = entry.withColumn("_all", F.when(F.col("_entry"), F.col("_sum_in")).otherwise(F.col("_sum_out"))).select(
-        "_file", "_block", "_entry", zero(F.sum("_all").over(up)).alias("_base"),
+        "_file", "_block", "_length", "_entry", F.coalesce(F.sum("_all").over(up), F.lit(0)).alias("_base"),
         (F.col("_block") == F.max("_block").over(Window.partitionBy("_file"))).alias("_final"))
-    df = df.join(entry, ["_file", "_block"]).withColumn("_inside", F.when(F.col("_entry"), F.col("_from_in")).otherwise(F.col("_from_out")))
-    return df.withColumn("_sum", F.col("_base") + zero(F.sum(added("_inside")).over(own)))
+    cut = F.raise_error(F.lit("the files are cut into other blocks than before")).cast("boolean")
+    return read.join(F.broadcast(_kept(entry)), ["_file", "_block", "_length"], "left").drop("_length") \
+        .withColumn("_entry", F.when(F.col("_entry").isNull(), cut).otherwise(F.col("_entry")))
 
 
-def _records(df: DataFrame, sep: str, pieces: DataFrame) -> DataFrame:
-    """Whole records (`value`, place of the first piece) of pieces with `_start`; `pieces` are the same ones as they were read.
+def _records(read: DataFrame, effects: Callable) -> DataFrame:
+    """Whole records (`value` with the separator at its end, place of the first piece) of pieces that end with it.
 
-    `_head` tells the piece of a header, `_end` the last piece of a file; a record has what its pieces have.
+    `_head` tells the record of a header, `_end` the one with the last piece of a file.
     """
-    block = Window.partitionBy("_file", "_block")
-    begins = F.when(F.col("_start"), F.col("_at"))
-    place = lambda flag: F.max(F.when(F.col(flag), F.col("_at"))).alias(f"{flag}_at")
-    # One row a block, found without the texts: where its records begin first and last.
-    edges = _kept(df.groupBy("_file", "_block").agg(F.min(begins).alias("_first"), F.max(begins).alias("_last"), place("_head"), place("_end")))
-    df = df.withColumns({"_from": F.max(begins).over(block.orderBy("_at")), "_last": F.max(begins).over(block)}) \
-        .select(*_PLACE, "value", "_head", "_end", "_from", "_last")
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_at", "value"))), lambda p: p["value"]), sep)
-    whole = [texts.alias("value"), F.max("_head").alias("_head"), F.max("_end").alias("_end")]
-    inner = df.filter("_from < _last").groupBy("_file", "_block", F.col("_from").alias("_at")).agg(*whole)
-    # The pieces at a block's head belong to the last record that began in the blocks before. They are picked where they were read.
-    at = lambda flag: F.coalesce(F.col("_at") == F.col(f"{flag}_at"), F.lit(False)).alias(flag)
-    crossing = pieces.select(*_PLACE, "value").join(edges, ["_file", "_block"]).filter("_first is null or _at < _first or _at >= _last")
-    crossing = _kept(crossing.select(*_PLACE, "value", at("_head"), at("_end"), F.when(F.expr("_at >= _last"), F.col("_last")).alias("_from")))
-    ends = edges.filter("_last is not null").select("_file", F.col("_block").alias("_began"), F.col("_last").alias("_from"))
-    heads = crossing.filter("_from is null").select("_file", "_block").distinct()
+    known = _entered(read, effects)
+    inner = known.mapInArrow(pieces.records(effects, True), _PART)
+    # The pieces at a block's head belong to the last record that began in the blocks before.
+    crossing = _kept(known.mapInArrow(pieces.records(effects, False), _PART).withColumnRenamed("_at", "_from"))
+    ends = crossing.filter("_from is not null").select("_file", F.col("_block").alias("_began"), "_from")
+    heads = crossing.filter("_from is null").select("_file", "_block")
     up = Window.partitionBy("_file").orderBy("_began", "_kind").rowsBetween(Window.unboundedPreceding, -1)
     marks = ends.withColumn("_kind", F.lit(1)).unionByName(
         heads.select("_file", F.col("_block").alias("_began"), F.lit(None).cast("long").alias("_from"), F.lit(0).alias("_kind")))
@@ -107,7 +94,14 @@ def _records(df: DataFrame, sep: str, pieces: DataFrame) -> DataFrame:
         .filter("_kind = 0").select("_file", F.col("_began").alias("_block"), "_carried")
     own = F.when(F.col("_from").isNotNull(), F.struct("_block", F.col("_from").alias("_at")))
     outer = crossing.join(carried, ["_file", "_block"], "left").withColumn("_record", F.coalesce(own, "_carried"))
-    return inner.unionByName(outer.groupBy("_file", "_record").agg(*whole).select("_file", "_record.*", "value", "_head", "_end"))
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "value"))), lambda p: p["value"]), "")
+    outer = outer.groupBy("_file", "_record").agg(texts.alias("value"), F.max("_head").alias("_head"), F.max("_end").alias("_end"))
+    return inner.unionByName(outer.select("_file", "_record.*", "value", "_head", "_end"))
+
+
+def _bare(name: str) -> Column:
+    """The text without the separator at its end."""
+    return F.substring(name, F.lit(1), F.length(name) - 1)
 
 
 def delimited_records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
@@ -120,15 +114,14 @@ def delimited_records(spark: SparkSession, path: str, sep: str = ",") -> DataFra
     d = re.escape(sep)
     text = '(?:[^"]++|"")*+'
     rest = f'(?:(?:"{text}"[^{d}]*+|[^"{d}][^{d}]*+|){d})*+"{text}'  # whole fields, then one that stays open
-    lines = _pieces(spark, path, "\n").withColumn("value", F.regexp_replace("value", "\r$", ""))
-    lines = lines.withColumn("value", F.when(F.col("_block") == 0, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")))
-    read, lines = lines, lines.withColumn("_full", F.col("value") != "")
-    lines = lines.withColumns({"_out": F.col("value").rlike(rf"\A{rest}\z"), "_in": F.col("value").rlike(rf'\A{text}(?:"[^{d}]*+{d}{rest})?\z')})
-    before = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.count(F.when(F.col("_full"), F.lit(1))).over(before), F.lit(0))
-    lines = _entered(lines, {"out": F.lit(0), "in": F.lit(0)}).withColumns({
-        "_start": ~F.col("_inside"), "_head": (F.col("_block") == 0) & (earlier == 0) & F.col("_full"), "_end": F.lit(False)})
-    return _records(lines, "\n", read).filter("value <> ''").drop("_end")
+    lines, quoted = _pieces(spark, path, "\n"), F.contains("value", F.lit('"'))
+    lines = lines.withColumn("value", F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value")))
+    mark = (F.col("_block") == 0) & F.startswith("value", F.lit("\ufeff"))
+    lines = lines.withColumn("value", F.when(mark, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")))
+    lines = lines.withColumns({
+        "_out": quoted & F.col("value").rlike(rf"\A{rest}\z"), "_in": ~quoted | F.col("value").rlike(rf'\A{text}(?:"[^{d}]*+{d}{rest})?\z'),
+        "value": F.concat("value", F.lit("\n"))})
+    return _records(lines, pieces.given).withColumn("value", _bare("value")).filter("value <> ''").drop("_end")
 
 
 def delimited(spark: SparkSession, path: str, columns: list[str], sep: str = ",", header: bool = True) -> DataFrame:
@@ -145,31 +138,12 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
     Files are cut at closing braces, so an array in one line is split like one in many. An array that is cut
     off gives its whole elements and, as the last one, the rest as it is. A file of one object is one element.
     """
-    string = r'(?:[^"\\]++|\\.)*+'  # no escape is cut apart: none ends with a brace
-    read = pieces = _pieces(spark, path, "}")
-    bare = F.regexp_replace("value", rf'(?s)"{string}"', "")
-    tail = F.regexp_replace(F.regexp_replace("value", rf'(?s)\A{string}"', ""), rf'(?s)"{string}"', "")
-    closes = F.col("value").rlike(rf'(?s)\A{string}"')
-    left_open = lambda c: F.instr(c, '"') > 0
-
-    def depth(c: Column, inside: Column) -> Column:
-        """What the piece adds to the depth; its brace counts where it ends outside a text."""
-        plain = F.substring_index(c, '"', 1)
-        marks = lambda m: F.length(F.regexp_replace(plain, m, "")).cast("long")
-        return marks(r"[^\[{]") - marks(r"[^\]}]") - F.when(inside, 0).otherwise(1)
-
-    pieces = pieces.withColumns({"_bare": bare, "_tail": F.when(closes, tail)})
-    pieces = pieces.withColumns({"_out": left_open(F.col("_bare")), "_in": F.coalesce(left_open(F.col("_tail")), F.lit(True))})
-    pieces = pieces.withColumns({
-        "_d_out": depth(F.col("_bare"), F.col("_out")), "_d_in": F.coalesce(depth(F.col("_tail"), F.col("_in")), F.lit(0))}).drop("_bare", "_tail")
-    known = _entered(pieces, {"out": F.col("_d_out"), "in": F.col("_d_in")})
-    following = F.lead("_at").over(Window.partitionBy("_file", "_block").orderBy("_at"))
-    known = known.withColumns({"_start": ~F.col("_inside") & (F.col("_sum") <= 1), "_head": F.lit(False), "_end": F.col("_final") & following.isNull()})
-    whole = _records(known, "}", read)
+    read = _pieces(spark, path, "}").withColumn("value", F.concat("value", F.lit("}")))  # no escape is cut apart: none ends with a brace
+    whole = _records(read, pieces.of_json)
     cut_off = F.col("_end") & F.col("value").rlike(r"\A[\x{feff}\s]*+[\[,]")  # an array does not end with a brace
-    brace = F.when(cut_off, "").otherwise("}")
-    text = F.regexp_replace("value", r"\A[\x{feff}\s,\[]*+", "")
-    return whole.withColumn("value", F.concat(text, brace)).filter("startswith(value, '{')").drop("_head", "_end")
+    text = F.when(cut_off, _bare("value")).otherwise(F.col("value"))
+    text = F.regexp_replace(text, r"\A[\x{feff}\s,\[]*+", "")
+    return whole.withColumn("value", text).filter("startswith(value, '{')").drop("_head", "_end")
 
 
 def json_rows(spark: SparkSession, path: str, schema: str, corrupt: str) -> DataFrame:
